@@ -17,6 +17,7 @@ def fan_out_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
+    many: DataFrame,
     match: str,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
@@ -25,10 +26,11 @@ def fan_out_join(
     Adaptive execution splits a hot key on the left of a left join but never on
     its right. So keys with more than ``hot_key_rows`` lookup rows, if there are
     any, get their lookup rows spread over salts and the left rows repeated once
-    per salt. ``match`` is a lookup column that is never NULL for such a key.
+    per salt. ``many`` is the part of the lookup that repeats keys, and ``match``
+    its column that is never NULL.
     """
     hot = (
-        lookup.groupBy(key)
+        many.groupBy(key)
         .count()
         .where(F.col("count") > hot_key_rows)
         .select(key, F.ceil(F.col("count") / hot_key_rows).cast("int").alias(_SALTS))

@@ -116,7 +116,7 @@ def localidade_rows(src: SalesSource) -> DataFrame:
     )
     place = district.join(city, "id_cidade", "left").join(state, "id_estado", "left")
     person = src.pessoa.select(F.col("id").alias("id_pessoa"))
-    return (
+    rows = (
         src.endereco.where(F.col("id").isNotNull())
         .join(person, "id_pessoa", "left_semi")
         .join(place, "id_bairro", "left")
@@ -124,8 +124,11 @@ def localidade_rows(src: SalesSource) -> DataFrame:
             F.col("id_pessoa").cast("long").alias("id_pessoa"),
             "bairro", "cidade", "sigla_estado", "estado", "cep",
         )
-        .distinct()
     )
+    # Partitioned by the whole row: the distinct would otherwise settle for the
+    # person, keep all addresses of one person in a single task, and bar adaptive
+    # execution from splitting that person in the joins above.
+    return rows.repartition(*rows.columns).distinct()
 
 
 def dim_produto(src: SalesSource, existing: DataFrame | None = None) -> DataFrame:

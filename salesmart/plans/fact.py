@@ -53,7 +53,7 @@ def _with_buyer(headers: DataFrame, star: Star, hot_key_rows: int) -> DataFrame:
         return headers.join(lookups[0], person, "left") if lookups else headers
     place = star.localidade.select(F.col("id_pessoa").alias(person), "sk_localidade")
     lookup = lookups[0].join(place, person, "full") if lookups else place
-    return fan_out_join(headers, lookup, person, "sk_localidade", hot_key_rows)
+    return fan_out_join(headers, lookup, person, place, "sk_localidade", hot_key_rows)
 
 
 def _with_seller(headers: DataFrame, star: Star) -> DataFrame:
