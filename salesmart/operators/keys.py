@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.staging import stage
@@ -14,7 +15,7 @@ from salesmart.operators.staging import stage
 # monotonically_increasing_id() keeps the row position in its lower 33 bits.
 _POSITION_BITS = 33
 
-_PART, _ROW, _BEFORE = "_part", "_row", "_before"
+_PART, _ROW = "_part", "_row"
 
 
 def dense_keys(
@@ -33,16 +34,14 @@ def dense_keys(
         ),
         sk,
     )
-    # One row per sort task: at most spark.sql.shuffle.partitions of them, whatever
-    # the size of the data, so the window and the broadcast are both bounded.
-    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(_PART)
-        .count()
-        .select(_PART, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias(_BEFORE))
-    )
-    key = (F.col(_BEFORE) + F.col(_ROW) + F.lit(start + 1)).alias(sk)
-    return placed.join(F.broadcast(offsets), _PART).select(key, *rows.columns)
+    # One number per sort task, so at most spark.sql.shuffle.partitions of them
+    # whatever the size of the data. As a literal it leaves a plain scan: the size of
+    # the dimension stays known to Catalyst, which decides on a broadcast by it.
+    counts = {r[_PART]: r["count"] for r in placed.groupBy(_PART).count().collect()}
+    sizes = [counts.get(part, 0) for part in range(max(counts, default=0) + 1)]
+    before = F.array(*[F.lit(n).cast("long") for n in accumulate([start, *sizes])])
+    key = F.element_at(before, F.col(_PART) + 1) + F.col(_ROW) + 1
+    return placed.select(key.alias(sk), *rows.columns)
 
 
 def new_keys(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -116,18 +117,23 @@ def localidade_rows(src: SalesSource) -> DataFrame:
     )
     place = district.join(city, "id_cidade", "left").join(state, "id_estado", "left")
     person = src.pessoa.select(F.col("id").alias("id_pessoa"))
-    rows = (
+    # Copies of an address are merged on the map side before any join.
+    addresses = (
         src.endereco.where(F.col("id").isNotNull())
-        .join(person, "id_pessoa", "left_semi")
+        .select("id_pessoa", "id_bairro", "cep")
+        .distinct()
+    )
+    rows = (
+        addresses.join(person, "id_pessoa", "left_semi")
         .join(place, "id_bairro", "left")
         .select(
             F.col("id_pessoa").cast("long").alias("id_pessoa"),
             "bairro", "cidade", "sigla_estado", "estado", "cep",
         )
     )
-    # Partitioned by the whole row: the distinct would otherwise settle for the
-    # person, keep all addresses of one person in a single task, and bar adaptive
-    # execution from splitting that person in the joins above.
+    # Districts may share a name, so rows can still be equal. Partitioned by the whole
+    # row: the distinct would otherwise settle for the person, keep all addresses of
+    # one person in a single task, and bar adaptive execution from splitting them.
     return rows.repartition(*rows.columns).distinct()
 
 
@@ -169,20 +175,24 @@ def with_one_locality(star: Star) -> Star:
 
 def star(src: SalesSource, calendar: Calendar) -> Star:
     """All five dimensions, keyed from 1."""
-    return Star(
-        tempo=dim_tempo(src.spark, calendar),
-        produto=dim_produto(src),
-        cliente=dim_cliente(src),
-        vendedor=dim_vendedor(src),
-        localidade=dim_localidade(src),
-    )
+    return _built(src, calendar, {
+        "produto": dim_produto,
+        "cliente": dim_cliente,
+        "vendedor": dim_vendedor,
+        "localidade": dim_localidade,
+    })
 
 
 def base_star(src: SalesSource, calendar: Calendar) -> Star:
     """Base mode: natural persons only and no locality."""
-    return Star(
-        tempo=dim_tempo(src.spark, calendar),
-        produto=dim_produto(src),
-        cliente=dim_cliente_pf(src),
-        vendedor=dim_vendedor(src),
-    )
+    return _built(src, calendar, {
+        "produto": dim_produto, "cliente": dim_cliente_pf, "vendedor": dim_vendedor,
+    })
+
+
+def _built(src: SalesSource, calendar: Calendar, builders: dict) -> Star:
+    """The dimensions do not depend on each other, so their jobs share the cluster."""
+    with ThreadPoolExecutor(len(builders)) as pool:
+        jobs = {name: pool.submit(build, src) for name, build in builders.items()}
+        tables = {name: job.result() for name, job in jobs.items()}
+    return Star(tempo=dim_tempo(src.spark, calendar), **tables)

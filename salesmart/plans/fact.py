@@ -12,6 +12,7 @@ from salesmart.functions.numeric import discount, discount_pct
 from salesmart.operators.lookup import HOT_KEY_ROWS, fan_out_join
 from salesmart.operators.replace import replace_by_key
 from salesmart.plans.dims import Star
+from salesmart.sources.calendar import days
 from salesmart.sources.tables import SalesSource
 
 STORE_DAY = schemas.STORE_DAY.name
@@ -39,8 +40,8 @@ def _invoices(src: SalesSource, first: date | None, last: date | None) -> DataFr
 def _with_day(headers: DataFrame, star: Star) -> DataFrame:
     if star.tempo is None:
         return headers
-    days = star.tempo.select("sk_tempo", F.col("data").alias(STORE_DAY))
-    return headers.join(days, STORE_DAY, "left")
+    calendar = star.tempo.withColumnRenamed("data", STORE_DAY)
+    return headers.join(days(calendar, "sk_tempo", STORE_DAY), STORE_DAY, "left")
 
 
 def _with_buyer(headers: DataFrame, star: Star, hot_key_rows: int) -> DataFrame:
@@ -119,5 +120,5 @@ def fact_after_day(
     stored: DataFrame, tempo: DataFrame, run_date: date, new: DataFrame
 ) -> DataFrame:
     """The stored fact once the rows of a day are replaced by ``new``."""
-    day = tempo.where(F.col("data") == F.lit(run_date))
+    day = days(tempo.where(F.col("data") == F.lit(run_date)), "sk_tempo")
     return replace_by_key(stored, "sk_tempo", day, new)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart import schemas
+from salesmart.sources.calendar import days
 
 STORE_DAY = schemas.STORE_DAY.name
 
@@ -21,7 +22,7 @@ def month_of(run_date: date) -> tuple[date, date]:
 
 def lake_base_rows(fact: DataFrame, tempo: DataFrame) -> DataFrame:
     """Whole fact with its year and month, three data columns."""
-    return fact.join(tempo.select("sk_tempo", "ano", "mes"), "sk_tempo").select(
+    return fact.join(days(tempo, "sk_tempo", "ano", "mes"), "sk_tempo").select(
         *schemas.LAKE_BASE.names
     )
 
@@ -37,10 +38,10 @@ def lake_month_rows(
     first, last = month_of(run_date)
     if STORE_DAY in fact.columns:
         fact = fact.where(F.col(STORE_DAY).between(F.lit(first), F.lit(last)))
-    days = tempo.where((F.col("ano") == first.year) & (F.col("mes") == first.month))
+    month = tempo.where((F.col("ano") == first.year) & (F.col("mes") == first.month))
     places = localidade.select("sk_localidade", "sigla_estado", "cidade")
     return (
-        fact.join(days.select("sk_tempo", "data", "ano", "mes"), "sk_tempo")
+        fact.join(days(month, "sk_tempo", "data", "ano", "mes"), "sk_tempo")
         .join(places, "sk_localidade", "left")
         .select(*schemas.LAKE.names)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import attainment_stored, total_money, total_quantity
 from salesmart.operators.keys import dense_keys
+from salesmart.sources.calendar import days
 
 _MONTH = ["ano", "mes"]
 _PLACE = ["ano", "sigla_estado", "estado", "cidade"]
@@ -32,7 +33,7 @@ def month_totals(lines: DataFrame) -> DataFrame:
 
 def monthly_sales(fact: DataFrame, tempo: DataFrame) -> DataFrame:
     """Monthly mart rows; sales outside the calendar are left out."""
-    return month_totals(fact.join(tempo.select("sk_tempo", *_MONTH), "sk_tempo"))
+    return month_totals(fact.join(days(tempo, "sk_tempo", *_MONTH), "sk_tempo"))
 
 
 def locality_sales(fact: DataFrame, tempo: DataFrame, localidade: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def locality_sales(fact: DataFrame, tempo: DataFrame, localidade: DataFrame) ->
     """
     per_key = (
         fact.where(F.col("sk_localidade").isNotNull())
-        .join(tempo.select("sk_tempo", "ano"), "sk_tempo")
+        .join(days(tempo, "sk_tempo", "ano"), "sk_tempo")
         .groupBy("ano", "sk_localidade")
         .agg(
             F.sum("quantidade").alias("qtd"),
@@ -87,7 +88,7 @@ def revenue_by_state(fact: DataFrame, tempo: DataFrame, localidade: DataFrame) -
     """Revenue per state straight off the star schema; NULL is 'state unknown'."""
     per_key = (
         fact.where(F.col("sk_localidade").isNotNull())
-        .join(tempo.select("sk_tempo"), "sk_tempo")
+        .join(days(tempo, "sk_tempo"), "sk_tempo")
         .groupBy("sk_localidade")
         .agg(F.sum("valor_venda_real").alias("real"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import total_money, total_quantity
 from salesmart.plans.dims import Star
+from salesmart.sources.calendar import days
 
 KEYS = {
     "tempo": "sk_tempo",
@@ -89,7 +90,7 @@ def reconciliation(
     = locality_mart. A non-zero unexplained row means that a mart is stale or wrong.
     """
     in_calendar = F.col("in_calendar").isNotNull()
-    days = star.tempo.select("sk_tempo", F.lit(True).alias("in_calendar"))
+    calendar = days(star.tempo.withColumn("in_calendar", F.lit(True)), "sk_tempo", "in_calendar")
     complete = F.col("sigla_estado").isNotNull() & F.col("estado").isNotNull() & F.col(
         "cidade"
     ).isNotNull()
@@ -102,7 +103,7 @@ def reconciliation(
     )
     measures = ["qtde", "valor_real", "valor_esperado"]
     by_cause = (
-        fact.join(days, "sk_tempo", "left")
+        fact.join(calendar, "sk_tempo", "left")
         .groupBy(in_calendar.alias("in_calendar"), "sk_localidade")
         .agg(
             F.sum("quantidade").alias("q"),

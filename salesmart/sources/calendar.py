@@ -46,3 +46,12 @@ def dim_tempo(spark: SparkSession, calendar: Calendar) -> DataFrame:
         F.date_format(data, "EEEE").alias("dia_semana"),
         (F.weekday(data) >= 5).alias("is_fim_semana"),
     ).select(*DIM_TEMPO.names)
+
+
+def days(tempo: DataFrame, *columns: str) -> DataFrame:
+    """Columns of the calendar, to be sent to every task.
+
+    A calendar has one row per day and so never grows with the sales; a join that
+    shuffled the fact by day would put a busy day into one task.
+    """
+    return F.broadcast(tempo.select(*columns))
