@@ -32,6 +32,11 @@ def years(monthly: DataFrame) -> DataFrame:
     )
 
 
+def latest_year(monthly: DataFrame) -> int:
+    """The year shown when none is chosen."""
+    return monthly.agg(F.max("ano")).first()[0]
+
+
 def monthly_charts(mart: DataFrame, year: int) -> DataFrame:
     """Real against target, attainment, quantity and deviation per month."""
     pct, deviation = F.col("pct_ating"), F.col("desvio")

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart import schemas
@@ -24,6 +25,11 @@ FACT = "fato_venda"
 MONTH_MART = "vendas_ano_mes"
 LOCALITY_MART = "vendas_localidade"
 
+MART_SCHEMAS = {
+    MONTH_MART: schemas.MART_ANO_MES,
+    LOCALITY_MART: schemas.MART_LOCALIDADE,
+}
+
 MartSink = Callable[[DataFrame, str], None]
 
 
@@ -159,6 +165,21 @@ def load_fact(
     )
 
 
+def clear_days_without_sales(
+    src: SalesSource, warehouse: Warehouse, first: date, last: date
+) -> None:
+    """Empty the stored days of first..last for which the source has no sales."""
+    day = schemas.STORE_DAY.name
+    in_range = F.col(day).between(F.lit(first), F.lit(last))
+    stored = stored_fact(src.spark, warehouse).where(in_range).select(day).distinct()
+    sold = sales_fact(src, dims.Star(), first, last).select(day).distinct()
+    # At most one row per day of the range.
+    for row in stored.join(sold, day, "left_anti").collect():
+        tables.clear_fact_day(
+            src.spark, warehouse.table(FACT), schemas.FATO_VENDA_STORE, row[day]
+        )
+
+
 def load_lake_month(spark: SparkSession, warehouse: Warehouse, run_date: date) -> int:
     """Replace the lake snapshot of the run date's month."""
     star = stored_star(spark, warehouse, MAIN_DIMENSIONS)
@@ -179,25 +200,28 @@ def load_marts(
         marts.locality_sales(fact, star.tempo, star.localidade)
     )
     return {
-        MONTH_MART: _write_mart(
-            monthly, warehouse, MONTH_MART, schemas.MART_ANO_MES, run_ts, sink),
-        LOCALITY_MART: _write_mart(
-            locality, warehouse, LOCALITY_MART, schemas.MART_LOCALIDADE, run_ts, sink),
+        name: _write_mart(mart, warehouse, name, run_ts, sink)
+        for name, mart in ((MONTH_MART, monthly), (LOCALITY_MART, locality))
     }
 
 
+def stored_mart(spark: SparkSession, warehouse: Warehouse, name: str) -> DataFrame:
+    """A mart as the dashboard reads it."""
+    return tables.read_table(spark, warehouse.table(name), MART_SCHEMAS[name])
+
+
 def _write_mart(
     mart: DataFrame,
     warehouse: Warehouse,
     name: str,
-    schema: T.StructType,
     run_ts: datetime,
     sink: MartSink | None,
 ) -> int:
-    path = warehouse.table(name)
-    count = tables.write_full(marts.stamped(mart, run_ts), path, schema)
+    count = tables.write_full(
+        marts.stamped(mart, run_ts), warehouse.table(name), MART_SCHEMAS[name]
+    )
     if sink is not None:
-        sink(tables.read_table(mart.sparkSession, path, schema), name)
+        sink(stored_mart(mart.sparkSession, warehouse, name), name)
     return count
 
 
@@ -214,17 +238,15 @@ def run_pipeline(
 ) -> RunReport:
     """Dimensions, fact day, lake month, marts, validation.
 
-    ``first`` loads the days first..run_date instead of one. A day without sales
-    leaves the rows stored for it alone unless ``force_clear`` is set.
+    ``first`` loads the days first..run_date instead of one. The rows stored for a
+    day that now has no sales are left alone unless ``force_clear`` is set.
     """
     spark = src.spark
     report = RunReport()
     report.counts.update(load_dimensions(src, warehouse, calendar, MAIN_DIMENSIONS))
     loaded = load_fact(src, warehouse, first or run_date, run_date, one_locality)
-    if force_clear and loaded == 0:
-        tables.clear_fact_day(
-            spark, warehouse.table(FACT), schemas.FATO_VENDA_STORE, run_date
-        )
+    if force_clear:
+        clear_days_without_sales(src, warehouse, first or run_date, run_date)
     report.counts[FACT] = loaded
     report.counts["lake"] = load_lake_month(spark, warehouse, run_date)
     report.counts.update(load_marts(spark, warehouse, run_ts, mart_sink))
@@ -258,7 +280,7 @@ def run_full_refresh(
     rows = read_lake(spark, warehouse.lake, schemas.LAKE_BASE, years)
     monthly = marts.mart_ano_mes(marts.month_totals(rows))
     report.counts[MONTH_MART] = _write_mart(
-        monthly, warehouse, MONTH_MART, schemas.MART_ANO_MES, run_ts, mart_sink
+        monthly, warehouse, MONTH_MART, run_ts, mart_sink
     )
     return report
 
@@ -270,9 +292,6 @@ def warehouse_counts(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
         **star.tables(),
         FACT: stored_fact(spark, warehouse),
         "lake": tables.read_table(spark, warehouse.lake, schemas.LAKE),
-        MONTH_MART: tables.read_table(
-            spark, warehouse.table(MONTH_MART), schemas.MART_ANO_MES),
-        LOCALITY_MART: tables.read_table(
-            spark, warehouse.table(LOCALITY_MART), schemas.MART_LOCALIDADE),
+        **{name: stored_mart(spark, warehouse, name) for name in MART_SCHEMAS},
     }
     return quality.row_counts(stored)

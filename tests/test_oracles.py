@@ -7,17 +7,12 @@ import pytest
 import __spark_entry__ as entry
 import check
 
-FOLDERS = {"sf0.001": "/root/testdata/sf0.001", "sf0.01": "/root/testdata/sf0.01"}
-
-
-@pytest.fixture(scope="module", params=list(FOLDERS))
-def folder(request):
-    return FOLDERS[request.param]
+FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
-def oracle(folder):
-    return check.connect(folder)
+def oracle():
+    return check.connect(FOLDER)
 
 
 def test_every_query_has_an_oracle():
@@ -25,8 +20,8 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
-def test_query_equals_its_oracle(spark, oracle, folder, name):
-    columns, got = check.spark_bag(entry.queries()[name](spark, folder))
+def test_query_equals_its_oracle(spark, oracle, name):
+    columns, got = check.spark_bag(entry.queries()[name](spark, FOLDER))
     expected_columns, expected = check.oracle_bag(oracle, entry.oracle_sql()[name])
     assert columns == expected_columns
     assert got == expected
