@@ -11,6 +11,7 @@ from salesmart import schemas
 from salesmart.functions.numeric import discount, discount_pct
 from salesmart.operators.lookup import HOT_KEY_ROWS, fan_out_join
 from salesmart.operators.replace import replace_by_key
+from salesmart.operators.staging import stage
 from salesmart.plans.dims import Star
 from salesmart.sources.calendar import days
 from salesmart.sources.tables import SalesSource
@@ -65,11 +66,17 @@ def _with_seller(headers: DataFrame, star: Star) -> DataFrame:
 
 
 def _products(src: SalesSource, star: Star) -> DataFrame:
-    """List price of every product, with its key where it has a category."""
+    """List price of every product, with its key where it has a category.
+
+    Written first: the fact then joins a table of known size, and if that join is
+    a sort-merge join, it is one between two shuffles. Adaptive execution splits a
+    hot product there; it would not if the lookup were itself a join on the product.
+    """
     products = src.produto.select(F.col("id").alias("id_produto"), "valor_venda")
     if star.produto is None:
         return products
-    return products.join(star.produto.select("id_produto", "sk_produto"), "id_produto", "left")
+    keys = star.produto.select("id_produto", "sk_produto")
+    return stage(products.join(keys, "id_produto", "left"), "products")
 
 
 def sales_fact(
