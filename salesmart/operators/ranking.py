@@ -13,5 +13,5 @@ def top_ranked(df: DataFrame, n: int, value: str, tie_breaker: str) -> DataFrame
     rank sees ``n`` rows.
     """
     order = [F.col(value).desc(), F.col(tie_breaker).asc()]
-    rank = F.row_number().over(Window.orderBy(*order)).alias("rank")
+    rank = F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank")
     return df.orderBy(*order).limit(n).select(rank, *df.columns)

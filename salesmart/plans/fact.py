@@ -38,6 +38,20 @@ def _invoices(src: SalesSource, first: date | None, last: date | None) -> DataFr
     )
 
 
+def _lines(src: SalesSource, invoices: DataFrame | None) -> DataFrame:
+    """Invoice lines; given some ``invoices``, at least those that belong to them.
+
+    Lines carry no date, but invoice numbers grow with time. The number range of
+    a few days' invoices is pushed into the scan of the lines, where it skips row
+    groups or is run by the source database; the join then takes the exact ones.
+    """
+    lines = src.item_nota_fiscal.withColumnRenamed("id_nota_fiscal", "id_nota")
+    if invoices is None:
+        return lines
+    span = invoices.agg(F.min("id_nota").alias("low"), F.max("id_nota").alias("high")).first()
+    return lines.where(F.col("id_nota").between(F.lit(span["low"]), F.lit(span["high"])))
+
+
 def _with_day(headers: DataFrame, star: Star) -> DataFrame:
     if star.tempo is None:
         return headers
@@ -93,10 +107,11 @@ def sales_fact(
     then shuffled once by invoice and once by product; both list price and product
     key come from that one product join.
     """
+    invoices = _invoices(src, first, last)
     headers = _with_seller(
-        _with_buyer(_with_day(_invoices(src, first, last), star), star, hot_key_rows), star
+        _with_buyer(_with_day(invoices, star), star, hot_key_rows), star
     )
-    lines = src.item_nota_fiscal.withColumnRenamed("id_nota_fiscal", "id_nota")
+    lines = _lines(src, None if first is None or last is None else invoices)
     taken_off = discount(F.col("valor_venda"), F.col("valor_unitario"))
     fact = (
         headers.join(lines, "id_nota")

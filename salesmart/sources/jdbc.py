@@ -57,23 +57,36 @@ class Slices:
 
 
 def read_options(
-    connection: Connection, query: str, slices: Slices | None = None
+    connection: Connection,
+    query: str,
+    slices: Slices | None = None,
+    schema: str | None = None,
 ) -> dict[str, str]:
-    """Options for reading a query; ``query`` may also be a plain table name."""
+    """Options for reading a query; ``query`` may also be a plain table name.
+
+    ``schema`` declares the column types instead of taking the database's.
+    """
     text = query.strip()
     options = connection.options()
     options["dbtable"] = f"({text}) q" if " " in text else text
     options["fetchsize"] = str(FETCH_ROWS)
     if slices is not None:
         options.update(slices.options())
+    if schema is not None:
+        options["customSchema"] = schema
     return options
 
 
 def read_sql(
-    spark: SparkSession, connection: Connection, query: str, slices: Slices | None = None
+    spark: SparkSession,
+    connection: Connection,
+    query: str,
+    slices: Slices | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
-    """The rows of a query over a connection."""
-    return spark.read.format("jdbc").options(**read_options(connection, query, slices)).load()
+    """The rows of a query over a connection; filters on them run in the database."""
+    options = read_options(connection, query, slices, schema)
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def column_range(spark: SparkSession, connection: Connection, table: str, column: str):
@@ -90,12 +103,14 @@ def table_query(table: str) -> str:
 def sales_source(spark: SparkSession, connection: Connection, parallel: int) -> SalesSource:
     """Every source table, the large ones sliced on a key into ``parallel`` reads."""
     frames = {}
-    for table in SOURCE_SCHEMAS:
+    for table, schema in SOURCE_SCHEMAS.items():
         slices = None
         if table in SLICE_COLUMNS:
             column = SLICE_COLUMNS[table]
             low, high = column_range(spark, connection, table, column)
             if low is not None and high > low:
                 slices = Slices(column, int(low), int(high), parallel)
-        frames[short_name(table)] = read_sql(spark, connection, table_query(table), slices)
+        frames[short_name(table)] = read_sql(
+            spark, connection, table_query(table), slices, schema
+        )
     return from_mapping(frames)

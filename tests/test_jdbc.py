@@ -13,7 +13,7 @@ def test_query_is_read_as_a_subquery():
     options = jdbc.read_options(CONNECTION, " SELECT id FROM vendas.produto ")
     assert options["dbtable"] == "(SELECT id FROM vendas.produto) q"
     assert options["url"] == "jdbc:postgresql://host:5432/db"
-    assert "numPartitions" not in options
+    assert "numPartitions" not in options and "customSchema" not in options
     assert jdbc.read_options(CONNECTION, "vendas.produto")["dbtable"] == "vendas.produto"
 
 
@@ -24,6 +24,13 @@ def test_large_tables_are_read_in_slices():
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "32"}
 
 
+def test_types_are_declared():
+    schema = SOURCE_SCHEMAS["vendas.produto"]
+    options = jdbc.read_options(CONNECTION, "vendas.produto", schema=schema)
+    assert options["customSchema"] == (
+        "id long, nome string, id_categoria long, valor_venda decimal(18,2)")
+
+
 def test_table_queries_name_only_the_columns_used():
     assert jdbc.table_query("geral.endereco") == (
         "SELECT id, id_pessoa, id_bairro, cep FROM geral.endereco")

@@ -21,10 +21,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_equals_its_oracle(spark, oracle, name):
-    columns, got = check.spark_bag(entry.queries()[name](spark, FOLDER))
-    expected_columns, expected = check.oracle_bag(oracle, entry.oracle_sql()[name])
-    assert columns == expected_columns
-    assert got == expected
+    result, sql = entry.queries()[name](spark, FOLDER), entry.oracle_sql()[name]
+    assert check.spark_types(result) == check.oracle_types(oracle, sql)
+    assert check.spark_bag(result) == check.oracle_bag(oracle, sql)
 
 
 def test_entry(spark):

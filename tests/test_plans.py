@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,11 +68,28 @@ def test_no_cross_join_and_no_python(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_day_filter_reaches_the_scan(source, star):
-    plan = plan_of(fact.fact_daily(source, star, date(1998, 10, 3)))
+@pytest.fixture(scope="module")
+def busy_day(source) -> date:
+    return source.nota_fiscal.select("data_venda").first().data_venda.date()
+
+
+def test_day_filter_reaches_the_scan(source, star, busy_day):
+    plan = plan_of(fact.fact_daily(source, star, busy_day))
+    assert re.search(
+        rf"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,{busy_day}.*"
+        rf"LessThan\(o_orderdate,{busy_day + timedelta(days=1)}", plan)
+
+
+def test_invoice_numbers_of_the_day_reach_the_scan_of_the_lines(source, star, busy_day):
+    plan = plan_of(fact.fact_daily(source, star, busy_day))
     assert re.search(
-        r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,1998-10-03.*"
-        r"LessThan\(o_orderdate,1998-10-04", plan)
+        r"PushedFilters: \[.*GreaterThanOrEqual\(l_orderkey,\d+.*LessThanOrEqual\(l_orderkey,",
+        plan)
+
+
+def test_a_day_without_invoices_does_not_read_the_lines(source, star):
+    plan = plan_of(fact.fact_daily(source, star, date(2030, 1, 1)), "simple")
+    assert "lineitem" not in plan
 
 
 def test_scans_read_only_the_columns_used(source):
