@@ -100,7 +100,7 @@ def test_adaptive_execution_splits_the_hot_keys(spark, source, star, expected):
         facts = fact.sales_fact(source, star)
         assert len(facts.collect()) == expected[0]
         plan = plan_of(facts)
-        split = re.findall(r"SortMergeJoin\(skew=true\).*\nLeft keys \[1\]: \[(\w+)#", plan)
+        split = re.findall(r"Join\(skew=true\).*\nLeft keys \[1\]: \[(\w+)#", plan)
         assert set(split) >= {"id_cliente", "id_vendedor", "id_nota", "id_produto"}
 
 
