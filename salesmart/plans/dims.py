@@ -8,7 +8,6 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart import schemas
 from salesmart.operators.keys import stable_keys
 from salesmart.sources.calendar import Calendar, dim_tempo
 from salesmart.sources.tables import SalesSource
@@ -159,14 +158,8 @@ def dim_localidade(src: SalesSource, existing: DataFrame | None = None) -> DataF
 
 def one_locality_per_person(localidade: DataFrame) -> DataFrame:
     """The first address of each person, by key: no fan-out in the fact."""
-    columns = [c for c in schemas.DIM_LOCALIDADE.names if c != "id_pessoa"]
-    first = F.min_by(F.struct(*columns), "sk_localidade").alias("first")
-    return (
-        localidade.groupBy("id_pessoa")
-        .agg(first)
-        .select("id_pessoa", "first.*")
-        .select(*schemas.DIM_LOCALIDADE.names)
-    )
+    first = localidade.groupBy("id_pessoa").agg(F.min("sk_localidade").alias("sk_localidade"))
+    return localidade.join(first.select("sk_localidade"), "sk_localidade", "left_semi")
 
 
 def with_one_locality(star: Star) -> Star:

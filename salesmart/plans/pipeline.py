@@ -161,7 +161,7 @@ def load_fact(
         star = dims.with_one_locality(star)
     fact = sales_fact(src, star, first, last)
     return tables.replace_fact_days(
-        fact, warehouse.table(FACT), schemas.FATO_VENDA_STORE
+        fact, warehouse.table(FACT), schemas.FATO_VENDA_STORE, gather=first != last
     )
 
 
@@ -186,7 +186,7 @@ def load_lake_month(spark: SparkSession, warehouse: Warehouse, run_date: date) -
     rows = lake.lake_month_rows(
         stored_fact(spark, warehouse), star.tempo, star.localidade, run_date
     )
-    return tables.write_lake_months(rows, warehouse.lake, schemas.LAKE)
+    return tables.write_lake_month(rows, warehouse.lake, schemas.LAKE)
 
 
 def load_marts(
@@ -275,7 +275,8 @@ def run_full_refresh(
     report.counts[FACT] = tables.write_fact_full(sales_fact(src, star), path, schema)
     fact = tables.read_table(spark, path, schema)
     report.counts["lake"] = tables.write_lake_full(
-        lake.lake_base_rows(fact, star.tempo), warehouse.lake, schemas.LAKE_BASE
+        lake.lake_base_rows(fact, star.tempo), warehouse.lake, schemas.LAKE_BASE,
+        gather=False,
     )
     rows = read_lake(spark, warehouse.lake, schemas.LAKE_BASE, years)
     monthly = marts.mart_ano_mes(marts.month_totals(rows))

@@ -21,13 +21,16 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias(_COUNT)), seen
 
 
-def _rebalanced(df: DataFrame, *columns: str) -> DataFrame:
-    """Bring equal partition values together without one task per value.
-
-    Adaptive execution splits a value with very many rows over several tasks and
-    merges small ones, so neither one huge nor many tiny files are written.
+def _gathered(df: DataFrame, gather: bool, *columns: str) -> DataFrame:
+    """Bring equal partition values together, without one task per value.
+
+    Rows that come out of joins hold every day in every task; written as they are,
+    each task would open a file per day. Adaptive execution splits a value with very
+    many rows over several tasks and merges small ones, so neither one huge nor many
+    tiny files are written. Rows of a single partition value, or read from a store
+    laid out by day, are ``gather=False``: they need no such shuffle.
     """
-    return df.hint("rebalance", *[F.col(c) for c in columns])
+    return df.hint("rebalance", *[F.col(c) for c in columns]) if gather else df
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -56,28 +59,30 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> int:
     return seen.get[_COUNT]
 
 
-def _store_ready(fact: DataFrame, schema: T.StructType) -> DataFrame:
+def _store_ready(fact: DataFrame, schema: T.StructType, gather: bool) -> DataFrame:
     """Sorted as the warehouse reads it: by day key, then product key."""
     day = STORE_DAY.name
-    return _rebalanced(conform(fact, schema), day).sortWithinPartitions(
+    return _gathered(conform(fact, schema), gather, day).sortWithinPartitions(
         day, "sk_tempo", "sk_produto"
     )
 
 
 def write_fact_full(fact: DataFrame, path: str, schema: T.StructType) -> int:
     """Full refresh of the fact store, one folder per sale date."""
-    rows, seen = _counted(_store_ready(fact, schema))
+    rows, seen = _counted(_store_ready(fact, schema, gather=True))
     rows.write.mode("overwrite").partitionBy(STORE_DAY.name).parquet(path)
     return seen.get[_COUNT]
 
 
-def replace_fact_days(fact: DataFrame, path: str, schema: T.StructType) -> int:
+def replace_fact_days(
+    fact: DataFrame, path: str, schema: T.StructType, gather: bool = True
+) -> int:
     """Replace the days that ``fact`` holds, leaving all others as they are.
 
     The new folders are swapped in when the job commits. A day without rows is not
     touched; use :func:`clear_fact_day` for a day corrected to empty.
     """
-    rows, seen = _counted(_store_ready(fact, schema))
+    rows, seen = _counted(_store_ready(fact, schema, gather))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -102,15 +107,20 @@ def _lake_writer(rows: DataFrame):
     )
 
 
-def write_lake_full(rows: DataFrame, path: str, schema: T.StructType) -> int:
+def write_lake_full(
+    rows: DataFrame, path: str, schema: T.StructType, gather: bool = True
+) -> int:
     """Rewrite the whole lake, on any file system the executors can reach."""
-    rows, seen = _counted(_rebalanced(conform(rows, schema), *LAKE_PARTITIONS))
+    rows, seen = _counted(_gathered(conform(rows, schema), gather, *LAKE_PARTITIONS))
     _lake_writer(rows).parquet(path)
     return seen.get[_COUNT]
 
 
-def write_lake_months(rows: DataFrame, path: str, schema: T.StructType) -> int:
-    """Replace the months that ``rows`` holds: one snapshot per month, not per run."""
-    rows, seen = _counted(_rebalanced(conform(rows, schema), *LAKE_PARTITIONS))
+def write_lake_month(rows: DataFrame, path: str, schema: T.StructType) -> int:
+    """Replace the month that ``rows`` holds: one snapshot per month, not per run.
+
+    Without rows nothing is touched.
+    """
+    rows, seen = _counted(conform(rows, schema))
     _lake_writer(rows).option("partitionOverwriteMode", "dynamic").parquet(path)
     return seen.get[_COUNT]

@@ -109,10 +109,10 @@ def test_lake_month_is_one_snapshot_however_often_it_is_written(spark, sales, st
     path = str(tmp_path / "lake")
     for day in (date(2024, 2, 5), date(2024, 2, 6), date(2024, 1, 10), date(2024, 2, 28)):
         month = lake.lake_month_rows(sales, star.tempo, star.localidade, day)
-        tables.write_lake_months(month, path, schemas.LAKE)
+        tables.write_lake_month(month, path, schemas.LAKE)
     assert read_lake(spark, path, schemas.LAKE, [2024]).count() == 8
     empty = lake.lake_month_rows(sales, star.tempo, star.localidade, date(2024, 3, 1))
-    assert tables.write_lake_months(empty, path, schemas.LAKE) == 0
+    assert tables.write_lake_month(empty, path, schemas.LAKE) == 0
     assert read_lake(spark, path, schemas.LAKE, [2024]).count() == 8
 
 
