@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.sources.tables import SOURCE_SCHEMAS, SalesSource, from_mapping, short_name
+from salesmart.sources.tables import SOURCE_SCHEMAS, SalesSource, short_name
 
 FETCH_ROWS = 10_000
 
@@ -102,15 +103,25 @@ def table_query(table: str) -> str:
 
 def sales_source(spark: SparkSession, connection: Connection, parallel: int) -> SalesSource:
     """Every source table, the large ones sliced on a key into ``parallel`` reads."""
-    frames = {}
-    for table, schema in SOURCE_SCHEMAS.items():
-        slices = None
-        if table in SLICE_COLUMNS:
-            column = SLICE_COLUMNS[table]
-            low, high = column_range(spark, connection, table, column)
-            if low is not None and high > low:
-                slices = Slices(column, int(low), int(high), parallel)
-        frames[short_name(table)] = read_sql(
-            spark, connection, table_query(table), slices, schema
+
+    def reader(table: str, schema: str) -> Callable[[], DataFrame]:
+        return lambda: read_sql(
+            spark, connection, table_query(table),
+            _slices(spark, connection, table, parallel), schema,
         )
-    return from_mapping(frames)
+
+    return SalesSource(spark, {
+        short_name(table): reader(table, schema) for table, schema in SOURCE_SCHEMAS.items()
+    })
+
+
+def _slices(
+    spark: SparkSession, connection: Connection, table: str, count: int
+) -> Slices | None:
+    column = SLICE_COLUMNS.get(table)
+    if column is None:
+        return None
+    low, high = column_range(spark, connection, table, column)
+    if low is None or low == high:
+        return None
+    return Slices(column, int(low), int(high), count)

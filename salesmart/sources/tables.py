@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,45 +33,42 @@ def short_name(table: str) -> str:
     return table.rsplit(".", 1)[-1]
 
 
-@dataclass(frozen=True)
 class SalesSource:
     """One frame per source table, with the columns of ``SOURCE_SCHEMAS``.
 
-    Sellers are natural persons; ``vendedor_pf`` may name another frame for them
-    and is the table of natural persons otherwise.
+    Frames are attributes named like the tables, without their schema; each is
+    opened when it is first used. Sellers are natural persons; ``vendedor_pf`` may
+    name another frame for them and is the table of natural persons otherwise.
     """
 
-    pessoa: DataFrame
-    pessoa_fisica: DataFrame
-    pessoa_juridica: DataFrame
-    endereco: DataFrame
-    bairro: DataFrame
-    cidade: DataFrame
-    estado: DataFrame
-    categoria: DataFrame
-    produto: DataFrame
-    nota_fiscal: DataFrame
-    item_nota_fiscal: DataFrame
-    vendedor_pf: DataFrame | None = None
+    def __init__(self, spark: SparkSession, open_table: Mapping[str, Callable[[], DataFrame]]):
+        self.spark = spark
+        self._open_table = dict(open_table)
 
-    @property
-    def sellers(self) -> DataFrame:
-        return self.pessoa_fisica if self.vendedor_pf is None else self.vendedor_pf
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._open_table:
+            raise AttributeError(name)
+        frame = self._open_table[name]()
+        setattr(self, name, frame)
+        return frame
 
     @property
-    def spark(self) -> SparkSession:
-        return self.nota_fiscal.sparkSession
+    def sellers(self) -> DataFrame:
+        return getattr(self, "vendedor_pf" if "vendedor_pf" in self._open_table else "pessoa_fisica")
 
 
-def from_mapping(frames: dict[str, DataFrame]) -> SalesSource:
-    """Build a source from a name → frame mapping; unknown names are ignored."""
-    names = {f.name for f in fields(SalesSource)}
-    return SalesSource(**{k: v for k, v in frames.items() if k in names})
+def from_frames(spark: SparkSession, frames: Mapping[str, DataFrame]) -> SalesSource:
+    """A source over frames that are already open."""
+    return SalesSource(spark, {name: lambda df=df: df for name, df in frames.items()})
 
 
 def from_parquet(spark: SparkSession, folder: str) -> SalesSource:
-    """Read a source dump, one Parquet table per source table, without inference."""
-    return from_mapping({
-        short_name(table): spark.read.schema(schema).parquet(f"{folder}/{short_name(table)}")
+    """A source dump, one Parquet table per source table, read without inference."""
+
+    def reader(name: str, schema: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(schema).parquet(f"{folder}/{name}")
+
+    return SalesSource(spark, {
+        short_name(table): reader(short_name(table), schema)
         for table, schema in SOURCE_SCHEMAS.items()
     })

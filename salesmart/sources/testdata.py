@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.schemas import MONEY
 from salesmart.sources.calendar import Calendar
 from salesmart.sources.tables import SalesSource
 
@@ -32,114 +31,82 @@ _SCHEMAS = {
 
 
 def sales_source(spark: SparkSession, folder: str) -> SalesSource:
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    customer, nation, part = table("customer"), table("nation"), table("part")
-    return SalesSource(
-        pessoa=customer.select(F.col("c_custkey").alias("id")),
-        pessoa_fisica=_natural_persons(customer),
-        pessoa_juridica=_legal_persons(customer),
-        endereco=_addresses(customer),
-        bairro=nation.select(
-            F.col("n_nationkey").alias("id"),
-            F.concat(F.lit("B_"), "n_name").alias("descricao"),
-            F.col("n_nationkey").alias("id_cidade"),
-        ),
-        cidade=nation.select(
-            F.col("n_nationkey").alias("id"),
-            F.col("n_name").alias("descricao"),
-            F.col("n_regionkey").alias("id_estado"),
-        ),
-        estado=table("region").select(
-            F.col("r_regionkey").alias("id"),
-            F.upper(F.left("r_name", F.lit(2))).alias("sigla"),
-            F.col("r_name").alias("descricao"),
-        ),
-        categoria=part.select(
-            F.col("p_type").alias("id"), F.col("p_type").alias("descricao")
-        ).distinct(),
-        produto=part.select(
-            F.col("p_partkey").alias("id"),
-            F.col("p_name").alias("nome"),
-            F.when(F.col("p_brand") != "Brand#2", F.col("p_type")).alias("id_categoria"),
-            _retail().alias("valor_venda"),
-        ),
-        nota_fiscal=table("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_orderdate").alias("data_venda"),
-            F.col("o_custkey").alias("id_cliente"),
-            (F.col("o_orderkey") % 10).alias("id_vendedor"),
-        ),
-        item_nota_fiscal=_items(table("lineitem"), part),
-        vendedor_pf=table("supplier")
-        .where(F.col("s_suppkey") % 7 != 6)
-        .select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("nome")),
-    )
-
-
-def _retail() -> Column:
-    return F.col("p_retailprice").cast(MONEY)
-
-
-def _padded_key(width: int) -> Column:
-    return F.lpad(F.col("c_custkey").cast("string"), width, "0")
+    return SalesSource(spark, {
+        "pessoa": lambda: table("customer").selectExpr("c_custkey AS id"),
+        "pessoa_fisica": lambda: _natural_persons(table("customer")),
+        "pessoa_juridica": lambda: _legal_persons(table("customer")),
+        "endereco": lambda: _addresses(table("customer")),
+        "bairro": lambda: table("nation").selectExpr(
+            "n_nationkey AS id", "concat('B_', n_name) AS descricao",
+            "n_nationkey AS id_cidade"),
+        "cidade": lambda: table("nation").selectExpr(
+            "n_nationkey AS id", "n_name AS descricao", "n_regionkey AS id_estado"),
+        "estado": lambda: table("region").selectExpr(
+            "r_regionkey AS id", "upper(left(r_name, 2)) AS sigla", "r_name AS descricao"),
+        "categoria": lambda: table("part").selectExpr(
+            "p_type AS id", "p_type AS descricao").distinct(),
+        "produto": lambda: table("part").selectExpr(
+            "p_partkey AS id", "p_name AS nome",
+            "CASE WHEN p_brand <> 'Brand#2' THEN p_type END AS id_categoria",
+            "CAST(p_retailprice AS DECIMAL(18,2)) AS valor_venda"),
+        "nota_fiscal": lambda: table("orders").selectExpr(
+            "o_orderkey AS id", "o_orderdate AS data_venda",
+            "o_custkey AS id_cliente", "o_orderkey % 10 AS id_vendedor"),
+        "item_nota_fiscal": lambda: _items(table("lineitem"), table("part")),
+        "vendedor_pf": lambda: table("supplier").where("s_suppkey % 7 <> 6").selectExpr(
+            "s_suppkey AS id", "s_name AS nome"),
+    })
 
 
 def _natural_persons(customer: DataFrame) -> DataFrame:
-    return customer.where(F.col("c_mktsegment").isin("HOUSEHOLD", "BUILDING")).select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("nome"),
-        _padded_key(11).alias("cpf"),
-    )
+    return customer.where("c_mktsegment IN ('HOUSEHOLD', 'BUILDING')").selectExpr(
+        "c_custkey AS id", "c_name AS nome",
+        "lpad(CAST(c_custkey AS STRING), 11, '0') AS cpf")
 
 
 def _legal_persons(customer: DataFrame) -> DataFrame:
-    segment = F.col("c_mktsegment")
-    unregistered = (segment == "MACHINERY") & (F.col("c_custkey") % 5 == 0)
-    return customer.where((segment != "HOUSEHOLD") & ~unregistered).select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("razao_social"),
-        _padded_key(14).alias("cnpj"),
+    registered = (
+        "c_mktsegment <> 'HOUSEHOLD' AND NOT (c_mktsegment = 'MACHINERY' AND c_custkey % 5 = 0)"
     )
+    return customer.where(registered).selectExpr(
+        "c_custkey AS id", "c_name AS razao_social",
+        "lpad(CAST(c_custkey AS STRING), 14, '0') AS cnpj")
 
 
 def _addresses(customer: DataFrame) -> DataFrame:
     """One address per customer, a second for some, none for others; one scan."""
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-
-    def address(number: int, city: Column, code: Column) -> Column:
-        return F.struct(
-            (key * 2 + number).alias("id"),
-            F.when(key % 17 != 0, city).alias("id_bairro"),
-            F.lpad(code.cast("string"), 8, "0").alias("cep"),
-        )
-
-    first = address(0, nation, key)
-    second = address(1, (nation + 1) % 25, key + 50_000_000)
     return (
-        customer.where(key % 13 != 0)
-        .select(
-            key.alias("id_pessoa"),
-            F.explode(
-                F.when(key % 10 == 0, F.array(first, second)).otherwise(F.array(first))
-            ).alias("a"),
+        customer.where("c_custkey % 13 <> 0")
+        .selectExpr(
+            "c_custkey",
+            "c_nationkey",
+            "explode(IF(c_custkey % 10 = 0, array(0, 1), array(0))) AS number",
+        )
+        .selectExpr(
+            "c_custkey * 2 + number AS id",
+            "c_custkey AS id_pessoa",
+            "IF(c_custkey % 17 = 0, NULL, (c_nationkey + number) % 25) AS id_bairro",
+            "lpad(CAST(c_custkey + number * 50000000 AS STRING), 8, '0') AS cep",
         )
-        .select("a.id", "id_pessoa", "a.id_bairro", "a.cep")
     )
 
 
 def _items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    price = part.select(F.col("p_partkey").alias("l_partkey"), _retail().alias("retail"))
-
-    def after(rate: str) -> Column:
-        share = F.lit(1) - F.col(rate).cast("decimal(4,2)")
-        return F.round(F.col("retail") * share, 2).cast(MONEY)
-
-    return lineitem.join(price, "l_partkey").select(
-        F.col("l_orderkey").alias("id_nota_fiscal"),
-        F.col("l_partkey").alias("id_produto"),
-        F.col("l_quantity").cast("long").alias("quantidade"),
-        after("l_discount").alias("valor_unitario"),
-        after("l_tax").alias("valor_venda_real"),
+    price = part.selectExpr(
+        "p_partkey AS l_partkey", "CAST(p_retailprice AS DECIMAL(18,2)) AS retail")
+
+    def after(rate: str) -> str:
+        share = f"(1 - CAST({rate} AS DECIMAL(4,2)))"
+        return f"CAST(round(retail * {share}, 2) AS DECIMAL(18,2))"
+
+    return lineitem.join(price, "l_partkey").selectExpr(
+        "l_orderkey AS id_nota_fiscal",
+        "l_partkey AS id_produto",
+        "CAST(l_quantity AS BIGINT) AS quantidade",
+        f"{after('l_discount')} AS valor_unitario",
+        f"{after('l_tax')} AS valor_venda_real",
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
-from salesmart.sources.tables import SOURCE_SCHEMAS, SalesSource, from_mapping, short_name
+from salesmart.sources.tables import SOURCE_SCHEMAS, SalesSource, from_frames, short_name
 
 
 def _money(*values):
@@ -63,7 +63,7 @@ ROWS = {
 
 def source(spark, **changed) -> SalesSource:
     """The source tables; ``changed`` replaces the rows of some, by short name."""
-    return from_mapping({
+    return from_frames(spark, {
         short_name(table): spark.createDataFrame(
             changed.get(short_name(table), ROWS[table]), schema
         )
