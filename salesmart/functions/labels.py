@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import half_even
 
-# Month abbreviations, band names and their limits, currency scales.
+# Month abbreviations, band names and their limits, currency scales and
+# formats, texts around a deviation.
 MONTH_ABBREVIATIONS = {
     1: "Jan", 2: "Fev", 3: "Mar", 4: "Abr", 5: "Mai", 6: "Jun",
     7: "Jul", 8: "Ago", 9: "Set", 10: "Out", 11: "Nov", 12: "Dez",
@@ -19,6 +20,11 @@ ON_TARGET_PCT = 100.0
 NEAR_TARGET_PCT = 85.0
 MILLION = 1_000_000.0
 THOUSAND = 1_000.0
+MILLIONS_FORMAT = "R$ %.2fM"
+THOUSANDS_FORMAT = "R$ %.1fK"
+UNITS_FORMAT = "R$ %,.2f"
+UP, DOWN = "▲ ", "▼ "
+VERSUS_TARGET = " vs meta"
 
 
 def month_abbreviation(month: Column) -> Column:
@@ -46,13 +52,13 @@ def currency(value: Column) -> Column:
     return (
         F.when(
             F.abs(amount) >= MILLION,
-            F.format_string("R$ %.2fM", half_even(amount / MILLION, 2)),
+            F.format_string(MILLIONS_FORMAT, half_even(amount / MILLION, 2)),
         )
         .when(
             F.abs(amount) >= THOUSAND,
-            F.format_string("R$ %.1fK", half_even(amount / THOUSAND, 1)),
+            F.format_string(THOUSANDS_FORMAT, half_even(amount / THOUSAND, 1)),
         )
-        .when(amount.isNotNull(), F.format_string("R$ %,.2f", half_even(amount, 2)))
+        .when(amount.isNotNull(), F.format_string(UNITS_FORMAT, half_even(amount, 2)))
     )
 
 
@@ -68,5 +74,5 @@ def percent(value: Column, digits: int) -> Column:
 
 
 def versus_target(deviation: Column) -> Column:
-    arrow = F.when(deviation >= 0, "▲").otherwise("▼")
-    return F.concat(arrow, F.lit(" "), currency(F.abs(deviation)), F.lit(" vs meta"))
+    arrow = F.when(deviation >= 0, UP).otherwise(DOWN)
+    return F.concat(arrow, currency(F.abs(deviation)), F.lit(VERSUS_TARGET))

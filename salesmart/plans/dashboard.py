@@ -10,8 +10,15 @@ from salesmart.functions.numeric import attainment, or_zero, percent_of, total_m
 from salesmart.operators.ranking import top_ranked
 from salesmart.schemas import MONEY
 
+# How many states and cities are charted, titles and texts of the cards.
 TOP_STATES = 10
 TOP_CITIES = 20
+REVENUE, TARGET, QUANTITY, ATTAINMENT, BEST_MONTH = (
+    "Receita Real", "Meta Esperada", "Qtde Vendida", "Atingimento", "Melhor Mês",
+)
+YEAR_TO_DATE = "acumulado anual"
+AVERAGE_TICKET = "ticket médio "
+ABOVE_TARGET, BELOW_TARGET = "acima da meta", "abaixo da meta"
 
 
 def _of_year(mart: DataFrame, year: int) -> DataFrame:
@@ -102,24 +109,21 @@ def kpis(monthly: DataFrame, year: int) -> DataFrame:
 
 
 def kpi_cards(monthly: DataFrame, year: int) -> DataFrame:
-    """The five cards as rows: title, value, detail and colours.
-
-    Titles and details are fixed values.
-    """
+    """The five cards as rows: title, value, detail and colours."""
     pct, deviation = F.col("pct_atingimento"), F.col("desvio")
     reached = pct >= labels.ON_TARGET_PCT
     band = F.when(reached, labels.GREEN).otherwise(labels.RED)
     muted, orange = F.lit(labels.MUTED), F.lit(labels.ORANGE)
-    ticket = F.concat(F.lit("ticket médio "), labels.currency(F.col("ticket_medio")))
-    status = F.when(reached, "acima da meta").otherwise("abaixo da meta")
+    ticket = F.concat(F.lit(AVERAGE_TICKET), labels.currency(F.col("ticket_medio")))
+    status = F.when(reached, ABOVE_TARGET).otherwise(BELOW_TARGET)
     cards = [
-        ("Receita Real", labels.currency(F.col("receita_real")),
+        (REVENUE, labels.currency(F.col("receita_real")),
          labels.versus_target(deviation), labels.sign_band(deviation), orange),
-        ("Meta Esperada", labels.currency(F.col("receita_esperada")),
-         F.lit("acumulado anual"), muted, orange),
-        ("Qtde Vendida", labels.thousands(F.col("qtde_vendida")), ticket, muted, orange),
-        ("Atingimento", labels.percent(pct, 1), status, band, band),
-        ("Melhor Mês", F.col("melhor_mes"),
+        (TARGET, labels.currency(F.col("receita_esperada")),
+         F.lit(YEAR_TO_DATE), muted, orange),
+        (QUANTITY, labels.thousands(F.col("qtde_vendida")), ticket, muted, orange),
+        (ATTAINMENT, labels.percent(pct, 1), status, band, band),
+        (BEST_MONTH, F.col("melhor_mes"),
          labels.currency(F.col("melhor_valor")), muted, orange),
     ]
     rows = [
