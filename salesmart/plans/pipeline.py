@@ -183,9 +183,10 @@ def clear_days_without_sales(
 def load_lake_month(spark: SparkSession, warehouse: Warehouse, run_date: date) -> int:
     """Replace the lake snapshot of the run date's month."""
     star = stored_star(spark, warehouse, MAIN_DIMENSIONS)
-    rows = lake.lake_month_rows(
-        stored_fact(spark, warehouse), star.tempo, star.localidade, run_date
+    fact = tables.read_fact_month(
+        spark, warehouse.table(FACT), schemas.FATO_VENDA_STORE, run_date
     )
+    rows = lake.lake_month_rows(fact, star.tempo, star.localidade, run_date)
     return tables.write_lake_month(rows, warehouse.lake, schemas.LAKE)
 
 
@@ -275,8 +276,7 @@ def run_full_refresh(
     report.counts[FACT] = tables.write_fact_full(sales_fact(src, star), path, schema)
     fact = tables.read_table(spark, path, schema)
     report.counts["lake"] = tables.write_lake_full(
-        lake.lake_base_rows(fact, star.tempo), warehouse.lake, schemas.LAKE_BASE,
-        gather=False,
+        lake.lake_base_rows(fact, star.tempo), warehouse.lake, schemas.LAKE_BASE
     )
     rows = read_lake(spark, warehouse.lake, schemas.LAKE_BASE, years)
     monthly = marts.mart_ano_mes(marts.month_totals(rows))

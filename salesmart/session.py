@@ -35,6 +35,7 @@ def local_session(
         .appName("salesmart")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", memory)
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", 32)
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

@@ -27,8 +27,7 @@ def _gathered(df: DataFrame, gather: bool, *columns: str) -> DataFrame:
     Rows that come out of joins hold every day in every task; written as they are,
     each task would open a file per day. Adaptive execution splits a value with very
     many rows over several tasks and merges small ones, so neither one huge nor many
-    tiny files are written. Rows of a single partition value, or read from a store
-    laid out by day, are ``gather=False``: they need no such shuffle.
+    tiny files are written. Rows of a single partition value need no such shuffle.
     """
     return df.hint("rebalance", *[F.col(c) for c in columns]) if gather else df
 
@@ -46,6 +45,19 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         return None
 
 
+def read_fact_month(
+    spark: SparkSession, path: str, schema: T.StructType, day: date
+) -> DataFrame:
+    """The stored facts of a day's month; the folders of other months are not listed."""
+    folders = f"{path}/{STORE_DAY.name}={day:%Y-%m}-*"
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_full(df: DataFrame, path: str, schema: T.StructType) -> int:
     """Full refresh of a table; returns the number of rows written."""
     rows, seen = _counted(conform(df, schema))
@@ -107,11 +119,9 @@ def _lake_writer(rows: DataFrame):
     )
 
 
-def write_lake_full(
-    rows: DataFrame, path: str, schema: T.StructType, gather: bool = True
-) -> int:
+def write_lake_full(rows: DataFrame, path: str, schema: T.StructType) -> int:
     """Rewrite the whole lake, on any file system the executors can reach."""
-    rows, seen = _counted(_gathered(conform(rows, schema), gather, *LAKE_PARTITIONS))
+    rows, seen = _counted(_gathered(conform(rows, schema), True, *LAKE_PARTITIONS))
     _lake_writer(rows).parquet(path)
     return seen.get[_COUNT]
 

@@ -6,10 +6,12 @@ from datetime import date, datetime
 
 import pytest
 
+import __spark_entry__ as entry
 from salesmart import schemas
 from salesmart.plans import pipeline, quality
 from salesmart.plans.pipeline import LOCALITY_MART, MONTH_MART, Warehouse
 from salesmart.sinks import tables
+from salesmart.sources import testdata
 from salesmart.sources.calendar import Calendar
 from tests import edge
 from tests.edge import expect, rows
@@ -138,3 +140,15 @@ def test_sale_outside_a_short_calendar_is_replaced_too(spark, edge_source, wareh
     for _ in range(2):
         pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS, short, first=FIRST)
     assert len(everything(spark, warehouse)["fact"]) == 9
+
+
+def test_stored_marts_equal_the_registered_queries(spark, warehouse):
+    folder = "/root/testdata/sf0.001"
+    source = testdata.sales_source(spark, folder)
+    pipeline.run_pipeline(
+        source, warehouse, date(2001, 12, 31), RUN_TS, testdata.CALENDAR, first=date(1995, 1, 1))
+    for mart, query in ((MONTH_MART, "mart_ano_mes"), (LOCALITY_MART, "mart_localidade")):
+        stored = pipeline.stored_mart(spark, warehouse, mart).drop("data_atualizacao")
+        assert rows(stored) == rows(entry.queries()[query](spark, folder))
+    fact = pipeline.stored_fact(spark, warehouse).drop("data_venda")
+    assert rows(fact) == rows(entry.queries()["fact_full"](spark, folder))

@@ -78,6 +78,13 @@ def test_a_day_can_be_cleared(spark, store):
     assert left.count() == 5
 
 
+def test_month_of_the_fact_store(spark, store):
+    february = tables.read_fact_month(spark, store, STORE, date(2024, 2, 20))
+    whole = tables.read_table(spark, store, STORE)
+    assert rows(february) == rows(whole.where("data_venda >= '2024-02-01'"))
+    assert tables.read_fact_month(spark, store, STORE, date(2024, 3, 1)).isEmpty()
+
+
 def test_full_refresh_replaces_the_table(spark, star, tmp_path):
     path = str(tmp_path / "dim")
     assert tables.write_full(star.produto, path, schemas.DIM_PRODUTO) == 2
