@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import attainment_stored, total_money, total_quantity
@@ -15,7 +15,7 @@ _MONTH = ["ano", "mes"]
 _PLACE = ["ano", "sigla_estado", "estado", "cidade"]
 
 
-def _totals(quantity: str, real: str, target: str):
+def _totals(quantity: str, real: str, target: str) -> list[Column]:
     """The target of a group is the sum of its unit prices, not times quantity."""
     return [
         total_quantity(quantity).alias("qtde_vendida"),

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.numeric import total_money, total_quantity
 from salesmart.plans.dims import Star
+from salesmart.schemas import MONEY
 from salesmart.sources.calendar import days
 
 KEYS = {
@@ -72,7 +74,7 @@ def referential_integrity(fact: DataFrame, star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def _measures(quantity: str, real: str, target: str):
+def _measures(quantity: str, real: str, target: str) -> list[Column]:
     return [
         total_quantity(quantity).alias("qtde"),
         total_money(real).alias("valor_real"),
@@ -101,7 +103,6 @@ def reconciliation(
         .when(~F.col("complete"), "incomplete_locality")
         .otherwise("in_both_marts")
     )
-    measures = ["qtde", "valor_real", "valor_esperado"]
     by_cause = (
         fact.join(calendar, "sk_tempo", "left")
         .groupBy(in_calendar.alias("in_calendar"), "sk_localidade")
@@ -117,42 +118,36 @@ def reconciliation(
     marts = _mart_total(monthly, "month_mart").unionByName(
         _mart_total(locality, "locality_mart")
     )
-    # One row from here on: five sums per measure, then a signed sum per line.
+    # Six rows: each report line adds some of them and takes off others.
     parts = by_cause.unionByName(marts)
-    lines = {
-        "fact": {
-            "outside_calendar": 1, "no_locality": 1,
-            "incomplete_locality": 1, "in_both_marts": 1,
-        },
-        "outside_calendar": {"outside_calendar": 1},
-        "unexplained_month": {
-            "no_locality": 1, "incomplete_locality": 1, "in_both_marts": 1,
-            "month_mart": -1,
-        },
-        "month_mart": {"month_mart": 1},
-        "no_locality": {"no_locality": 1},
-        "incomplete_locality": {"incomplete_locality": 1},
-        "unexplained_locality": {
-            "month_mart": 1, "no_locality": -1,
-            "incomplete_locality": -1, "locality_mart": -1,
-        },
-        "locality_mart": {"locality_mart": 1},
-    }
-    shares = F.inline(F.array(*[
-        F.struct(
-            F.lit(position).alias("ordem"),
-            F.lit(line).alias("item"),
-            F.lit(part).alias("cause"),
-            F.lit(sign).alias("sign"),
-        )
-        for position, (line, signs) in enumerate(lines.items(), 1)
-        for part, sign in signs.items()
-    ]))
-    weights = fact.sparkSession.range(1).select(shares)
-    signed = weights.join(F.broadcast(parts), "cause", "left").select(
-        "ordem", "item", *[(F.col(m) * F.col("sign")).alias(m) for m in measures]
-    )
-    return signed.groupBy("ordem", "item").agg(*_measures(*measures))
+    in_month = ["no_locality", "incomplete_locality", "in_both_marts"]
+    lines = [
+        ("fact", ["outside_calendar", *in_month], []),
+        ("outside_calendar", ["outside_calendar"], []),
+        ("unexplained_month", in_month, ["month_mart"]),
+        ("month_mart", ["month_mart"], []),
+        ("no_locality", ["no_locality"], []),
+        ("incomplete_locality", ["incomplete_locality"], []),
+        ("unexplained_locality", ["month_mart"],
+         ["no_locality", "incomplete_locality", "locality_mart"]),
+        ("locality_mart", ["locality_mart"], []),
+    ]
+    report = F.array(*[
+        F.struct(F.lit(position).alias("ordem"), F.lit(item).alias("item"), *_signed(plus, minus))
+        for position, (item, plus, minus) in enumerate(lines, 1)
+    ])
+    return parts.agg(report.alias("report")).select(F.inline("report"))
+
+
+def _signed(plus: list[str], minus: list[str]) -> list[Column]:
+    """Each measure summed over some parts, less its sum over others."""
+
+    def total(measure: str, kind: T.DataType) -> Column:
+        value, part = F.col(measure), F.col("cause")
+        signed = F.when(part.isin(plus), value).when(part.isin(minus), -value)
+        return F.coalesce(F.sum(signed), F.lit(0)).cast(kind).alias(measure)
+
+    return [total("qtde", T.LongType()), total("valor_real", MONEY), total("valor_esperado", MONEY)]
 
 
 def _mart_total(mart: DataFrame, name: str) -> DataFrame:

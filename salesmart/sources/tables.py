@@ -54,7 +54,7 @@ class SalesSource:
 
     @property
     def sellers(self) -> DataFrame:
-        return getattr(self, "vendedor_pf" if "vendedor_pf" in self._open_table else "pessoa_fisica")
+        return self.vendedor_pf if "vendedor_pf" in self._open_table else self.pessoa_fisica
 
 
 def from_frames(spark: SparkSession, frames: Mapping[str, DataFrame]) -> SalesSource:
