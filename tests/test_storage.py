@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +161,16 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert staging.new_folder(spark, "x").startswith(folder)
 
 
+def test_cluster_without_a_shared_scratch_folder_is_refused():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.scratch_folder(session)
+    context.getCheckpointDir = lambda: "hdfs://shared/scratch/"
+    assert staging.scratch_folder(session) == "hdfs://shared/scratch"
+
+
 def test_source_tables_from_parquet(spark, edge_source, tmp_path):
     for table in source_tables.SOURCE_SCHEMAS:
         name = source_tables.short_name(table)
