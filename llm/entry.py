@@ -7,18 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import ngram_join
-from llm.common import table
+from llm import bpe_codec, language_id, ngram_join, token_counts
+from llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _held_out():
+    return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(bpe_codec.encode_documents(table(spark, sf_dir, "documents")))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train_on_folds(docs))
+    return found.select(
+        "doc_id", _held_out(), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_bpe_codec": op4_bpe_codec,
+    "op8_language_id": op8_language_id,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
