@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe_codec, language_id, ngram_join, token_counts
+from llm import bpe_codec, language_id, ngram_join, pii, token_counts
 from llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +36,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_spans(table(spark, sf_dir, "documents"), pii.built_in_crf(spark)))
+
+
 QUERIES: dict[str, Query] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_bpe_codec": op4_bpe_codec,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
+    "op10_pii_crf": op10_pii_crf,
 }
 
 ORACLE_SQL: dict[str, str] = {}
