@@ -323,6 +323,7 @@ def pivot_links(ids: np.ndarray, sets: list[np.ndarray], join: Join,
     member) only links between the sides are looked for."""
     held = _Sets(sets)
     reach = 1 - join.percent / 100
+    group = np.arange(len(ids))
     # The pivot is the largest set, so sets too small for it leave the window at once.
     active = np.lexsort((ids, -held.size))
     links = []
@@ -337,7 +338,11 @@ def pivot_links(ids: np.ndarray, sets: list[np.ndarray], join: Join,
         shared = held.shared(pivot, near)
         union = held.size[near] + held.size[pivot] - shared
         inner = 100 * shared >= join.percent * union
-        links += [(int(ids[pivot]), int(ids[m])) for m in near[inner]]
+        # One link per group that the pivot joins: a spanning forest of all links.
+        joined, one = np.unique(group[near[inner]], return_index=True)
+        links += [(int(ids[pivot]), int(ids[m]))
+                  for g, m in zip(joined, near[inner][one]) if g != group[pivot]]
+        group[np.isin(group, joined)] = group[pivot]
         if side is not None:
             continue
         # A member below the pivot's size window has the distance that its size implies.
