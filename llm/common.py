@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +76,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], (bounds - bounds[0]).astype(np.int64)
 
 
+def slices(batches: Iterable[pa.RecordBatch], column: int, most: int = 4 << 20):
+    """Slices of batches with about ``most`` bytes of text; a longer text is alone."""
+    for batch in batches:
+        sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+        part = np.cumsum(sizes) // most
+        bounds = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(sizes)]
+        for first, last in zip(bounds[:-1], bounds[1:]):
+            yield batch.slice(first, last - first)
+
+
 def word_spans(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word; a text boundary also ends a word."""
     if not len(raw):

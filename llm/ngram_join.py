@@ -40,6 +40,11 @@ from salesmart.operators.staging import stage
 #: Bits of the map of texts that stay after step 2; a full map only filters less.
 MAP_BITS = 1 << 25
 
+#: Low bytes of a head shingle and of the set that posts it. Step 2 only filters: equal
+#: low bytes of different shingles let more sets pass, never fewer. 48 bits of the set id
+#: tell sets with one shingle apart.
+HEAD_BYTES, OWNER_BYTES = 5, 6
+
 
 @dataclass(frozen=True)
 class Join:
@@ -89,14 +94,15 @@ def _head(n: int, join: Join) -> int:
 
 def _summaries(join: Join):
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches, 1):
             sets = list(shingle_sets(batch.column(1), join.words))
             digests = [_digest(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(digests, pa.binary()),
                  pa.array([d and _short(d) for d in digests], pa.int64()),
-                 pa.array([s[: _head(len(s), join)].tobytes() if len(s) else None for s in sets],
+                 pa.array([_low_bytes(s[: _head(len(s), join)], HEAD_BYTES).tobytes()
+                           if len(s) else None for s in sets],
                           pa.binary())],
                 ["doc_id", "n", "digest", "sid", "head"])
     return run
@@ -111,6 +117,19 @@ def _short(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True) or 1
 
 
+def _low_bytes(values: np.ndarray, width: int) -> np.ndarray:
+    """The low bytes of 64-bit values, a row each."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _wide(parts: list, width: int) -> np.ndarray:
+    """64-bit values of packed low bytes."""
+    raw = _concat(parts, np.uint8).reshape(-1, width)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :width] = raw
+    return out.view(np.int64).reshape(-1)
+
+
 def _packed(bucket, *columns) -> Iterator[list[tuple]]:
     """Rows (bucket, packed columns) of values dealt by bucket."""
     order = np.argsort(bucket, kind="stable")
@@ -119,8 +138,13 @@ def _packed(bucket, *columns) -> Iterator[list[tuple]]:
         yield b, *[c[rows].tobytes() for c in columns]
 
 
+def _spread(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (common.mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys.view(np.uint64) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+    """By bits of the region's name."""
+    return ((keys & KEY_MASK).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
 
 
 # --- step 2: sets with too few shared head shingles ----------------------------
@@ -132,7 +156,7 @@ def _post_heads(buckets: int):
         for batch in batches:
             seen: dict[int, np.ndarray] = {}
             for sid, head in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.setdefault(sid, np.frombuffer(head, np.int64))
+                seen.setdefault(sid, _wide([head], HEAD_BYTES))
             if not seen:
                 continue
             ids = np.repeat(np.fromiter(seen, np.int64, len(seen)), [len(h) for h in seen.values()])
@@ -144,9 +168,10 @@ def _post_heads(buckets: int):
             held, counts = np.unique(ids[np.repeat(many, np.diff(np.r_[first, len(keys)]))],
                                      return_counts=True)
             posted, owner = keys[first], np.where(many, 0, ids[first])
-            rows = [(b, False, k, i) for b, k, i in _packed(_bucket(posted, buckets), posted, owner)]
-            rows += [(b, True, i, c) for b, i, c in _packed(_bucket(held, buckets), held,
-                                                           counts.astype(np.int64))]
+            rows = [(b, False, k, i) for b, k, i in _packed(
+                _spread(posted, buckets), _low_bytes(posted, HEAD_BYTES), _low_bytes(owner, OWNER_BYTES))]
+            rows += [(b, True, i, c) for b, i, c in _packed(
+                _spread(held, buckets), _low_bytes(held, OWNER_BYTES), counts.astype(np.uint32))]
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("bucket", "counted", "left", "right"), r)) for r in rows],
                 pa.schema([("bucket", pa.int64()), ("counted", pa.bool_()),
@@ -170,13 +195,13 @@ def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
 
 
 def _shared_heads(group: pa.Table) -> pa.Table:
-    """(set, how many of its head shingles in this bucket another set posted)."""
+    """(owner, how many of its head shingles in this bucket another set posted)."""
     counted = group.column("counted").to_pylist()
     left, right = group.column("left").to_pylist(), group.column("right").to_pylist()
-    keys = _concat([x for x, c in zip(left, counted) if not c])
-    ids = _concat([x for x, c in zip(right, counted) if not c])
-    done_ids = _concat([x for x, c in zip(left, counted) if c])
-    done = _concat([x for x, c in zip(right, counted) if c])
+    keys = _wide([x for x, c in zip(left, counted) if not c], HEAD_BYTES)
+    ids = _wide([x for x, c in zip(right, counted) if not c], OWNER_BYTES)
+    done_ids = _wide([x for x, c in zip(left, counted) if c], OWNER_BYTES)
+    done = _concat([x for x, c in zip(right, counted) if c], np.uint32)
     if len(keys):
         keys, ids = _distinct(keys, ids)
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -185,15 +210,26 @@ def _shared_heads(group: pa.Table) -> pa.Table:
         shared, counts = np.unique(shared[shared != 0], return_counts=True)
         done_ids, done = np.r_[done_ids, shared], np.r_[done, counts]
     ids, where = np.unique(done_ids, return_inverse=True)
-    return pa.table({"sid": ids, "c": np.bincount(where, done, len(ids)).astype(np.int64)})
+    return pa.table({"owner": ids, "c": np.bincount(where, done, len(ids)).astype(np.int64)})
 
 
 # --- step 3: regions of one-shingle pivots ------------------------------------
 
-def _kept_sets(bits: bytes, join: Join):
+def _in_map(bits: bytes):
+    """The rows whose bit (the last column) is in the map, without it."""
     def run(batches):
         held = np.frombuffer(bits, np.uint8)
         for batch in batches:
+            bit = batch.column(batch.num_columns - 1).to_numpy()
+            keep = np.flatnonzero(held[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+            yield batch.select(range(batch.num_columns - 1)).take(pa.array(keep))
+    return run
+
+
+def _kept_sets(bits: bytes, join: Join):
+    def run(batches):
+        held = np.frombuffer(bits, np.uint8)
+        for batch in common.slices(batches, 1):
             bit = batch.column(2).to_numpy()
             keep = np.flatnonzero(held[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
             if len(keep):
@@ -207,10 +243,17 @@ def _kept_sets(bits: bytes, join: Join):
     return run
 
 
+#: Low bytes of a shingle that name its region. Shingles with equal low bytes share one
+#: region and one count everywhere, so the order stays one order for all sets.
+KEY_BYTES = 6
+KEY_MASK = np.int64((1 << 8 * KEY_BYTES) - 1)
+
+
 def _often(batches):
     """Shingles that three sets of a batch hold."""
     for batch in batches:
-        keys, counts = np.unique(_concat(batch.column(0).to_pylist()), return_counts=True)
+        keys, counts = np.unique(_concat(batch.column(0).to_pylist()) & KEY_MASK,
+                                 return_counts=True)
         keys, counts = keys[counts > 2], counts[counts > 2]
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "c"])
 
@@ -224,9 +267,9 @@ def _post_sets(heavy: np.ndarray, buckets: int):
                 continue
             keys = np.concatenate(sets)
             ids = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
-            light = ~np.isin(keys, heavy)
+            light = ~np.isin(keys & KEY_MASK, heavy)
             keys, ids = keys[light], ids[light]
-            rows = list(_packed(_bucket(keys, buckets), keys, ids))
+            rows = list(_packed(_bucket(keys, buckets), _low_bytes(keys, KEY_BYTES), ids))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("bucket", "keys", "ids"), r)) for r in rows],
                 pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("ids", pa.binary())]))
@@ -246,15 +289,16 @@ def _placed(rows) -> pa.Table:
 def _held_by_several(buckets: int):
     """Back to the sets: their shingles with several holders, and how many."""
     def run(group: pa.Table) -> pa.Table:
-        keys, ids = _concat(group.column("keys").to_pylist()), _concat(group.column("ids").to_pylist())
+        keys = _wide(group.column("keys").to_pylist(), KEY_BYTES)
+        ids = _concat(group.column("ids").to_pylist())
         keys, ids = _distinct(keys, ids)
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[first, len(keys)])
         holders = np.repeat(size, size)
         live = holders > 1
-        keys, ids, holders = keys[live], ids[live], holders[live].astype(np.int64)
-        home = _bucket(common.mix(ids.view(np.uint64)).view(np.int64), buckets)
-        return _placed([(*row, False) for row in _packed(home, keys, ids, holders)])
+        keys, ids, holders = keys[live], ids[live], holders[live]
+        return _placed([(*row, False) for row in _packed(
+            _spread(ids, buckets), _low_bytes(keys, KEY_BYTES), ids, holders.astype(np.uint32))])
     return run
 
 
@@ -266,15 +310,16 @@ def _own_rows(heavy: np.ndarray, counts: np.ndarray, buckets: int):
             keys, owners, holders = [batch.column(1).to_numpy()], [ids], [np.zeros(len(ids), np.int64)]
             if len(heavy):
                 for doc, own in zip(ids.tolist(), batch.column(2).to_pylist()):
-                    own = np.frombuffer(own, np.int64)
+                    own = np.frombuffer(own, np.int64) & KEY_MASK
                     at = np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)
                     hit = heavy[at] == own
                     keys.append(own[hit])
                     owners.append(np.full(hit.sum(), doc))
                     holders.append(counts[at[hit]])
             keys, owners, holders = map(np.concatenate, (keys, owners, holders))
-            home = _bucket(common.mix(owners.view(np.uint64)).view(np.int64), buckets)
-            yield from _placed([(*row, True) for row in _packed(home, keys, owners, holders)]).to_batches()
+            yield from _placed([(*row, True) for row in _packed(
+                _spread(owners, buckets), _low_bytes(keys, KEY_BYTES), owners,
+                holders.astype(np.uint32))]).to_batches()
     return run
 
 
@@ -282,8 +327,9 @@ def _region_members(join: Join):
     """(region, doc_id, n): pivots among the first n - overlap + 1 shingles of a set by
     rising number of holders; shingles of one holder come first and are no pivots."""
     def run(group: pa.Table) -> pa.Table:
-        parts = [_concat(group.column(c).to_pylist()) for c in ("keys", "ids", "holders")]
-        keys, ids, holders = parts
+        keys = _wide(group.column("keys").to_pylist(), KEY_BYTES)
+        ids = _concat(group.column("ids").to_pylist())
+        holders = _concat(group.column("holders").to_pylist(), np.uint32)
         is_size = holders == 0
         docs, sizes = _distinct(ids[is_size], keys[is_size])
         ids, _, keys = _distinct(ids[~is_size], holders[~is_size], keys[~is_size])
@@ -526,24 +572,30 @@ def jaccard_components(
         "jaccard_sets")
     held = sets.where("n > 0")
     buckets = max(256, int((held.agg(F.sum(F.length("head"))).first()[0] or 0)
-                           // 8 // join.bucket_postings))
+                           // HEAD_BYTES // join.bucket_postings))
     shared = (
         held.select("sid", "head").mapInArrow(
             _post_heads(buckets), "bucket long, counted boolean, left binary, right binary")
-        .groupBy("bucket").applyInArrow(_shared_heads, "sid long, c long")
-        .groupBy("sid").agg(F.sum("c").alias("c"))
+        .groupBy("bucket").applyInArrow(_shared_heads, "owner long, c long")
+        .groupBy("owner").agg(F.sum("c").alias("c"))
     )
     classes = stage(held.groupBy("digest", "sid", "n").agg(F.min("doc_id").alias("first_id")),
                     "jaccard_classes")
     stays = stage(
-        classes.join(shared, "sid").where("first_id is not null and c >= greatest(1, n div 20)")
+        classes.withColumn("owner", F.col("sid").bitwiseAND(F.lit((1 << 8 * OWNER_BYTES) - 1)))
+        .join(shared, "owner").where("first_id is not null and c >= greatest(1, n div 20)")
         .select(F.col("first_id").alias("doc_id")), "jaccard_stays")
     kept = stage(
         docs.select("doc_id", "text", F.coalesce(_bit("doc_id"), F.lit(0)).alias("bit"))
         .mapInArrow(_kept_sets(_bitmap(stays), join), "sid long, n long, shingles binary"),
         "jaccard_kept")
-    cells = _cells(kept.where("n > 0"), buckets, join)
-    links = cell_links(cells, kept.withColumnRenamed("sid", "doc_id"), join)
+    cells = _cells(kept, buckets, join)
+    # Only the sets of cells are dealt out again, but for what the map lets through.
+    members = _bitmap(cells)
+    celled = kept.select(F.col("sid").alias("doc_id"), "n", "shingles",
+                         _bit("sid").alias("bit")).mapInArrow(
+        _in_map(members), "doc_id long, n long, shingles binary")
+    links = cell_links(cells, celled, join)
     reach = common.smallest_reachable(links, "jaccard")
     named = classes.join(reach, F.col("sid") == F.col("node"))
     lowest = named.groupBy("component").agg(F.min("first_id").alias("lowest"))
