@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe_codec, language_id, ngram_join, pii, token_counts
+from llm import bpe_codec, language_id, lattice_dedup, ngram_join, pii, token_counts, toxicity
 from llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,15 @@ def _held_out():
     return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
 
 
+def op2_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.char_model(docs)
+    evidence = toxicity.learn(docs, labels.where(fold() != 0), model)
+    return toxicity.score_documents(docs, model, evidence).select(
+        "doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("restored").cast("long").alias("n_restored"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -25,6 +34,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode_documents(table(spark, sf_dir, "documents")))
 
 
+def op6_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.train_on_folds(docs))
@@ -41,8 +54,10 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_deobfuscated_toxicity": op2_deobfuscated_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_bpe_codec": op4_bpe_codec,
+    "op6_lattice_dedup": op6_lattice_dedup,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_pii_crf": op10_pii_crf,

@@ -87,7 +87,8 @@ class Words:
     offset: np.ndarray   # first character of each text
 
 
-def words_of(texts: list[str], buckets: int) -> Words:
+def words_of(texts: list[str], buckets: int, keys: bool = False) -> Words:
+    """``keys`` leaves the trigrams as they are packed, not hashed to buckets."""
     script_of, lower = char_tables()
     sizes = np.array([len(t) for t in texts], np.int64)
     offset = np.r_[0, np.cumsum(sizes)]
@@ -113,9 +114,11 @@ def words_of(texts: list[str], buckets: int) -> Words:
         inside = (place >= 0) & (place < length[own])
         return np.where(inside, low[np.clip(starts[own] + place, 0, len(low) - 1)], np.uint64(1))
 
-    grams = common.mix((char(-2) << np.uint64(42)) ^ (char(-1) << np.uint64(21)) ^ char(0))
+    grams = (char(-2) << np.uint64(42)) ^ (char(-1) << np.uint64(21)) ^ char(0)
+    if not keys:
+        grams = (common.mix(grams) % np.uint64(buckets)).astype(np.int64)
     return Words(starts, ends, script[starts] if len(starts) else np.zeros(0, np.uint8),
-                 (grams % np.uint64(buckets)).astype(np.int64), gram_starts,
+                 grams, gram_starts,
                  np.searchsorted(starts, offset), offset)
 
 
