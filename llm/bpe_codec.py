@@ -2,16 +2,14 @@
 
 A word's tokens are proposed by greedy longest match. A proposal is the exact encoding
 if, and only if, every adjacent pair of tokens is compatible: the text of the pair alone
-encodes to the pair. Pairs of a whole batch are tested at once against a sorted table of
-decided pairs; each new pair is decided once by exact merging. Only words with a failing
-pair are merged exactly. Vocabulary files are read from a path, never copied.
+encodes to the pair. All pairs of a batch are tested at once, by walking back through the
+merges that made their tokens. Only words with a failing pair are merged exactly. Vocabulary files are read from a path, never copied.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-import re
 import unicodedata
 from functools import lru_cache
 from itertools import chain
@@ -22,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.ragged_merge import NO_MERGE, merge_all
+
 #: Words whose encoding a worker keeps, and the longest word that is kept.
 KEPT_WORDS, KEPT_LENGTH = 250_000, 64
 #: Characters of text handled at once in a task; a longer text is handled alone.
@@ -42,11 +42,9 @@ def _byte_letters() -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def _unassigned() -> re.Pattern:
-    flags = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
-    edges = np.flatnonzero(np.diff(np.r_[False, flags, False].astype(np.int8)))
-    return re.compile("[%s]" % "".join(
-        f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2])))
+def _unassigned() -> np.ndarray:
+    """Of each code point, whether Python's Unicode tables do not know it."""
+    return np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
 
 
 class Codec:
@@ -82,8 +80,24 @@ class Codec:
         self.library = None
         self.path = path
         self.cache: dict[str, tuple[int, ...]] = {}
-        self.pairs = np.zeros(0, np.int64)
-        self.fits = np.zeros(0, bool)
+        # Of each token: the rank of the merge that makes it (-1 for a letter) and its parts.
+        self.born = np.full(self.size, -1, np.int64)
+        self.left_part = np.arange(self.size)
+        self.right_part = np.arange(self.size)
+        rows = []
+        for i, (a, b) in enumerate(merges):
+            if a in self.vocab and b in self.vocab and a + b in self.vocab:
+                a, b, made = self.vocab[a], self.vocab[b], self.vocab[a + b]
+                rows.append((a * self.size + b, i, made))
+                if self.born[made] < 0:
+                    self.born[made], self.left_part[made], self.right_part[made] = i, a, b
+        table = np.array(sorted(rows), np.int64).reshape(-1, 3)
+        self.merge_keys, self.merge_ranks, self.merge_made = table.T.copy()
+        # Token of each byte inside a word and at its end, if the vocabulary has them all.
+        both = [[self.vocab.get(c + e) for c in self.letters] for e in ("", self.end)]
+        self.letter_ids = None if None in both[0] + both[1] else np.array(both, np.int64)
+        self.known = np.full(self.size, -1, np.int8)
+        self.byte_map = {i: c for i, c in enumerate(self.letters)}
 
     # --- words of a text
 
@@ -98,7 +112,7 @@ class Codec:
 
     def _words(self, text: str) -> list[str]:
         if not text.isascii():
-            if _unassigned().search(text):
+            if _unassigned()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any():
                 return self._library_words(text)
             # Each character is lowered alone: no final form of sigma.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
@@ -118,8 +132,11 @@ class Codec:
 
     # --- exact merging
 
+    def _mapped(self, word: str) -> str:
+        return word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.byte_map)
+
     def symbols(self, word: str) -> list[str]:
-        out = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
+        out = list(self._mapped(word))
         out[-1] += self.end
         return out
 
@@ -159,15 +176,15 @@ class Codec:
 
     # --- speculation
 
-    def propose(self, symbols: list[str]) -> list[int] | None:
+    def propose(self, text: str) -> list[int] | None:
         """Greedy longest match; None where no token fits."""
-        text, vocab = "".join(symbols), self.vocab
+        vocab, longest = self.vocab, self.longest
         tail, at, out = len(text) - len(self.end), 0, []
         while at < tail:
-            if tail - at <= self.longest and (i := vocab.get(text[at:])) is not None:
+            if tail - at <= longest and (i := vocab.get(text[at:])) is not None:
                 out.append(i)
                 return out
-            for to in range(min(tail - 1, at + self.longest), at, -1):
+            for to in range(min(tail - 1, at + longest), at, -1):
                 if (i := vocab.get(text[at:to])) is not None:
                     break
             else:
@@ -176,46 +193,89 @@ class Codec:
             at = to
         return None
 
-    def _pair_fits(self, left: int, right: int) -> bool:
-        left_text, right_text = self.text_of[left], self.text_of[right]
-        ends = right_text.endswith(self.end)
-        body = left_text + (right_text.removesuffix(self.end) if ends else right_text)
-        symbols = list(body)
-        if ends:
-            symbols[-1] += self.end
-        return self.merge(symbols) == [left_text, right_text]
-
-    def compatible(self, pairs: np.ndarray) -> np.ndarray:
-        """For keys left * size + right, whether the pair encodes to itself."""
-        wanted, back = np.unique(pairs, return_inverse=True)
-        new = np.setdiff1d(wanted, self.pairs, assume_unique=True)
-        if len(new):
-            fits = [self._pair_fits(*divmod(int(k), self.size)) for k in new]
-            keys = np.concatenate([self.pairs, new])
-            order = np.argsort(keys)
-            self.fits = np.concatenate([self.fits, fits])[order]
-            self.pairs = keys[order]
-        return self.fits[np.searchsorted(self.pairs, wanted)][back]
+    def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each pair of tokens encodes to itself.
+
+        While the left token is being merged, the symbol at its right edge changes at the
+        ranks of its merges, and so does the left edge of the right token. The pair fails
+        if two edge symbols that exist at the same time have a merge that comes first.
+        All pairs walk back through their merges together.
+        """
+        fits = np.ones(len(left), bool)
+        x, y = left.copy(), right.copy()
+        x_ends = np.full(len(x), 1 << 40, np.int64)
+        y_ends = x_ends.copy()
+        live = np.arange(len(x))
+        while len(live):
+            a, b = x[live], y[live]
+            at = np.minimum(np.searchsorted(self.merge_keys, a * self.size + b), len(self.merge_keys) - 1)
+            rank = np.where(self.merge_keys[at] == a * self.size + b, self.merge_ranks[at], 1 << 41)
+            # Of two equal merges the one further left comes first.
+            crossed = (rank < x_ends[live]) & (rank <= y_ends[live])
+            fits[live[crossed]] = False
+            born_a, born_b = self.born[a], self.born[b]
+            live = live[~crossed & ((born_a >= 0) | (born_b >= 0))]
+            a, b = x[live], y[live]
+            from_left = self.born[a] > self.born[b]
+            i, j = live[from_left], live[~from_left]
+            x_ends[i], x[i] = self.born[x[i]], self.right_part[x[i]]
+            y_ends[j], y[j] = self.born[y[j]], self.left_part[y[j]]
+        return fits
+
+    def _reachable(self, tokens: np.ndarray) -> np.ndarray:
+        """Whether merging a token's own letters gives the token; decided once each."""
+        for t in tokens[self.known[tokens] < 0]:
+            body = self.text_of[t]
+            symbols = list(body.removesuffix(self.end))
+            if body.endswith(self.end) and symbols:
+                symbols[-1] += self.end
+            self.known[t] = self.merge(symbols) == [body]
+        return self.known[tokens] > 0
 
     def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        symbols = [self.symbols(w) for w in words]
-        proposed = [self.propose(s) for s in symbols]
+        proposed = [self.propose(self._mapped(w) + self.end) for w in words]
         sizes = np.array([len(p) if p else 0 for p in proposed], np.int64)
         flat = np.fromiter(chain.from_iterable(p or () for p in proposed), np.int64, int(sizes.sum()))
         owner = np.repeat(np.arange(len(words)), sizes)
         bad = sizes == 0
+        tokens, back = np.unique(flat, return_inverse=True)
+        bad[owner[~self._reachable(tokens)[back]]] = True
         if len(flat) > 1:
             inside = np.flatnonzero(owner[1:] == owner[:-1])
-            wrong = ~self.compatible(flat[inside] * self.size + flat[inside + 1])
-            bad[owner[inside[wrong]]] = True
-        single = np.flatnonzero(sizes == 1)
-        for i in single:  # a lone token must itself be reachable by merges
-            if len(symbols[i]) > 1 and len(self.merge(symbols[i])) != 1:
-                bad[i] = True
+            bad[owner[inside[~self.compatible(flat[inside], flat[inside + 1])]]] = True
         out = [tuple(p or ()) for p in proposed]
-        for i in np.flatnonzero(bad):
-            # A byte letter that the vocabulary lacks has no token, as in the library.
-            out[i] = tuple(self.vocab[t] for t in self.merge(symbols[i]) if t in self.vocab)
+        failed = np.flatnonzero(bad)
+        for i, tokens in zip(failed, self.merge_words([words[i] for i in failed])):
+            out[i] = tokens
+        return out
+
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = left * self.size + right
+        at = np.minimum(np.searchsorted(self.merge_keys, wanted), len(self.merge_keys) - 1)
+        hit = self.merge_keys[at] == wanted
+        return np.where(hit, self.merge_ranks[at], NO_MERGE), self.merge_made[at]
+
+    def merge_words(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Exact tokens: short words merge in rounds, long ones one by one."""
+        out: list[tuple[int, ...]] = [()] * len(words)
+        short = []
+        for i, word in enumerate(words):
+            if len(word) > KEPT_LENGTH or self.letter_ids is None:
+                out[i] = tuple(self.vocab[t] for t in self.merge(self.symbols(word)) if t in self.vocab)
+            else:
+                short.append(i)
+        if short:
+            raw = [words[i].encode("utf-8", "surrogatepass") for i in short]
+            size = np.array([len(r) for r in raw], np.int64)
+            letters = np.frombuffer(b"".join(raw), np.uint8)
+            sym = self.letter_ids[0][letters]
+            ends = np.cumsum(size) - 1
+            sym[ends] = self.letter_ids[1][letters[ends]]
+            sym, own = merge_all(sym, np.repeat(np.arange(len(short)), size), self._ranked)
+            cut = np.searchsorted(own, np.arange(len(short) + 1)).tolist()
+            tokens = sym.tolist()
+            for row, i in enumerate(short):
+                out[i] = tuple(tokens[cut[row] : cut[row + 1]])
         return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:

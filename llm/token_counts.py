@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.bpe_codec import chunks
+from llm.ragged_merge import NO_MERGE, merge_all
 
 #: Pre-tokens whose count a worker keeps; longer ones are merged by a queue, not in rounds.
 KEPT_TOKENS, ROUND_LENGTH = 400_000, 200
-_NONE = np.int64(1 << 40)
 _SPACE = "▁"
 
 
@@ -79,7 +79,7 @@ class Counter:
         wanted = left * self.size + right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         hit = self.keys[at] == wanted
-        return np.where(hit, self.ranks[at], _NONE), self.results[at]
+        return np.where(hit, self.ranks[at], NO_MERGE), self.results[at]
 
     def symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -97,38 +97,9 @@ class Counter:
         return out
 
     def _rounds(self, tokens: list[str]) -> np.ndarray:
-        out = np.zeros(len(tokens), np.int64)
-        sym = self.symbols("".join(tokens))
         own = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-        # rank[i], made[i]: of the pair (i, i + 1); the last symbol of a pre-token has none.
-        rank, made = np.full(len(sym), _NONE), np.zeros(len(sym), np.int64)
-        inside = np.flatnonzero(own[1:] == own[:-1])
-        rank[inside], made[inside] = self._ranked(sym[inside], sym[inside + 1])
-        while len(sym):
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            size = np.diff(np.r_[first, len(sym)])
-            best = np.minimum.reduceat(rank, first)
-            open_ = best < _NONE
-            if not open_.all():
-                stays = np.repeat(open_, size)
-                left = np.add.reduceat(self.weight[sym], first)
-                out[own[first[~open_]]] = left[~open_]
-                sym, own, rank, made = sym[stays], own[stays], rank[stays], made[stays]
-                if not len(sym):
-                    break
-                size, best = size[open_], best[open_]
-            hits = np.flatnonzero(rank == np.repeat(best, size))
-            at = hits[np.r_[True, own[hits[1:]] != own[hits[:-1]]]]
-            sym[at] = made[at]
-            rank[at] = rank[at + 1]  # none if the pair was the last
-            keep = np.ones(len(sym), bool)
-            keep[at + 1] = False
-            at = at - np.arange(len(at))
-            sym, own, rank, made = sym[keep], own[keep], rank[keep], made[keep]
-            near = np.concatenate([at[at > 0] - 1, at[at + 1 < len(sym)]])
-            near = near[own[near] == own[near + 1]]
-            rank[near], made[near] = self._ranked(sym[near], sym[near + 1])
-        return out
+        sym, own = merge_all(self.symbols("".join(tokens)), own, self._ranked)
+        return np.bincount(own, self.weight[sym], len(tokens)).astype(np.int64)
 
     def _queue(self, token: str) -> int:
         """The same merges for one long pre-token."""
