@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from collections.abc import Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -345,8 +346,8 @@ def encode_documents(
     ).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *carry, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe_codec, language_id, lattice_dedup, ngram_join, pii, token_counts, toxicity
+from llm import (
+    bpe_codec, fertility, language_id, lattice_dedup, ngram_join, pii, site_quality, source_mix,
+    token_counts, toxicity,
+)
 from llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +20,13 @@ def _held_out():
     return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
 
 
+def op1_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_piece_tokens", "n_byte_tokens", "piece_chars", "byte_chars",
+        "fallback", "entropy", F.array_join("rejected_by", ",").alias("rejected_by"))
+
+
 def op2_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.char_model(docs)
@@ -34,10 +44,24 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode_documents(table(spark, sf_dir, "documents")))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(source_mix.NONE)
+    return source_mix.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.coalesce("source", none).alias("source"), F.coalesce("lang", none).alias("lang"),
+        "topic", "n_tokens", F.round("probability", 9).alias("probability"), "sampled")
+
+
 def op6_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(fold() != 0)
+    found = site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"), labels)
+    return found.select("doc_id", _held_out(), "host", "path", "own", "host_posterior",
+                        "path_posterior", "score", "kept")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.train_on_folds(docs))
@@ -54,13 +78,17 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fertility_rules": op1_fertility_rules,
     "op2_deobfuscated_toxicity": op2_deobfuscated_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_source_mix": op5_source_mix,
     "op6_lattice_dedup": op6_lattice_dedup,
+    "op7_site_quality": op7_site_quality,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_pii_crf": op10_pii_crf,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Raking, topics and the sampling hash are SQL; the other operators are not.
+ORACLE_SQL: dict[str, str] = {"op5_source_mix": source_mix.oracle_sql()}

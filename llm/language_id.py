@@ -7,6 +7,7 @@ languages over the words of a text, with a penalty for each switch, labels its s
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -270,9 +271,9 @@ def label(texts: list[str], model: Model) -> list[tuple[str, float, list[dict]]]
 _SPANS = "array<struct<lang: string, start: int, end: int>>"
 
 
-def identify(docs: DataFrame, model: Model,
-             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, spans), a row per input row.
+def identify(docs: DataFrame, model: Model, id_column: str = "doc_id",
+             text_column: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, lang_pred, score, spans) and the ``carry`` columns, a row per input row.
 
     ``spans`` cover the words; positions are code points, end exclusive. A null text, one
     without a letter, and any text under a model without languages is ``und`` with score
@@ -286,16 +287,18 @@ def identify(docs: DataFrame, model: Model,
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in chunks(texts):
                 found = label(texts[first:last], model)
+                part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first),
-                     pa.array([f[0] for f in found], pa.string()),
+                    [part.column(0), pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.float64()),
-                     pa.array([f[2] for f in found], kind)],
-                    ["doc_id", "lang_pred", "score", "spans"])
-
-    return docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
-    ).mapInArrow(run, f"doc_id long, lang_pred string, score double, spans {_SPANS}")
+                     pa.array([f[2] for f in found], kind), *part.columns[2:]],
+                    ["doc_id", "lang_pred", "score", "spans", *carry])
+
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("read"),
+                       *carry)
+    kinds = "".join(f", `{c}` {t}" for c, t in rows.dtypes[2:])
+    return rows.mapInArrow(
+        run, f"doc_id long, lang_pred string, score double, spans {_SPANS}{kinds}")
 
 
 def train_on_folds(docs: DataFrame, settings: Settings = Settings()) -> Model:
