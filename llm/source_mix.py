@@ -25,13 +25,15 @@ ARTICLE, BOOK = 100, 1000
 class Targets:
     """dimensions: columns to rake. shares: wanted shares of named values per dimension,
     scaled to 1 over the values that have tokens. A dimension without wanted shares gets
-    its own shares to the power ``smoothing``, scaled to 1. rounds: passes over the
-    dimensions. seed: of the sampling hash."""
+    its own shares to the power ``smoothing``, scaled to 1. keep: share of all tokens
+    that the sample should have. rounds: passes over the dimensions. seed: of the
+    sampling hash."""
 
     dimensions: tuple[str, ...] = ("source", "lang", "topic")
     shares: dict[str, dict[str, float]] = field(default_factory=dict)
     smoothing: float = 0.7
-    rounds: int = 8
+    keep: float = 0.7
+    rounds: int = 6
     seed: str = "mix"
 
 
@@ -66,9 +68,10 @@ def _target(dimension: str, targets: Targets):
 def cell_probabilities(weighted: DataFrame, targets: Targets = Targets()) -> DataFrame:
     """(dimensions, weight, probability) of every cell of (dimensions, n_tokens).
 
-    The largest ratio of raked to present weight has probability 1, so the expected
-    tokens of every value have the target shares and no document is repeated. A cell
-    without tokens has probability 0. Null values are one value, ``(none)``.
+    A value's target is its share of the kept tokens, or all its tokens if they are fewer.
+    No document is repeated: after every round a cell is trimmed to the tokens it has, and
+    the next round moves the rest to other cells. A cell without tokens has probability
+    0. Null values are one value, ``(none)``.
     """
     dims = list(targets.dimensions)
     cells = weighted.groupBy(*(F.coalesce(F.col(d).cast("string"), F.lit(NONE)).alias(d) for d in dims)) \
@@ -76,22 +79,21 @@ def cell_probabilities(weighted: DataFrame, targets: Targets = Targets()) -> Dat
     for d in dims:
         cells = cells.withColumn(f"t_{d}", _target(d, targets))
     cells = stage(cells, "mix_cells")
+    every = cells.agg(F.sum("weight")).first()[0] or 0.0
     for d in dims:
         # One row per value: the targets of the values that are there sum to 1.
-        one = cells.groupBy(d).agg(F.max(f"t_{d}").alias("t"))
+        one = cells.groupBy(d).agg(F.max(f"t_{d}").alias("t"), F.sum("weight").alias("w"))
         total = one.agg(F.sum("t")).first()[0] or 1.0
-        scaled = one.select(d, (F.col("t") / F.lit(total)).alias(f"t_{d}"))
-        cells = cells.drop(f"t_{d}").join(scaled, d)
+        wanted = F.least(F.lit(targets.keep * every) * F.col("t") / F.lit(total), F.col("w"))
+        cells = cells.drop(f"t_{d}").join(one.select(d, wanted.alias(f"t_{d}")), d)
     cells = stage(cells.withColumn("mass", F.col("weight")), "mix_targets")
     for _ in range(targets.rounds):
         for d in dims:
             held = F.sum("mass").over(Window.partitionBy(d))
             cells = cells.withColumn("mass", F.when(held > 0, F.col("mass") * F.col(f"t_{d}") / held)
                                      .otherwise(F.lit(0.0)))
-        cells = stage(cells, "mix_round")
-    cells = cells.withColumn("ratio", F.col("mass") / F.col("weight"))
-    top = cells.agg(F.max("ratio")).first()[0] or 1.0
-    return cells.select(*dims, "weight", (F.col("ratio") / F.lit(top)).alias("probability"))
+        cells = stage(cells.withColumn("mass", F.least("mass", "weight")), "mix_round")
+    return cells.select(*dims, "weight", (F.col("mass") / F.col("weight")).alias("probability"))
 
 
 def mix(docs: DataFrame, targets: Targets = Targets(), id_column: str = "doc_id") -> DataFrame:
@@ -131,8 +133,9 @@ def oracle_sql(targets: Targets = Targets()) -> str:
   FROM described GROUP BY {names} HAVING sum(n_tokens) > 0)"""]
     for d in dims:
         steps.append(f"""target_{d} AS MATERIALIZED (
-  SELECT {d}, pow(sum(weight), {targets.smoothing})
-         / sum(pow(sum(weight), {targets.smoothing})) OVER () AS t FROM cells GROUP BY {d})""")
+  SELECT {d}, least({targets.keep} * sum(sum(weight)) OVER () * pow(sum(weight), {targets.smoothing})
+         / sum(pow(sum(weight), {targets.smoothing})) OVER (), sum(weight)) AS t
+  FROM cells GROUP BY {d})""")
     last = "cells"
     for r in range(targets.rounds):
         for d in dims:
@@ -142,10 +145,13 @@ def oracle_sql(targets: Targets = Targets()) -> str:
   SELECT {others}, c.weight, c.mass * t.t / sum(c.mass) OVER (PARTITION BY c.{d}) AS mass
   FROM {last} c JOIN target_{d} t ON c.{d} = t.{d})""")
             last = now
+        steps.append(f"""round_{r} AS MATERIALIZED (
+  SELECT {names}, weight, least(mass, weight) AS mass FROM {last})""")
+        last = f"round_{r}"
     match = " AND ".join(f"d.{x} = c.{x}" for x in dims)
     return "WITH " + ",\n".join(steps) + f""",
 chance AS (
-  SELECT {names}, (mass / weight) / max(mass / weight) OVER () AS probability FROM {last})
+  SELECT {names}, mass / weight AS probability FROM {last})
 SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens,
        round(coalesce(c.probability, 0), 9) AS probability,
        CAST(concat('0x', substr(md5(concat('{targets.seed}:', coalesce(CAST(d.doc_id AS VARCHAR), '{NONE}'))), 1, 13))
