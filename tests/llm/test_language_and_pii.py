@@ -1,0 +1,207 @@
+"""Language spans and personal data."""
+
+from __future__ import annotations
+
+import random
+import re
+from itertools import product
+
+import numpy as np
+import pytest
+
+from llm import language_id, pii
+from tests.llm.helpers import AWKWARD, frame
+
+WORDS = {
+    "en": "the of and with house thing water there which should every would".split(),
+    "fr": "le une dans été pour avec maison chose eau où chaque être".split(),
+    "de": "der und nicht ein haus größe wasser wenn jede würde straße schön".split(),
+    "ru": "и не что дом вода каждый который быть вещь".split(),
+}
+
+
+def labelled(seed=1, n=40):
+    draw = random.Random(seed)
+    return [(i, " ".join(draw.choices(WORDS[lang], k=60)), lang, "s", 1)
+            for i, lang in enumerate(list(WORDS) * n)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = labelled()
+    return language_id.train(frame(spark, rows + [(999, None, "en", "s", 0), (998, "zz", None, "s", 2)]))
+
+
+def test_held_out_texts(model):
+    rows = labelled(seed=2)
+    assert [f[0] for f in language_id.label([r[1] for r in rows], model)] == [r[2] for r in rows]
+
+
+def test_spans_of_a_mixed_text(model):
+    draw = random.Random(3)
+    parts = [(lang, " ".join(draw.choices(WORDS[lang], k=50))) for lang in ("en", "fr", "ru", "en")]
+    text = ". ".join(p for _, p in parts)
+    _, _, spans = language_id.label([text], model)[0]
+    assert [s["lang"] for s in spans] == ["en", "fr", "ru", "en"]
+    at = 0
+    for (_, part), span in zip(parts, spans):
+        assert abs(span["start"] - at) < 25 and abs(span["end"] - at - len(part)) < 25
+        at += len(part) + 2
+
+
+def test_a_script_narrows_the_candidates(model):
+    words = language_id.words_of(["дом house"], model.settings.buckets)
+    scores = language_id.word_scores(words, model)
+    ru = model.languages.index("ru")
+    assert scores[0].argmax() == ru and scores[1].argmin() == ru
+
+
+def best_path(scores, penalty):
+    """All paths, tried."""
+    n, k = scores.shape
+    value = {p: sum(scores[i, x] for i, x in enumerate(p))
+             - penalty * sum(a != b for a, b in zip(p, p[1:])) for p in product(range(k), repeat=n)}
+    return max(value.values()), value
+
+
+def test_paths_are_best_paths():
+    draw = np.random.default_rng(4)
+    for _ in range(300):
+        sizes = draw.integers(0, 6, 4)
+        scores = draw.normal(0, 3, (sizes.sum(), 3))
+        cut = np.r_[0, np.cumsum(sizes)]
+        path = language_id.paths(scores, cut, 4.0)
+        for a, b in zip(cut[:-1], cut[1:]):
+            if b > a:
+                best, value = best_path(scores[a:b], 4.0)
+                assert value[tuple(path[a:b])] == pytest.approx(best)
+
+
+def test_awkward_rows(spark, model):
+    docs = frame(spark, AWKWARD).selectExpr("*", "1 AS score", "2 AS spans")
+    got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    assert {got[i]["lang_pred"] for i in (1, 2, 3, 7)} == {"und"}
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    nothing = language_id.train(frame(spark, []))
+    assert {r["lang_pred"] for r in language_id.identify(docs, nothing).collect()} == {"und"}
+    assert language_id.identify(frame(spark, []), model).collect() == []
+
+
+# --- personal data
+
+def plain_spans(text):
+    """The patterns as they are stated."""
+    out = [("email", *m.span()) for m in
+           re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+            if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and pii._luhn(digits):
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+                  if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+
+
+def test_patterns():
+    draw = random.Random(6)
+    samples = ["".join(draw.choice("ab1.@+- ()5") for _ in range(50)) for _ in range(4000)]
+    samples += ["a@b.c@d.e", "1.2.3.4.5", "4111 1111 1111 1111", "+1 (826) 555-4081", "@", "x@y", ""]
+    for text in samples:
+        assert pii.pattern_spans(text) == plain_spans(text)
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 200_000, "a" * 200_000 + "@b.c", "1." * 100_000, "+1" + " " * 200_000):
+        assert len(pii.pattern_spans(text)) <= 1 or "1." in text
+
+
+@pytest.fixture(scope="module")
+def crf(spark):
+    return pii.built_in_crf(spark)
+
+
+def test_held_out_lines(crf):
+    right = found = 0
+    lines = pii._examples(400, 99)
+    for text, kind, start, end in lines:
+        hits = [s for s in pii.find([text], crf)[0] if s[1] < end and start < s[2]]
+        right += bool(hits) == (kind != "outside") and (not hits or hits[0][0] == kind)
+        found += 1
+    assert right / found > 0.97
+
+
+def test_decoding_is_the_best_of_all_paths():
+    draw = np.random.default_rng(8)
+    k = len(pii.TAGS)
+    for _ in range(40):
+        crf = pii.Crf(draw.normal(size=(pii.FEATURES, k)), draw.normal(size=(k, k)))
+        runs = [[list(draw.integers(0, pii.FEATURES, pii.N_FEATURES)) for _ in range(n)]
+                for n in (1, 3, 2)]
+        for run, tags in zip(runs, pii.decode(runs, crf)):
+            def value(path):
+                steps = (0, *path, 0)
+                return sum(crf.moves[a, b] for a, b in zip(steps, steps[1:])) + sum(
+                    crf.weights[w, t].sum() for w, t in zip(run, path))
+            assert value(tuple(tags)) == pytest.approx(max(map(value, product(range(k), repeat=len(run)))))
+
+
+def test_the_gradient_is_that_of_the_likelihood():
+    draw = np.random.default_rng(9)
+    k = len(pii.TAGS)
+    crf = pii.Crf(draw.normal(size=(pii.FEATURES, k)) * 0.3, draw.normal(size=(k, k)) * 0.3)
+    runs = [[list(draw.integers(0, 50, pii.N_FEATURES)) for _ in range(n)] for n in (3, 1, 2)]
+    gold = [list(draw.integers(0, k, len(r))) for r in runs]
+    at, size = pii._padded(runs)
+    padded = np.zeros(at.shape[:2], np.int64)
+    for i, g in enumerate(gold):
+        padded[i, : len(g)] = g
+
+    def loss():
+        total = 0
+        for run, tags in zip(runs, gold):
+            def value(path):
+                steps = (0, *path, 0)
+                return sum(crf.moves[a, b] for a, b in zip(steps, steps[1:])) + sum(
+                    crf.weights[w, t].sum() for w, t in zip(run, path))
+            every = np.array([value(p) for p in product(range(k), repeat=len(run))])
+            total += np.log(np.exp(every).sum()) - value(tuple(tags))
+        return total
+
+    grad_w, grad_m = pii._gradient(crf, at, size, padded, np.arange(at.shape[1]) < size[:, None])
+    for table, grad, places in ((crf.moves, grad_m, [(0, 1), (2, 0), (3, 3)]),
+                                (crf.weights, grad_w, [(runs[0][0][0], 2), (runs[2][1][3], 0)])):
+        for place in places:
+            table[place] += 1e-5
+            up = loss()
+            table[place] -= 2e-5
+            down = loss()
+            table[place] += 1e-5
+            assert grad[place] == pytest.approx((up - down) / 2e-5, abs=1e-4)
+
+
+def test_base_spans_stay_and_added_ones_do_not_overlap(crf):
+    text = 'mail a.b@c.de or call (826) 555-4081, token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" 1.2.3.4'
+    spans = pii.find([text], crf)[0]
+    assert [s[:3] for s in spans if s[3]] == plain_spans(text)
+    assert {s[0] for s in spans if not s[3]} == {"phone", "secret"}
+    places = sorted((s[1], s[2]) for s in spans)
+    assert all(a[1] <= b[0] for a, b in zip(places, places[1:]))
+    assert pii.redact(text, spans) == 'mail [EMAIL] or call [PHONE], token = "[SECRET]" [IP]'
+
+
+def test_clean_lines_stay_clean(crf):
+    for text in ("Version 2.0 of 1998-10-03 costs $12.50, see chapter 3.", "It was 1st of 24 in 2001",
+                 "4785380592391139 is no card", "CC BY-NC 4.0", ""):
+        assert pii.find([text], crf)[0] == []
+
+
+def test_awkward_documents(spark, crf):
+    docs = frame(spark, AWKWARD).selectExpr("*", "1 AS spans", "2 AS redacted")
+    got = pii.find_spans(docs, crf).collect()
+    assert len(got) == len(AWKWARD)
+    by_id = {r["doc_id"]: r for r in got}
+    assert by_id[1]["redacted"] is None and by_id[2]["redacted"] == "" and by_id[6]["spans"] == []
+    digest = {r["doc_id"]: r for r in pii.digests(pii.find_spans(docs, crf)).collect()}[1]
+    assert digest["spans"] == "" and digest["n_email"] == 0
+    assert pii.find_spans(frame(spark, []), crf).collect() == []
