@@ -16,10 +16,10 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry._QUERIES.keys() == entry.oracles.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._QUERIES))
 def test_query_equals_its_oracle(spark, oracle, name):
     result, sql = entry.queries()[name](spark, FOLDER), entry.oracle_sql()[name]
     assert check.spark_types(result) == check.oracle_types(oracle, sql)
