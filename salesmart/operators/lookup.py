@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.staging import stage
 
-# A lookup key with more rows than this is spread over several tasks.
-HOT_KEY_ROWS = 100_000
+# Lookup rows of one key that are joined in one place.
+ROWS_PER_SALT = 100_000
 
 _SALT, _SALTS = "_salt", "_salts"
 
@@ -17,38 +17,35 @@ def fan_out_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
-    many: DataFrame,
     match: str,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Left join to a lookup that may hold many rows per key; all matches are kept.
 
     Adaptive execution splits a hot key on the left of a left join but never on
-    its right. So keys with more than ``hot_key_rows`` lookup rows, if there are
-    any, get their lookup rows spread over salts and the left rows repeated once
-    per salt. ``many`` is the part of the lookup that repeats keys, and ``match``
-    its column that is never NULL.
+    its right. So the lookup rows of a key are spread over salts, one for every
+    ``rows_per_salt`` of them, and a left row is repeated once per salt of its key.
+    Keys with several salts are a written table of at most size-of-lookup /
+    ``rows_per_salt`` rows, usually none, so Catalyst sees its size. ``match`` is the
+    lookup's column that tells a key's rows apart; it may be NULL in a key's only row.
     """
-    hot = (
-        many.groupBy(key)
+    salted = stage(
+        lookup.groupBy(key)
         .count()
-        .where(F.col("count") > hot_key_rows)
-        .select(key, F.ceil(F.col("count") / hot_key_rows).cast("int").alias(_SALTS))
+        .where(F.col("count") > rows_per_salt)
+        .select(key, F.ceil(F.col("count") / rows_per_salt).cast("int").alias(_SALTS)),
+        "salted_keys",
     )
-    if hot.isEmpty():
-        return rows.join(lookup, key, "left")
-    # At most size-of-lookup / hot_key_rows rows; written, so Catalyst sees its size.
-    hot = stage(hot, "hot_keys")
     salts = F.coalesce(F.col(_SALTS), F.lit(1))
     spread = (
-        lookup.join(hot, key, "left")
+        lookup.join(salted, key, "left")
         .withColumn(_SALT, F.pmod(F.xxhash64(match), salts).cast("int"))
         .drop(_SALTS)
     )
-    repeated = rows.join(hot, key, "left").withColumn(
+    repeated = rows.join(salted, key, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    # A hot key always has a match, so an unmatched salt of it is no result row.
+    # A key with salts has many matches, so an unmatched salt of it is no result row.
     return (
         repeated.join(spread, [key, _SALT], "left")
         .where(F.col(_SALTS).isNull() | F.col(match).isNotNull())

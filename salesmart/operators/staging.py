@@ -43,3 +43,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove everything that this application has staged."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_folder(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart import schemas
 from salesmart.functions.numeric import discount, discount_pct
-from salesmart.operators.lookup import HOT_KEY_ROWS, fan_out_join
+from salesmart.operators.lookup import ROWS_PER_SALT, fan_out_join
 from salesmart.operators.replace import replace_by_key
 from salesmart.operators.staging import stage
 from salesmart.plans.dims import Star
@@ -59,17 +59,32 @@ def _with_day(headers: DataFrame, star: Star) -> DataFrame:
     return headers.join(days(calendar, "sk_tempo", STORE_DAY), STORE_DAY, "left")
 
 
-def _with_buyer(headers: DataFrame, star: Star, hot_key_rows: int) -> DataFrame:
+def _buyers(star: Star, person: str) -> DataFrame:
+    """A row per address of a person, and one per customer without an address.
+
+    Written, so that its size is known. A person with very many addresses is on the left
+    of both joins, where adaptive execution can split them.
+    """
+    place = star.localidade.select(F.col("id_pessoa").alias(person), "sk_localidade")
+    if star.cliente is None:
+        return stage(place, "buyers")
+    buyer = star.cliente.select(F.col("id_pessoa").alias(person), "sk_cliente")
+    elsewhere = buyer.join(place.select(person).distinct(), person, "left_anti")
+    return stage(
+        place.join(buyer, person, "left").unionByName(elsewhere, allowMissingColumns=True),
+        "buyers",
+    )
+
+
+def _with_buyer(headers: DataFrame, star: Star, rows_per_salt: int) -> DataFrame:
     """Customer and locality keys hang on the same person, so one join adds both."""
     person = "id_cliente"
-    lookups = []
-    if star.cliente is not None:
-        lookups.append(star.cliente.select(F.col("id_pessoa").alias(person), "sk_cliente"))
-    if star.localidade is None:
-        return headers.join(lookups[0], person, "left") if lookups else headers
-    place = star.localidade.select(F.col("id_pessoa").alias(person), "sk_localidade")
-    lookup = lookups[0].join(place, person, "full") if lookups else place
-    return fan_out_join(headers, lookup, person, place, "sk_localidade", hot_key_rows)
+    if star.localidade is not None:
+        return fan_out_join(headers, _buyers(star, person), person, "sk_localidade", rows_per_salt)
+    if star.cliente is None:
+        return headers
+    buyer = star.cliente.select(F.col("id_pessoa").alias(person), "sk_cliente")
+    return headers.join(buyer, person, "left")
 
 
 def _with_seller(headers: DataFrame, star: Star) -> DataFrame:
@@ -98,20 +113,25 @@ def sales_fact(
     star: Star,
     first: date | None = None,
     last: date | None = None,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Fact rows of the days first..last with a key for each dimension given.
 
     Day, buyer and seller belong to the invoice, so their keys are joined to the
-    invoice headers, which are fewer and narrower than the lines. The lines are
-    then shuffled once by invoice and once by product; both list price and product
-    key come from that one product join.
+    invoice headers, which are fewer and narrower than the lines; both list price and
+    product key come from one product join. The headers of a few days are written
+    first: their size is then known, and where they can be broadcast the lines are not
+    shuffled at all.
     """
     invoices = _invoices(src, first, last)
     headers = _with_seller(
-        _with_buyer(_with_day(invoices, star), star, hot_key_rows), star
+        _with_buyer(_with_day(invoices, star), star, rows_per_salt), star
     )
-    lines = _lines(src, None if first is None or last is None else invoices)
+    if first is None or last is None:
+        lines = _lines(src, None)
+    else:
+        headers = stage(headers, "headers")
+        lines = _lines(src, headers)
     taken_off = discount(F.col("valor_venda"), F.col("valor_unitario"))
     fact = (
         headers.join(lines, "id_nota")

@@ -95,7 +95,7 @@ def test_fact_full(edge_source, star):
 
 
 def test_fact_with_every_key_treated_as_hot(edge_source, star):
-    salted = fact.fact_full(edge_source, star, hot_key_rows=1)
+    salted = fact.fact_full(edge_source, star, rows_per_salt=1)
     assert rows(salted) == expect(*FACT_ROWS)
 
 
