@@ -30,15 +30,22 @@ def lake_base_rows(fact: DataFrame, tempo: DataFrame) -> DataFrame:
 def lake_month_rows(
     fact: DataFrame, tempo: DataFrame, localidade: DataFrame, run_date: date
 ) -> DataFrame:
-    """All sales of the run date's month with city and state.
+    """All sales of the run date's month with city and state."""
+    return lake_months_rows(fact, tempo, localidade, run_date, run_date)
 
-    On a fact that carries its storage date, the month is also a range of that
+
+def lake_months_rows(
+    fact: DataFrame, tempo: DataFrame, localidade: DataFrame, first: date, last: date
+) -> DataFrame:
+    """All sales of the months that first..last touch, with city and state.
+
+    On a fact that carries its storage date, the months are also a range of that
     partition column, so the other days are never read.
     """
-    first, last = month_of(run_date)
+    first, last = month_of(first)[0], month_of(last)[1]
     if STORE_DAY in fact.columns:
         fact = fact.where(F.col(STORE_DAY).between(F.lit(first), F.lit(last)))
-    month = tempo.where((F.col("ano") == first.year) & (F.col("mes") == first.month))
+    month = tempo.where(F.col("data").between(F.lit(first), F.lit(last)))
     places = localidade.select("sk_localidade", "sigla_estado", "cidade")
     return (
         fact.join(days(month, "sk_tempo", "data", "ano", "mes"), "sk_tempo")

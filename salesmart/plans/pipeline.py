@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,15 +50,22 @@ class Warehouse:
     def lake(self) -> str:
         return self.lake_root or f"{self.root}/lake/{FACT}"
 
+    @property
+    def base(self) -> Warehouse:
+        """The base mode's tables, which have other columns than the main mode's."""
+        return Warehouse(f"{self.root}/base", self.lake_root and f"{self.lake_root}/base")
+
 
 @dataclass
 class RunReport:
-    """Rows written per table."""
+    """Rows written per table, and loaded facts without a key, per key."""
 
     counts: dict[str, int] = field(default_factory=dict)
+    missing: dict[str, int] = field(default_factory=dict)
 
     def lines(self) -> list[str]:
-        return [f"{name}: {count} rows" for name, count in self.counts.items()]
+        written = [f"{name}: {count} rows" for name, count in self.counts.items()]
+        return written + [f"{FACT}: {n} rows without {key}" for key, n in self.missing.items()]
 
 
 @dataclass(frozen=True)
@@ -154,8 +161,8 @@ def load_fact(
     first: date,
     last: date,
     one_locality: bool = False,
-) -> int:
-    """Replace the sales of the days first..last; returns the rows written."""
+) -> tuple[int, set[date]]:
+    """Replace the sales of the days first..last; returns the rows and days written."""
     star = stored_star(src.spark, warehouse, MAIN_DIMENSIONS)
     if one_locality:
         star = dims.with_one_locality(star)
@@ -166,28 +173,58 @@ def load_fact(
 
 
 def clear_days_without_sales(
-    src: SalesSource, warehouse: Warehouse, first: date, last: date
+    spark: SparkSession, warehouse: Warehouse, first: date, last: date, loaded: set[date]
 ) -> None:
-    """Empty the stored days of first..last for which the source has no sales."""
+    """Empty the stored days of first..last that the load just made did not write."""
     day = schemas.STORE_DAY.name
     in_range = F.col(day).between(F.lit(first), F.lit(last))
-    stored = stored_fact(src.spark, warehouse).where(in_range).select(day).distinct()
-    sold = sales_fact(src, dims.Star(), first, last).select(day).distinct()
     # At most one row per day of the range.
-    for row in stored.join(sold, day, "left_anti").collect():
-        tables.clear_fact_day(
-            src.spark, warehouse.table(FACT), schemas.FATO_VENDA_STORE, row[day]
-        )
+    stored = stored_fact(spark, warehouse).where(in_range).select(day).distinct().collect()
+    tables.drop_fact_days(spark, warehouse.table(FACT), {row[day] for row in stored} - loaded)
 
 
-def load_lake_month(spark: SparkSession, warehouse: Warehouse, run_date: date) -> int:
-    """Replace the lake snapshot of the run date's month."""
+def load_lake_months(
+    spark: SparkSession, warehouse: Warehouse, first: date, last: date
+) -> int:
+    """Replace the lake snapshot of every month that first..last touches."""
     star = stored_star(spark, warehouse, MAIN_DIMENSIONS)
-    fact = tables.read_fact_month(
-        spark, warehouse.table(FACT), schemas.FATO_VENDA_STORE, run_date
+    fact = tables.read_fact_months(
+        spark, warehouse.table(FACT), schemas.FATO_VENDA_STORE, first, last
     )
-    rows = lake.lake_month_rows(fact, star.tempo, star.localidade, run_date)
-    return tables.write_lake_month(rows, warehouse.lake, schemas.LAKE)
+    rows = lake.lake_months_rows(fact, star.tempo, star.localidade, first, last)
+    several = (first.year, first.month) != (last.year, last.month)
+    return tables.write_lake_months(rows, warehouse.lake, schemas.LAKE, gather=several)
+
+
+def settled_calendar(
+    spark: SparkSession, warehouse: Warehouse, calendar: Calendar, run_date: date | None = None
+) -> Calendar:
+    """The calendar that a run stores: it reaches the run date's year and never shrinks.
+
+    A day's key is its position, so the first day of a warehouse is fixed by its first
+    run. Another one would move every stored sale to another date and is refused.
+    """
+    if run_date is not None:
+        calendar = calendar.reaching(run_date)
+    stored = tables.read_if_present(spark, warehouse.table("dim_tempo"), schemas.DIM_TEMPO)
+    if stored is None:
+        return calendar
+    first, last = stored.agg(F.min("data"), F.max("data")).first()
+    if first is not None and first != calendar.first:
+        raise ValueError(f"the calendar of this warehouse begins on {first}, not {calendar.first}")
+    return calendar if last is None else replace(calendar, last=max(last, calendar.last))
+
+
+def _report_keys(spark: SparkSession, warehouse: Warehouse, first: date, last: date,
+                 calendar: Calendar) -> dict[str, int]:
+    """Rows of the loaded days without a key, per key. A day from the calendar's start on
+    must have its key."""
+    day = F.col(schemas.STORE_DAY.name)
+    loaded = stored_fact(spark, warehouse).where(day.between(F.lit(first), F.lit(last)))
+    missing = quality.null_keys(loaded).first().asDict()
+    if missing["sk_tempo"] and quality.undated(loaded, calendar.first):
+        raise quality.ValidationError("loaded days are not in the calendar")
+    return {key: n for key, n in missing.items() if n}
 
 
 def load_marts(
@@ -240,16 +277,19 @@ def run_pipeline(
     """Dimensions, fact day, lake month, marts, validation.
 
     ``first`` loads the days first..run_date instead of one. The rows stored for a
-    day that now has no sales are left alone unless ``force_clear`` is set.
+    day that now has no sales are left alone unless ``force_clear`` is set. One run at a
+    time: two could give out the same key.
     """
     spark = src.spark
+    first = first or run_date
+    calendar = settled_calendar(spark, warehouse, calendar, run_date)
     report = RunReport()
     report.counts.update(load_dimensions(src, warehouse, calendar, MAIN_DIMENSIONS))
-    loaded = load_fact(src, warehouse, first or run_date, run_date, one_locality)
+    report.counts[FACT], loaded = load_fact(src, warehouse, first, run_date, one_locality)
     if force_clear:
-        clear_days_without_sales(src, warehouse, first or run_date, run_date)
-    report.counts[FACT] = loaded
-    report.counts["lake"] = load_lake_month(spark, warehouse, run_date)
+        clear_days_without_sales(spark, warehouse, first, run_date, loaded)
+    report.missing = _report_keys(spark, warehouse, first, run_date, calendar)
+    report.counts["lake"] = load_lake_months(spark, warehouse, first, run_date)
     report.counts.update(load_marts(spark, warehouse, run_ts, mart_sink))
     quality.validate(report.counts)
     return report
@@ -265,9 +305,12 @@ def run_full_refresh(
 ) -> RunReport:
     """Base mode: natural-person buyers, whole fact, whole lake, monthly mart.
 
-    The mart is computed from the lake and covers the given years only.
+    The mart is computed from the lake and covers the given years only. The tables are in
+    the warehouse's ``base`` folder, apart from those of the daily runs.
     """
     spark = src.spark
+    warehouse = warehouse.base
+    calendar = settled_calendar(spark, warehouse, calendar)
     report = RunReport()
     report.counts.update(load_dimensions(src, warehouse, calendar, BASE_DIMENSIONS))
     star = stored_star(spark, warehouse, BASE_DIMENSIONS)

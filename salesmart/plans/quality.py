@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.numeric import total_money, total_quantity
+from salesmart.functions.numeric import (
+    discount, half_even, percent_of, total_money, total_quantity,
+)
 from salesmart.plans.dims import Star
-from salesmart.schemas import MONEY
+from salesmart.schemas import MONEY, STORE_DAY
 from salesmart.sources.calendar import days
 
 KEYS = {
@@ -54,6 +58,31 @@ def null_keys(fact: DataFrame) -> DataFrame:
     ])
 
 
+def undated(fact: DataFrame, first: date) -> int:
+    """Rows of days from ``first`` on, the calendar's start, that have no day key."""
+    day = F.col(STORE_DAY.name)
+    return fact.where(F.col("sk_tempo").isNull() & (day >= F.lit(first))).count()
+
+
+def overflow(lines: DataFrame, products: DataFrame, limit: Decimal) -> DataFrame:
+    """Lines whose discount in percent of the charged price is ``limit`` or more either
+    way, worst first per product: how many, and the largest share.
+
+    Storing such a line with a limit of 1000 fails the whole run, by design; this names
+    the products first. A share that fits no decimal at all counts too.
+    """
+    prices = products.select(F.col("id").alias("id_produto"), "valor_venda")
+    off = discount(F.col("valor_venda"), F.col("valor_unitario"))
+    share = half_even(percent_of(off, F.col("valor_unitario")), 2)
+    fits = F.abs(share.try_cast("decimal(38,2)")) < F.lit(limit)
+    return (
+        lines.join(prices, "id_produto")
+        .where(share.isNotNull() & ~F.coalesce(fits, F.lit(False)))
+        .groupBy("id_produto")
+        .agg(F.count(F.lit(1)).alias("n_lines"), F.max(F.abs(share)).alias("largest_pct"))
+    )
+
+
 def referential_integrity(fact: DataFrame, star: Star) -> DataFrame:
     """Per dimension, distinct fact keys and fact rows that point to no row of it.
 

@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Iterable
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.schemas import STORE_DAY, conform, without
+from salesmart.schemas import STORE_DAY, conform
 
 LAKE_PARTITIONS = ("ano", "mes")
-_COUNT = "n_rows"
+_COUNT, _DAYS = "n_rows", "days"
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -37,19 +53,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return read_table(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return read_table(spark, path, schema) if exists(spark, path) else None
 
 
-def read_fact_month(
-    spark: SparkSession, path: str, schema: T.StructType, day: date
+def read_fact_months(
+    spark: SparkSession, path: str, schema: T.StructType, first: date, last: date
 ) -> DataFrame:
-    """The stored facts of a day's month; the folders of other months are not listed."""
-    folders = f"{path}/{STORE_DAY.name}={day:%Y-%m}-*"
+    """The stored facts of the months from first to last; for one month, the folders of
+    the others are not even listed."""
+    if (first.year, first.month) != (last.year, last.month):
+        low, high = first.replace(day=1), (last.replace(day=28) + timedelta(days=4)).replace(day=1)
+        day = F.col(STORE_DAY.name)
+        return read_table(spark, path, schema).where((day >= F.lit(low)) & (day < F.lit(high)))
+    folders = f"{path}/{STORE_DAY.name}={first:%Y-%m}-*"
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(folders)
     except AnalysisException as error:
@@ -88,27 +104,30 @@ def write_fact_full(fact: DataFrame, path: str, schema: T.StructType) -> int:
 
 def replace_fact_days(
     fact: DataFrame, path: str, schema: T.StructType, gather: bool = True
-) -> int:
+) -> tuple[int, set[date]]:
     """Replace the days that ``fact`` holds, leaving all others as they are.
 
-    The new folders are swapped in when the job commits. A day without rows is not
-    touched; use :func:`clear_fact_day` for a day corrected to empty.
+    Returns the number of rows and the days, at most one entry per day of the range. The
+    new folders are swapped in when the job commits. A day without rows is not touched;
+    use :func:`drop_fact_days` for days corrected to empty.
     """
-    rows, seen = _counted(_store_ready(fact, schema, gather))
+    seen = Observation()
+    rows = _store_ready(fact, schema, gather).observe(
+        seen, F.count(F.lit(1)).alias(_COUNT), F.collect_set(STORE_DAY.name).alias(_DAYS))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(STORE_DAY.name)
         .parquet(path)
     )
-    return seen.get[_COUNT]
+    return seen.get[_COUNT], set(seen.get[_DAYS] or ())
 
 
-def clear_fact_day(spark: SparkSession, path: str, schema: T.StructType, day: date) -> None:
-    """Leave a day of the fact store without rows."""
-    columns = without(schema, STORE_DAY.name)
-    folder = f"{path}/{STORE_DAY.name}={day.isoformat()}"
-    spark.createDataFrame([], columns).write.mode("overwrite").parquet(folder)
+def drop_fact_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
+    """Leave days of the fact store without rows: folders are removed, no job is run."""
+    for day in days:
+        folder, files = _folder(spark, f"{path}/{STORE_DAY.name}={day.isoformat()}")
+        files.delete(folder, True)
 
 
 def _lake_writer(rows: DataFrame):
@@ -126,11 +145,13 @@ def write_lake_full(rows: DataFrame, path: str, schema: T.StructType) -> int:
     return seen.get[_COUNT]
 
 
-def write_lake_month(rows: DataFrame, path: str, schema: T.StructType) -> int:
-    """Replace the month that ``rows`` holds: one snapshot per month, not per run.
+def write_lake_months(
+    rows: DataFrame, path: str, schema: T.StructType, gather: bool = False
+) -> int:
+    """Replace the months that ``rows`` holds: one snapshot per month, not per run.
 
-    Without rows nothing is touched.
+    Without rows nothing is touched; a month that lost all its sales keeps its snapshot.
     """
-    rows, seen = _counted(conform(rows, schema))
+    rows, seen = _counted(_gathered(conform(rows, schema), gather, *LAKE_PARTITIONS))
     _lake_writer(rows).option("partitionOverwriteMode", "dynamic").parquet(path)
     return seen.get[_COUNT]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,10 @@ class Calendar:
     first: date = date(2015, 1, 1)
     last: date = date(2026, 12, 31)
 
+    def reaching(self, day: date) -> Calendar:
+        """This calendar, longer if needed so that the year of ``day`` is in it."""
+        return replace(self, last=max(self.last, date(day.year, 12, 31)))
+
     @property
     def days(self) -> int:
         return (self.last - self.first).days + 1

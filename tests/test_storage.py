@@ -53,14 +53,15 @@ def test_reloading_a_day_does_not_duplicate_it(spark, edge_source, star, store):
     before = stored(spark, store)
     for day in (date(2024, 1, 10), date(2014, 12, 31)):
         new = fact.sales_fact(edge_source, star, day, day)
-        assert tables.replace_fact_days(new, store, STORE) > 0
+        n, days = tables.replace_fact_days(new, store, STORE)
+        assert n > 0 and days == {day}
         assert stored(spark, store) == before
 
 
 def test_reloading_a_day_removes_what_left_it(spark, edge_source, star, store):
     day = date(2024, 1, 10)
     new = fact.sales_fact(edge_source, star, day, day).where("id_nota = 101")
-    assert tables.replace_fact_days(new, store, STORE) == 2
+    assert tables.replace_fact_days(new, store, STORE) == (2, {day})
     left = tables.read_table(spark, store, STORE)
     assert left.count() == 7
     assert left.where("id_nota = 100").count() == 0
@@ -68,22 +69,25 @@ def test_reloading_a_day_removes_what_left_it(spark, edge_source, star, store):
 
 def test_a_day_without_sales_leaves_stored_rows(spark, sales, store):
     before = stored(spark, store)
-    assert tables.replace_fact_days(sales.where("id_nota < 0"), store, STORE) == 0
+    assert tables.replace_fact_days(sales.where("id_nota < 0"), store, STORE) == (0, set())
     assert stored(spark, store) == before
 
 
 def test_a_day_can_be_cleared(spark, store):
-    tables.clear_fact_day(spark, store, STORE, date(2024, 1, 10))
+    tables.drop_fact_days(spark, store, [date(2024, 1, 10)])
     left = tables.read_table(spark, store, STORE)
     assert left.where(F.col("data_venda") == date(2024, 1, 10)).count() == 0
     assert left.count() == 5
 
 
 def test_month_of_the_fact_store(spark, store):
-    february = tables.read_fact_month(spark, store, STORE, date(2024, 2, 20))
+    february = tables.read_fact_months(spark, store, STORE, date(2024, 2, 20), date(2024, 2, 20))
     whole = tables.read_table(spark, store, STORE)
     assert rows(february) == rows(whole.where("data_venda >= '2024-02-01'"))
-    assert tables.read_fact_month(spark, store, STORE, date(2024, 3, 1)).isEmpty()
+    assert tables.read_fact_months(
+        spark, store, STORE, date(2024, 3, 1), date(2024, 3, 31)).isEmpty()
+    both = tables.read_fact_months(spark, store, STORE, date(2024, 1, 31), date(2024, 2, 1))
+    assert rows(both) == rows(whole.where("data_venda >= '2024-01-01'"))
 
 
 def test_full_refresh_replaces_the_table(spark, star, tmp_path):
@@ -117,10 +121,10 @@ def test_lake_month_is_one_snapshot_however_often_it_is_written(spark, sales, st
     path = str(tmp_path / "lake")
     for day in (date(2024, 2, 5), date(2024, 2, 6), date(2024, 1, 10), date(2024, 2, 28)):
         month = lake.lake_month_rows(sales, star.tempo, star.localidade, day)
-        tables.write_lake_month(month, path, schemas.LAKE)
+        tables.write_lake_months(month, path, schemas.LAKE)
     assert read_lake(spark, path, schemas.LAKE, [2024]).count() == 8
     empty = lake.lake_month_rows(sales, star.tempo, star.localidade, date(2024, 3, 1))
-    assert tables.write_lake_month(empty, path, schemas.LAKE) == 0
+    assert tables.write_lake_months(empty, path, schemas.LAKE) == 0
     assert read_lake(spark, path, schemas.LAKE, [2024]).count() == 8
 
 
