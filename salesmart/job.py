@@ -13,6 +13,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.operators import staging
 from salesmart.plans import dashboard, pipeline
 from salesmart.plans.pipeline import LOCALITY_MART, MART_SCHEMAS, MONTH_MART, Warehouse
 from salesmart.session import cluster_session
@@ -43,6 +44,8 @@ def _arguments() -> argparse.ArgumentParser:
     load.add_argument("--mart-jdbc", help="JDBC URL that the marts are also written to")
     load.add_argument("--mart-user")
     load.add_argument("--mart-password-file")
+    load.add_argument("--mart-writers", type=int, default=jdbc_sink.WRITERS,
+                      help="connections that a mart is written over")
     load.add_argument("--calendar-first", type=date.fromisoformat, default=Calendar().first)
     load.add_argument("--calendar-last", type=date.fromisoformat, default=Calendar().last)
 
@@ -72,15 +75,18 @@ def _source(spark: SparkSession, args: argparse.Namespace) -> tables.SalesSource
     return jdbc.sales_source(spark, connection, args.source_readers)
 
 
-def _send_mart(connection: jdbc.Connection, mart: DataFrame, name: str) -> None:
-    jdbc_sink.refresh(mart, MART_SCHEMAS[name], connection, name, jdbc_sink.PAGE_MART)
+def _send_mart(
+    connection: jdbc.Connection, writers: int, mart: DataFrame, name: str
+) -> None:
+    jdbc_sink.refresh(
+        mart, MART_SCHEMAS[name], connection, name, jdbc_sink.PAGE_MART, writers)
 
 
 def _mart_sink(args: argparse.Namespace) -> pipeline.MartSink | None:
     if not args.mart_jdbc:
         return None
     connection = _connection(args.mart_jdbc, args.mart_user, args.mart_password_file)
-    return partial(_send_mart, connection)
+    return partial(_send_mart, connection, args.mart_writers)
 
 
 def datasets(monthly: DataFrame, locality: DataFrame, year: int | None) -> dict[str, DataFrame]:
@@ -114,12 +120,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         "mart_sink": _mart_sink(args),
     }
     src = _source(spark, args)
-    if args.mode == "daily":
-        report = pipeline.run_pipeline(
-            src, warehouse, args.run_date, first=args.first,
-            one_locality=args.one_locality, force_clear=args.force_clear, **common)
-    else:
-        report = pipeline.run_full_refresh(src, warehouse, args.years, **common)
+    try:
+        if args.mode == "daily":
+            report = pipeline.run_pipeline(
+                src, warehouse, args.run_date, first=args.first,
+                one_locality=args.one_locality, force_clear=args.force_clear, **common)
+        else:
+            report = pipeline.run_full_refresh(src, warehouse, args.years, **common)
+    finally:
+        staging.clear(spark)
     print("\n".join(report.lines()))
 
 

@@ -14,7 +14,7 @@ PAGE_FACT = 5_000
 PAGE_FACT_BASE = 10_000
 PAGE_MART = 1_000
 
-# Concurrent connections a write may open, whatever the number of partitions.
+# Connections a write opens unless told otherwise, whatever the number of partitions.
 WRITERS = 16
 
 
@@ -44,8 +44,8 @@ def append(
 
 def refresh(
     df: DataFrame, schema: T.StructType, connection: Connection, table: str,
-    page: int = PAGE_DEFAULT,
+    page: int = PAGE_DEFAULT, writers: int = WRITERS,
 ) -> None:
     """Full refresh of a table."""
-    options = refresh_options(connection, table, page)
+    options = refresh_options(connection, table, page, writers)
     conform(df, schema).write.format("jdbc").mode("overwrite").options(**options).save()

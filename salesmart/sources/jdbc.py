@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -74,7 +75,9 @@ def read_options(
     if slices is not None:
         options.update(slices.options())
     if schema is not None:
-        options["customSchema"] = schema
+        # Wall-clock times stay as they are, whatever the time zone of the JVM.
+        options["customSchema"] = re.sub(r"\btimestamp\b", "timestamp_ntz", schema)
+        options["preferTimestampNTZ"] = "true"
     return options
 
 

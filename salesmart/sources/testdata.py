@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from salesmart.sources.calendar import Calendar
 from salesmart.sources.tables import SalesSource
 
-# Sales of 1995 fall before it, so they have no calendar key.
-CALENDAR = Calendar(date(1996, 1, 1), date(2001, 12, 31))
+# For queries about sales outside the calendar: those of 1995 fall before it.
+SHORT_CALENDAR = Calendar(date(1996, 1, 1), date(2001, 12, 31))
 
 _SCHEMAS = {
     "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",

@@ -31,6 +31,13 @@ def test_types_are_declared():
         "id long, nome string, id_categoria long, valor_venda decimal(18,2)")
 
 
+def test_wall_clock_times_are_read_without_a_zone():
+    schema = SOURCE_SCHEMAS["vendas.nota_fiscal"]
+    options = jdbc.read_options(CONNECTION, "vendas.nota_fiscal", schema=schema)
+    assert "data_venda timestamp_ntz," in options["customSchema"]
+    assert options["preferTimestampNTZ"] == "true"
+
+
 def test_table_queries_name_only_the_columns_used():
     assert jdbc.table_query("geral.endereco") == (
         "SELECT id, id_pessoa, id_bairro, cep FROM geral.endereco")

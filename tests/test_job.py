@@ -44,4 +44,4 @@ def test_mart_writer_is_only_built_for_a_mart_address(tmp_path):
     sink = job._mart_sink(parse(required + [
         "--mart-jdbc", "jdbc:postgresql://h/db", "--mart-user", "u",
         "--mart-password-file", str(tmp_path / "pw")]))
-    assert sink.args[0].password == "secret"
+    assert sink.args[1] == 16 and sink.args[0].password == "secret"
