@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from itertools import product
@@ -196,6 +197,18 @@ def test_clean_lines_stay_clean(crf):
         assert pii.find([text], crf)[0] == []
 
 
+def test_digests_are_those_of_the_patterns(spark, crf):
+    texts = ["a@b.cd and x.y@z.org, 1.2.3.4", "+1 (826) 555-4081 4111 1111 1111 1111",
+             'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "é 🎉 a@b.cd", "nothing"]
+    docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    for row in pii.digests(pii.find_spans(docs, crf)).collect():
+        spans = sorted(plain_spans(texts[row["doc_id"]]), key=lambda s: (pii.BASE.index(s[0]), s[1]))
+        named = ",".join(":".join(map(str, s)) for s in spans)
+        assert row["base_sha256"] == hashlib.sha256(named.encode()).hexdigest()
+        assert [row[f"n_{k}"] for k in pii.BASE] == [sum(s[0] == k for s in spans) for k in pii.BASE]
+        assert set(named.split(",")) - {""} <= set(row["spans"].split(","))
+
+
 def test_awkward_documents(spark, crf):
     docs = frame(spark, AWKWARD).selectExpr("*", "1 AS spans", "2 AS redacted")
     got = pii.find_spans(docs, crf).collect()
