@@ -13,6 +13,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart import schemas
 from salesmart.operators import staging
 from salesmart.plans import dashboard, pipeline
 from salesmart.plans.pipeline import LOCALITY_MART, MART_SCHEMAS, MONTH_MART, Warehouse
@@ -44,6 +45,7 @@ def _arguments() -> argparse.ArgumentParser:
     load.add_argument("--mart-jdbc", help="JDBC URL that the marts are also written to")
     load.add_argument("--mart-user")
     load.add_argument("--mart-password-file")
+    load.add_argument("--fact-table", help="table there that loaded facts are appended to")
     load.add_argument("--mart-writers", type=int, default=jdbc_sink.WRITERS,
                       help="connections that a mart is written over")
     load.add_argument("--calendar-first", type=date.fromisoformat, default=Calendar().first)
@@ -89,6 +91,22 @@ def _mart_sink(args: argparse.Namespace) -> pipeline.MartSink | None:
     return partial(_send_mart, connection, args.mart_writers)
 
 
+def _send_fact(rows: DataFrame, connection: jdbc.Connection, **options) -> None:
+    jdbc_sink.append(rows, connection=connection, **options)
+
+
+def _fact_sink(args: argparse.Namespace) -> pipeline.FactSink | None:
+    """Loaded facts are appended to a table of the mart database, if one is named."""
+    if not args.fact_table:
+        return None
+    base = args.mode == "refresh"
+    return partial(
+        _send_fact, connection=_connection(args.mart_jdbc, args.mart_user, args.mart_password_file),
+        table=args.fact_table, writers=args.mart_writers,
+        page=jdbc_sink.PAGE_FACT_BASE if base else jdbc_sink.PAGE_FACT,
+        schema=schemas.FATO_VENDA_BASE if base else schemas.FATO_VENDA)
+
+
 def datasets(monthly: DataFrame, locality: DataFrame, year: int | None) -> dict[str, DataFrame]:
     """Everything the dashboard shows for a year."""
     year = dashboard.latest_year(monthly) if year is None else year
@@ -118,6 +136,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         "run_ts": datetime.now(),
         "calendar": Calendar(args.calendar_first, args.calendar_last),
         "mart_sink": _mart_sink(args),
+        "fact_sink": _fact_sink(args),
     }
     src = _source(spark, args)
     try:

@@ -31,6 +31,7 @@ MART_SCHEMAS = {
 }
 
 MartSink = Callable[[DataFrame, str], None]
+FactSink = Callable[[DataFrame], None]
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,10 @@ def load_dimension(
     known = tables.read_if_present(spark, map_path, map_schema)
     if known is None:
         known = spark.createDataFrame([], map_schema)
-    tables.append(new_keys(rows, sk, natural_key, known), map_path, map_schema)
+    added = new_keys(rows, sk, natural_key, known)
+    # A run without new keys adds no files to the map.
+    if not tables.exists(spark, map_path) or not added.isEmpty():
+        tables.append(added, map_path, map_schema)
     complete = tables.read_table(spark, map_path, map_schema)
     keyed = attach_keys(rows, sk, natural_key, complete)
     return tables.write_full(keyed, warehouse.table(name), dimension.schema)
@@ -273,9 +277,11 @@ def run_pipeline(
     one_locality: bool = False,
     force_clear: bool = False,
     mart_sink: MartSink | None = None,
+    fact_sink: FactSink | None = None,
 ) -> RunReport:
     """Dimensions, fact day, lake month, marts, validation.
 
+    ``fact_sink`` gets the facts stored for the loaded days.
     ``first`` loads the days first..run_date instead of one. The rows stored for a
     day that now has no sales are left alone unless ``force_clear`` is set. One run at a
     time: two could give out the same key.
@@ -288,6 +294,9 @@ def run_pipeline(
     report.counts[FACT], loaded = load_fact(src, warehouse, first, run_date, one_locality)
     if force_clear:
         clear_days_without_sales(spark, warehouse, first, run_date, loaded)
+    if fact_sink is not None and loaded:
+        day = F.col(schemas.STORE_DAY.name)
+        fact_sink(stored_fact(spark, warehouse).where(day.between(F.lit(first), F.lit(run_date))))
     report.missing = _report_keys(spark, warehouse, first, run_date, calendar)
     report.counts["lake"] = load_lake_months(spark, warehouse, first, run_date)
     report.counts.update(load_marts(spark, warehouse, run_ts, mart_sink))
@@ -302,6 +311,7 @@ def run_full_refresh(
     run_ts: datetime,
     calendar: Calendar = Calendar(),
     mart_sink: MartSink | None = None,
+    fact_sink: FactSink | None = None,
 ) -> RunReport:
     """Base mode: natural-person buyers, whole fact, whole lake, monthly mart.
 
@@ -318,6 +328,8 @@ def run_full_refresh(
     path = warehouse.table(FACT)
     report.counts[FACT] = tables.write_fact_full(sales_fact(src, star), path, schema)
     fact = tables.read_table(spark, path, schema)
+    if fact_sink is not None:
+        fact_sink(fact)
     report.counts["lake"] = tables.write_lake_full(
         lake.lake_base_rows(fact, star.tempo), warehouse.lake, schemas.LAKE_BASE
     )

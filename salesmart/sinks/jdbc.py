@@ -35,10 +35,10 @@ def refresh_options(
 
 def append(
     df: DataFrame, schema: T.StructType, connection: Connection, table: str,
-    page: int = PAGE_DEFAULT,
+    page: int = PAGE_DEFAULT, writers: int = WRITERS,
 ) -> None:
     """Insert in pages; an empty frame inserts nothing."""
-    options = append_options(connection, table, page)
+    options = append_options(connection, table, page, writers)
     conform(df, schema).write.format("jdbc").mode("append").options(**options).save()
 
 

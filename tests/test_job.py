@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+
 import pytest
 
-from salesmart import job
+from salesmart import job, schemas
+from salesmart.operators import staging
+from salesmart.plans.quality import ValidationError
 from salesmart.sources.tables import SOURCE_SCHEMAS, short_name
 
 
@@ -28,12 +32,35 @@ def test_daily_then_dashboard(spark, folder, tmp_path, capsys):
     assert "▲ R$ 0.00 vs meta" in printed and "R$ 39.00  (103%)" in printed
 
 
+def test_staged_tables_go_with_the_job(spark, folder, tmp_path, monkeypatch):
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(staging, "scratch_folder", lambda spark: str(scratch))
+    for day in ("2024-02-07", "2024-03-01"):  # the second day fails validation
+        with contextlib.suppress(ValidationError):
+            job.main(["daily", "--source", folder, "--warehouse", str(tmp_path / day),
+                      "--run-date", day])
+        assert scratch.is_dir() and not list(scratch.iterdir())
+
+
+def test_facts_are_sent_where_asked(tmp_path):
+    (tmp_path / "pw").write_text("secret")
+    asked = ["daily", "--source", "s", "--warehouse", "w", "--run-date", "2024-01-01",
+             "--mart-jdbc", "jdbc:postgresql://h/db", "--mart-user", "u",
+             "--mart-password-file", str(tmp_path / "pw")]
+    parse = job._arguments().parse_args
+    assert job._fact_sink(parse(asked)) is None
+    sink = job._fact_sink(parse([*asked, "--fact-table", "dw.fato_venda"]))
+    assert sink.keywords == {
+        "table": "dw.fato_venda", "page": 5000, "schema": schemas.FATO_VENDA, "writers": 16,
+        "connection": sink.keywords["connection"]}
+
+
 def test_refresh(spark, folder, tmp_path, capsys):
     job.main([
         "refresh", "--source", folder, "--warehouse", str(tmp_path / "warehouse"),
         "--lake", str(tmp_path / "lake")])
     assert "vendas_ano_mes: 2 rows" in capsys.readouterr().out
-    assert (tmp_path / "lake" / "ano=2024").is_dir()
+    assert (tmp_path / "lake" / "base" / "ano=2024").is_dir()
 
 
 def test_mart_writer_is_only_built_for_a_mart_address(tmp_path):

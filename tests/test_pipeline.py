@@ -99,6 +99,16 @@ def test_day_corrected_to_empty(spark, edge_source, warehouse):
     assert len(everything(spark, warehouse)["fact"]) == 7
 
 
+def test_clearing_days_runs_no_job_per_day(spark, edge_source, warehouse):
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS, first=FIRST)
+    before = len(everything(spark, warehouse)["fact"])
+    spark.sparkContext.setJobGroup("clearing", "")
+    pipeline.clear_days_without_sales(spark, warehouse, FIRST, LAST, set())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("clearing")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert before == 9 and not everything(spark, warehouse)["fact"] and len(jobs) <= 4
+
+
 def test_one_locality(spark, edge_source, warehouse):
     report = pipeline.run_pipeline(
         edge_source, warehouse, LAST, RUN_TS, first=FIRST, one_locality=True)

@@ -74,7 +74,7 @@ def busy_day(source) -> date:
 
 
 def test_day_filter_reaches_the_scan(source, star, busy_day):
-    plan = plan_of(fact.fact_daily(source, star, busy_day))
+    plan = plan_of(fact._invoices(source, busy_day, busy_day))
     assert re.search(
         rf"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,{busy_day}.*"
         rf"LessThan\(o_orderdate,{busy_day + timedelta(days=1)}", plan)
@@ -87,6 +87,22 @@ def test_invoice_numbers_of_the_day_reach_the_scan_of_the_lines(source, star, bu
         plan)
 
 
+def test_lines_of_a_day_are_not_shuffled(source, star, busy_day):
+    plan = plan_of(fact.fact_daily(source, star, busy_day), "simple")
+    assert "lineitem" in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("build", [entry._monthly, entry._locality])
+def test_the_year_reaches_the_scans(source, build, monkeypatch):
+    """The headers of a year are written first, from a scan with its bounds."""
+    plans = []
+    monkeypatch.setattr(fact, "stage", lambda df, name: plans.append(plan_of(df)) or df)
+    build(source, 2000)
+    assert any(re.search(
+        r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,2000-01-01.*"
+        r"LessThan\(o_orderdate,2001-01-01", plan) for plan in plans)
+
+
 def test_a_day_without_invoices_does_not_read_the_lines(source, star):
     plan = plan_of(fact.fact_daily(source, star, date(2030, 1, 1)), "simple")
     assert "lineitem" not in plan
