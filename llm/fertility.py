@@ -31,15 +31,16 @@ MEASURES = ("piece_chars", "byte_chars", "fallback", "entropy")
 @dataclass(frozen=True)
 class Rules:
     """fewest words, and most percent of repeated words, of the base rules. reach: how
-    many times the distance from the median to the outer 5 % a band extends beyond it.
-    group_rows: documents a language needs for bands of its own. safe: (low, high) of each
-    measure within which nothing is rejected, whatever the corpus is like."""
+    many interquartile ranges a band extends from the median. group_rows: documents a
+    language needs for bands of its own. safe: (low, high) of each measure between which
+    nothing is rejected, whatever the corpus is like: many characters per token, few bytes
+    and many different tokens are never a fault."""
 
     fewest_words: int = 50
     repeated_percent: int = 50
-    reach: float = 3.0
+    reach: float = 6.0
     group_rows: int = 200
-    safe: tuple[tuple[float, float], ...] = ((1.2, 8.0), (1.2, 8.0), (0.0, 0.05), (0.3, 1.0))
+    safe: tuple[tuple[float, float], ...] = ((4.0, 8.0), (4.0, 8.0), (0.0, 0.05), (0.9, 1.0))
 
 
 def default_vocabularies() -> tuple[str, str]:
@@ -160,7 +161,7 @@ def bands(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(grp, and low_ and high_ of each measure) of groups with enough documents that pass
     the base rules, and of all documents under a null group."""
     sound = measured.where(~_failed(rules))
-    quantiles = [F.percentile_approx(m, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)), 2000).alias(m)
+    quantiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(m)
                  for m in MEASURES]
     groups = sound.where("grp is not null").groupBy("grp").agg(F.count("*").alias("n"), *quantiles) \
         .where(F.col("n") >= rules.group_rows).drop("n")
@@ -169,10 +170,9 @@ def bands(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
     columns = []
     for m, (low, high) in zip(MEASURES, rules.safe):
         q = [F.col(m)[k] for k in range(3)]
-        columns.append(F.coalesce(F.least(F.lit(low), q[1] - rules.reach * (q[1] - q[0])), F.lit(low))
-                       .alias(f"low_{m}"))
-        columns.append(F.coalesce(F.greatest(F.lit(high), q[1] + rules.reach * (q[2] - q[1])), F.lit(high))
-                       .alias(f"high_{m}"))
+        spread = rules.reach * (q[2] - q[0])
+        columns.append(F.coalesce(F.least(F.lit(low), q[1] - spread), F.lit(low)).alias(f"low_{m}"))
+        columns.append(F.coalesce(F.greatest(F.lit(high), q[1] + spread), F.lit(high)).alias(f"high_{m}"))
     return out.select("grp", *columns)
 
 
