@@ -53,7 +53,7 @@ class Settings:
     most_rows: int = 40_000
     least: int = 3
     features: int = 20_000
-    evidence: float = 2.0
+    evidence: float = 2.2
 
 
 # --- the character language model ------------------------------------------------
@@ -183,12 +183,13 @@ class Restorer:
 
 # --- evidence -------------------------------------------------------------------------
 
-def features(words: set[str]) -> set[str]:
-    """Words, and their first four to six letters with a mark."""
-    out = {w for w in words if len(w) > 2}
-    for n in (4, 5, 6):
-        out |= {w[:n] + "*" for w in words if len(w) > n}
-    return out
+def whole(words: set[str]) -> set[str]:
+    return {w for w in words if len(w) > 2}
+
+
+def beginnings(words: set[str]) -> set[str]:
+    """The first four to six letters of longer words, with a mark."""
+    return {w[:n] + "*" for n in (4, 5, 6) for w in words if len(w) > n}
 
 
 @dataclass
@@ -199,14 +200,17 @@ class Evidence:
     prior: float
 
 
-def _count_features(rows: DataFrame, model: CharModel, wanted: set[str] | None) -> DataFrame:
-    """(feature, toxic, c): documents with a feature; all of them, or the wanted."""
+def _count_features(rows: DataFrame, model: CharModel, known: set[str] | None,
+                    wanted: set[str] | None) -> DataFrame:
+    """(feature, toxic, c): documents with a feature; all of them, or the wanted. The
+    features are words, or, given the words ``known`` to tell, beginnings of the others."""
     def run(batches):
         read = Restorer(model)
         for batch in batches:
             counts = {0: Counter(), 1: Counter()}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = features(set(read(text)))
+                words = set(read(text))
+                found = whole(words) if known is None else beginnings(words - known)
                 counts[toxic].update(found if wanted is None else found & wanted)
             for toxic, own in counts.items():
                 yield pa.RecordBatch.from_arrays(
@@ -238,30 +242,37 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, settings: Settin
     size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     prior = math.log((n1 + 0.5) / (n0 + 0.5))
-    candidates = _count_features(sample.where("toxic = 1"), model, None) \
-        .where(F.col("c") >= settings.least).orderBy(F.desc("c"), "feature") \
-        .limit(settings.features).toPandas()
-    toxic = dict(zip(candidates["feature"], candidates["c"].astype(int)))
-    clean = _count_features(sample.where("toxic = 0"), model, set(toxic)).toPandas()
-    other = dict(zip(clean["feature"], clean["c"].astype(int)))
-    weights = {}
-    for feature, a in toxic.items():
-        b = other.get(feature, 0)
-        odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
-        odds -= 2 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))  # two standard errors less
-        if odds >= settings.evidence:
-            weights[feature] = odds
-    return Evidence(weights, prior)
+
+    def weights(known: set[str] | None) -> dict[str, float]:
+        candidates = _count_features(sample.where("toxic = 1"), model, known, None) \
+            .where(F.col("c") >= settings.least).orderBy(F.desc("c"), "feature") \
+            .limit(settings.features).toPandas()
+        toxic = dict(zip(candidates["feature"], candidates["c"].astype(int)))
+        clean = _count_features(sample.where("toxic = 0"), model, known, set(toxic)).toPandas()
+        other = dict(zip(clean["feature"], clean["c"].astype(int)))
+        out = {}
+        for feature, a in toxic.items():
+            b = other.get(feature, 0)
+            odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
+            odds -= 2 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))  # two standard errors less
+            if odds >= settings.evidence:
+                out[feature] = odds
+        return out
+
+    words = weights(None)
+    # A beginning is judged by the words that do not tell by themselves.
+    return Evidence(words | weights(set(words)), prior)
 
 
 def score(words: list[str], evidence: Evidence) -> float:
-    """Probability from the prior and the evidence of the three strongest words; of a
-    word and its beginnings only the strongest counts."""
+    """Probability from the prior and the evidence of the three strongest words: of a
+    word itself, or else of its strongest beginning."""
     weights, best = evidence.weights, []
     for w in set(words):
-        found = max(weights.get(w, 0.0), weights.get(w[:4] + "*", 0.0) if len(w) > 4 else 0.0,
-                    weights.get(w[:5] + "*", 0.0) if len(w) > 5 else 0.0,
-                    weights.get(w[:6] + "*", 0.0) if len(w) > 6 else 0.0)
+        found = weights.get(w) or max(
+            weights.get(w[:4] + "*", 0.0) if len(w) > 4 else 0.0,
+            weights.get(w[:5] + "*", 0.0) if len(w) > 5 else 0.0,
+            weights.get(w[:6] + "*", 0.0) if len(w) > 6 else 0.0)
         if found:
             best.append(found)
     z = evidence.prior + sum(sorted(best)[-3:])
