@@ -113,7 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(),
         .where("doc_id is not null and quality in (0, 1)").groupBy("doc_id") \
         .agg(F.max("quality").alias("quality"))
     share = min(1.0, settings.most_rows / max(marked.count(), 1))
-    marked = marked.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
+    # Documents are thinned by the same hash before the join: no other text is shuffled.
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20)
 
     def run(batches):
         for batch in common.slices(batches, 0):
@@ -122,22 +123,24 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(),
                 ["x", "quality"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")) \
-        .where("text is not null").join(marked, "doc_id").select("text", "quality") \
+        .where("text is not null").where(drawn).join(marked.where(drawn), "doc_id") \
+        .select("text", "quality") \
         .mapInArrow(run, "x array<double>, quality int").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["quality"] for r in rows], np.float64), settings.ridge)
 
 
 def document_scores(docs: DataFrame, model: Logistic, text_column: str = "text") -> DataFrame:
-    """(doc_id, host, path, own), one row per input row of (doc_id, host, path, text)."""
+    """(doc_id, source, own), one row per input row of (doc_id, source, text)."""
     def run(batches):
-        for batch in common.slices(batches, 3):
+        for batch in common.slices(batches, 2):
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(model(form(batch.column(3))))],
-                ["doc_id", "host", "path", "own"])
+                [*batch.columns[:2], pa.array(model(form(batch.column(2))))],
+                ["doc_id", "source", "own"])
 
-    return docs.select("doc_id", "host", "path", F.col(text_column).alias("text")) \
-        .mapInArrow(run, "doc_id long, host string, path string, own double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("source").cast("string").alias("source"), F.col(text_column).alias("text")) \
+        .mapInArrow(run, "doc_id long, source string, own double")
 
 
 def _strength(groups: DataFrame, mean: str, settings: Settings) -> float:
@@ -187,20 +190,20 @@ def site_posteriors(scored: DataFrame, settings: Settings = Settings()) -> DataF
         .drop("n", "s", "host_n", "host_s")
 
 
-def with_sites(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc_id, text, host, path): host and first path segments of the page with the
+def with_sites(scored: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc_id, host, path, own) of (doc_id, source, own): host and first path segments of the page with the
     document's id; a document without a page has its source as host and no path. Of
     several pages with one id the smallest url counts."""
     url = pages.where("page_id is not null").groupBy(F.col("page_id").cast("long").alias("doc_id")) \
         .agg(F.min("url").alias("url"))
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source").join(url, "doc_id", "left")
+    joined = scored.join(url, "doc_id", "left")
     host = F.lower(F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1))
     path = F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]*)", 1)
     return joined.select(
-        "doc_id", "text",
+        "doc_id",
         F.when(F.length(host) > 0, host)
         .otherwise(F.concat(F.lit("source:"), F.coalesce("source", F.lit("")))).alias("host"),
-        F.coalesce(path, F.lit("")).alias("path"))
+        F.coalesce(path, F.lit("")).alias("path"), "own")
 
 
 def classify(docs: DataFrame, pages: DataFrame, labels: DataFrame,
@@ -211,5 +214,5 @@ def classify(docs: DataFrame, pages: DataFrame, labels: DataFrame,
     Other columns are not read; without labels every document has an even chance.
     """
     model = train(docs, labels, settings)
-    scored = stage(document_scores(with_sites(docs, pages), model), "quality_scores")
-    return site_posteriors(scored, settings)
+    scored = stage(document_scores(docs, model), "quality_scores")
+    return site_posteriors(stage(with_sites(scored, pages), "quality_sites"), settings)
