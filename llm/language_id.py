@@ -42,6 +42,8 @@ SCRIPTS = {
     "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
 }
 UNDETERMINED = "und"
+#: Characters labelled at once: about 150 bytes of arrays each.
+CHUNK_CHARS = 300_000
 
 
 @dataclass(frozen=True)
@@ -143,10 +145,10 @@ def train(labelled: DataFrame, settings: Settings = Settings(),
     n_scripts = len(SCRIPTS) + 2
 
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches, 0):
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             counts: dict[str, np.ndarray] = {}
-            for first, last in chunks(texts):
+            for first, last in chunks(texts, CHUNK_CHARS):
                 words = words_of(texts[first:last], settings.buckets)
                 n_words = np.diff(words.cut)
                 own = np.repeat(np.arange(last - first), n_words)
@@ -283,9 +285,9 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id",
     kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, last in chunks(texts):
+            for first, last in chunks(texts, CHUNK_CHARS):
                 found = label(texts[first:last], model)
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(

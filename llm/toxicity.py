@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from llm import common
 from llm.bpe_codec import chunks
-from llm.language_id import words_of
+from llm.language_id import CHUNK_CHARS, words_of
 from salesmart.operators.staging import stage
 
 #: Letters that a character stands for.
@@ -91,9 +91,9 @@ def char_model(docs: DataFrame, settings: Settings = Settings(), text_column: st
 
     def run(batches):
         three, two = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for batch in batches:
+        for batch in common.slices(batches, 0):
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            for first, last in chunks(texts):
+            for first, last in chunks(texts, CHUNK_CHARS):
                 words = words_of(texts[first:last], n, keys=True)
                 three += np.bincount((common.mix(words.grams) % np.uint64(n)).astype(np.int64), minlength=n)
                 context = (words.grams >> np.uint64(21)) ^ (np.uint64(1) << np.uint64(42)) ^ np.uint64(1 << 63)
@@ -290,7 +290,7 @@ def score_documents(docs: DataFrame, model: CharModel, evidence: Evidence,
     """
     def run(batches):
         read = Restorer(model)
-        for batch in batches:
+        for batch in common.slices(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in chunks(texts):
                 scores, restored = [], []
