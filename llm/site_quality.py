@@ -113,7 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(),
         .where("doc_id is not null and quality in (0, 1)").groupBy("doc_id") \
         .agg(F.max("quality").alias("quality"))
     share = min(1.0, settings.most_rows / max(marked.count(), 1))
-    # Documents are thinned by the same hash before the join: no other text is shuffled.
+    # The drawn labels are about ``most_rows`` rows however many there are, 12 bytes each,
+    # so they can be sent to every task and no text is shuffled to meet them.
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20)
 
     def run(batches):
@@ -123,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(),
                 ["x", "quality"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")) \
-        .where("text is not null").where(drawn).join(marked.where(drawn), "doc_id") \
+        .where("text is not null").where(drawn).join(F.broadcast(marked.where(drawn)), "doc_id") \
         .select("text", "quality") \
         .mapInArrow(run, "x array<double>, quality int").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(-1, len(FEATURES))

@@ -50,7 +50,7 @@ class Settings:
     features: bound of the features kept. evidence: least pessimistic log-odds."""
 
     buckets: int = 1 << 16
-    most_rows: int = 40_000
+    most_rows: int = 20_000
     least: int = 3
     features: int = 20_000
     evidence: float = 2.2
@@ -233,11 +233,12 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, settings: Settin
         .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = marked.count()
     share = min(1.0, settings.most_rows / max(rows, 1))
-    # Documents are thinned by the same hash before the join: no other text is shuffled.
+    # The drawn labels are about ``most_rows`` rows however many there are, 12 bytes each,
+    # so they can be sent to every task and no text is shuffled to meet them.
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)
     sample = stage(
         docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-        .where("text is not null").where(drawn).join(marked.where(drawn), "doc_id")
+        .where("text is not null").where(drawn).join(F.broadcast(marked.where(drawn)), "doc_id")
         .groupBy(F.sha2("text", 256).alias("digest"))
         .agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")), "toxicity_labelled")
     size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
