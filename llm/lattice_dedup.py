@@ -133,44 +133,57 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, cell: int) -> np.ndarray:
 
 
 def _compare(lattice: Lattice):
-    """(node, n, root): linked vectors that this task counts, and the smallest node of
-    the vectors that links of this cell connect."""
+    """(node, n, root) of the cells of a bucket: linked vectors that a cell counts, and the
+    smallest node of the vectors that its links connect."""
     def run(group: pa.Table) -> pa.Table:
-        ids, weight = group.column("node").to_numpy(), group.column("m").to_numpy()
-        cell, block = int(group.column("cell")[0].as_py()), group.column("block").to_numpy()
-        unit = _unit(group.column("embedding").combine_chunks())
-        counts, root = np.zeros(len(ids), np.int64), ids.copy()
-        codes = None
-        left, right = [], []
-        for first in range(0, len(ids), 512):
-            i, j = np.nonzero(unit[first : first + 512] @ unit.T >= lattice.threshold)
-            i = i + first
-            keep = i < j
-            if block.min() != block.max():
-                keep &= block[i] != block[j]
-            left.append(i[keep])
-            right.append(j[keep])
-        left, right = np.concatenate(left), np.concatenate(right)
-        if len(left):
-            involved = np.unique(np.r_[left, right])
-            codes = np.zeros((len(ids), lattice.tables, 1 + lattice.probes), np.int64)
-            codes[involved] = cells(unit[involved], lattice)
-            for at in range(0, len(left), 20_000):
-                i, j = left[at : at + 20_000], right[at : at + 20_000]
-                own = _first_meeting(codes[i], codes[j], cell)
-                counts += np.bincount(i[own], weight[j[own]], len(ids)).astype(np.int64)
-                counts += np.bincount(j[own], weight[i[own]], len(ids)).astype(np.int64)
-            while True:
-                before = root.copy()
-                np.minimum.at(root, left, root[right])
-                np.minimum.at(root, right, root[left])
-                if (before == root).all():
-                    break
-        linked = np.unique(np.r_[left, right]).astype(np.int64)
-        return pa.table({"node": ids[linked], "n": counts[linked], "root": root[linked]})
+        names = ("task", "cell", "node", "m", "block")
+        task, cell, ids, weight, block = (group.column(c).to_numpy() for c in names)
+        vectors = group.column("embedding").combine_chunks()
+        found = [np.zeros((0, 3), np.int64)]
+        order = np.argsort(task, kind="stable")
+        cuts = np.flatnonzero(np.diff(task[order])) + 1
+        for rows in np.split(order, cuts):
+            if len(rows) > 1:
+                unit = _unit(vectors.take(pa.array(rows)))
+                found.append(_cell(unit, ids[rows], weight[rows], block[rows],
+                                   int(cell[rows[0]]), lattice))
+        node, n, root = np.concatenate(found).T
+        return pa.table({"node": node, "n": n, "root": root})
     return run
 
 
+def _cell(unit, ids, weight, block, cell: int, lattice: Lattice) -> np.ndarray:
+    """Rows (node, n, root) of the linked vectors of one cell, or of a pair of its blocks."""
+    counts, root = np.zeros(len(ids), np.int64), ids.copy()
+    left, right = [], []
+    for first in range(0, len(ids), 512):
+        i, j = np.nonzero(unit[first : first + 512] @ unit.T >= lattice.threshold)
+        i = i + first
+        keep = i < j
+        if block.min() != block.max():
+            keep &= block[i] != block[j]
+        left.append(i[keep])
+        right.append(j[keep])
+    left, right = np.concatenate(left), np.concatenate(right)
+    if not len(left):
+        return np.zeros((0, 3), np.int64)
+    linked = np.unique(np.r_[left, right])
+    codes = np.zeros((len(ids), lattice.tables, 1 + lattice.probes), np.int64)
+    codes[linked] = cells(unit[linked], lattice)
+    for at in range(0, len(left), 20_000):
+        i, j = left[at : at + 20_000], right[at : at + 20_000]
+        own = _first_meeting(codes[i], codes[j], cell)
+        counts += np.bincount(i[own], weight[j[own]], len(ids)).astype(np.int64)
+        counts += np.bincount(j[own], weight[i[own]], len(ids)).astype(np.int64)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, left, root[right])
+        np.minimum.at(root, right, root[left])
+        if (before == root).all():
+            break
+    return np.stack([ids[linked], counts[linked], root[linked]], axis=1)
+
+
 def near_duplicates(
     vectors: DataFrame, lattice: Lattice = Lattice(), id_column: str = "vec_id",
     vector_column: str = "embedding", label_column: str = "label",
@@ -207,10 +220,14 @@ def near_duplicates(
     dealt = dealt.withColumn("block", own).withColumn("other", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    # Many small cells share a task: about 20,000 rows each.
+    buckets = max(64, distinct.count() * lattice.tables * (1 + lattice.probes) // 20_000)
     found = stage(
         dealt.join(distinct.select("node", "embedding", "m"), "node")
-        .select("node", "m", "embedding", "cell", "block", "label", "size", "low", "high")
-        .groupBy("label", "size", "cell", "low", "high")
+        .select("node", "m", "embedding", "cell", "block",
+                F.xxhash64("label", "size", "cell", "low", "high").alias("task"))
+        .withColumn("bucket", F.pmod("task", F.lit(buckets)))
+        .groupBy("bucket")
         .applyInArrow(_compare(lattice), "node long, n long, root long"), "lattice_links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     reach = common.smallest_reachable(
