@@ -3,7 +3,7 @@
 Public vocabularies measure every text: characters per token, the share of tokens that
 fall back to bytes, and the entropy of its tokens. Text unlike its language breaks into
 short tokens, bytes, or the same few tokens over and over. Each language has rejection
-bands from the quantiles of its own documents; small groups use the bands of all.
+bands from the tails of its own documents; small groups use the bands of all.
 """
 
 from __future__ import annotations
@@ -31,15 +31,19 @@ MEASURES = ("piece_chars", "byte_chars", "fallback", "entropy")
 @dataclass(frozen=True)
 class Rules:
     """fewest words, and most percent of repeated words, of the base rules. reach: how
-    many interquartile ranges a band extends from the median. group_rows: documents a
-    language needs for bands of its own. safe: (low, high) of each measure between which
-    nothing is rejected, whatever the corpus is like: many characters per token, few bytes
-    and many different tokens are never a fault."""
+    many times the distance of the near quartile a band extends from the median; each
+    side has its own. group_rows: documents a language needs for bands of its own. least:
+    the smallest spread, as a share of the median (of one for fallback and entropy).
+    prior_rows: documents that the slope of entropy needs. safe: (low, high) of each
+    measure between which nothing is rejected: many characters per token, few bytes and
+    many different tokens are no fault."""
 
     fewest_words: int = 50
     repeated_percent: int = 50
-    reach: float = 6.0
+    reach: float = 5.0
     group_rows: int = 200
+    prior_rows: int = 20
+    least: float = 0.005
     safe: tuple[tuple[float, float], ...] = ((4.0, 8.0), (4.0, 8.0), (0.0, 0.05), (0.9, 1.0))
 
 
@@ -157,23 +161,37 @@ def measure(docs: DataFrame, paths: tuple[str, str] | None = None, id_column: st
         F.col(text_column).alias("text")).mapInArrow(run, _ROW)
 
 
-def bands(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def level(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """With ``level``, the entropy as if every text had one length.
+
+    Entropy as a share falls with the logarithm of the tokens, so long sound texts would
+    hide the low entropy of shorter junk. The slope is that of all sound documents.
+    """
+    tokens = F.log(F.col("n_piece_tokens").cast("double"))
+    fit = measured.where(~_failed(rules)).agg(
+        F.count("*").alias("n"), F.covar_pop("entropy", tokens).alias("xy"),
+        F.var_pop(tokens).alias("xx")).first()
+    slope = fit["n"] * (fit["xy"] or 0.0) / (fit["n"] * (fit["xx"] or 0.0) + rules.prior_rows)
+    return measured.withColumn("level", F.col("entropy") - slope * tokens)
+
+
+def bands(levelled: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(grp, and low_ and high_ of each measure) of groups with enough documents that pass
-    the base rules, and of all documents under a null group."""
-    sound = measured.where(~_failed(rules))
+    the base rules, and of all documents under a null group. Those of entropy are for
+    ``level``."""
+    sound = levelled.where(~_failed(rules)).withColumn("entropy", F.col("level"))
     quantiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(m)
                  for m in MEASURES]
     groups = sound.where("grp is not null").groupBy("grp").agg(F.count("*").alias("n"), *quantiles) \
         .where(F.col("n") >= rules.group_rows).drop("n")
     every = sound.agg(*quantiles).select(F.lit(None).cast("string").alias("grp"), *MEASURES)
-    out = groups.union(every)
     columns = []
-    for m, (low, high) in zip(MEASURES, rules.safe):
+    for m in MEASURES:
         q = [F.col(m)[k] for k in range(3)]
-        spread = rules.reach * (q[2] - q[0])
-        columns.append(F.coalesce(F.least(F.lit(low), q[1] - spread), F.lit(low)).alias(f"low_{m}"))
-        columns.append(F.coalesce(F.greatest(F.lit(high), q[1] + spread), F.lit(high)).alias(f"high_{m}"))
-    return out.select("grp", *columns)
+        least = rules.least * (q[1] if m.endswith("chars") else F.lit(1.0))
+        columns.append((q[1] - rules.reach * F.greatest(q[1] - q[0], least)).alias(f"low_{m}"))
+        columns.append((q[1] + rules.reach * F.greatest(q[2] - q[1], least)).alias(f"high_{m}"))
+    return groups.union(every).select("grp", *columns)
 
 
 def _failed(rules: Rules):
@@ -190,16 +208,18 @@ def judge(docs: DataFrame, rules: Rules = Rules(), paths: tuple[str, str] | None
     measures outside their bands. Repeated rows and null ids are kept; other columns are
     not read; texts and words of any length are measured whole.
     """
-    measured = stage(measure(docs, paths, id_column, text_column, group_column), "fertility")
-    limits = stage(bands(measured, rules), "fertility_bands")
-    own = limits.where("grp is not null")
+    levelled = level(stage(measure(docs, paths, id_column, text_column, group_column), "fertility"), rules)
+    limits = stage(bands(levelled, rules), "fertility_bands")
+    edges = [f"{side}_{m}" for m in MEASURES for side in ("low", "high")]
     every = limits.where("grp is null").first()
-    joined = measured.join(own, "grp", "left")
+    joined = levelled.join(limits.where("grp is not null"), "grp", "left")
     outside = []
-    for m in MEASURES:
-        low, high = (F.coalesce(f"{side}_{m}", F.lit(float(every[f"{side}_{m}"]))) for side in ("low", "high"))
-        outside.append(F.when((F.col(m) < low) | (F.col(m) > high), F.lit(m)))
+    for m, (safe_low, safe_high) in zip(MEASURES, rules.safe):
+        low, high = (F.coalesce(f"{side}_{m}", F.lit(every[f"{side}_{m}"])) for side in ("low", "high"))
+        value = F.col("level" if m == "entropy" else m)
+        wrong = ((value < low) & (F.col(m) < safe_low)) | ((value > high) & (F.col(m) > safe_high))
+        outside.append(F.when(wrong, F.lit(m)))
     return joined.withColumn("base_failed", _failed(rules)) \
         .withColumn("rejected_by", F.array_compact(F.array(*outside))) \
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)) \
-        .drop(*(f"{side}_{m}" for m in MEASURES for side in ("low", "high")))
+        .drop("level", *edges)

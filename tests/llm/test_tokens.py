@@ -134,3 +134,35 @@ def test_no_rows(spark):
 @pytest.mark.parametrize("text, rest", [("", 1.0), ("a", 1.0)])
 def test_entropy_of_nothing(text, rest):
     assert fertility._entropy(np.zeros(len(text), np.int64)) == rest
+
+
+SYLLABLES = {
+    "en": "the and ing tion er re on an ha at nd th ou ea is or ti en es of".split(),
+    "fr": "les que ment des ion eau ou é è re an tre le ai oi en eux pa de ur".split(),
+    "he": ["של", "את", "הוא", "לא", "על", "ים", "בית", "שלום", "ספר", "ארץ", "מלך", "יום"],
+    "th": ["การ", "ความ", "ที่", "ไม่", "และ", "เป็น", "คน", "บ้าน", "น้ำ", "ใจ", "ดี", "มา"],
+    "am": ["ሰላም", "ነው", "ቤት", "ልጅ", "ውሃ", "አገር", "ቀን", "ሰው", "መጽሐፍ", "ንጉሥ", "ምድር", "ፀሐይ"],
+}
+
+
+def prose(draw, lang, n):
+    return ["".join(draw.choices(SYLLABLES[lang], k=draw.choice((1, 1, 2, 2, 3)))) for _ in range(n)]
+
+
+def junk(draw, lang, n):
+    return [w + draw.choice(("&&&", "%%%", "$$$", "***", "###")) for w in prose(draw, lang, n)]
+
+
+def judged(spark, rows):
+    docs = frame(spark, [(i, " ".join(words), lang, "s", 1) for i, (words, lang) in rows.items()])
+    return {r["doc_id"]: r for r in fertility.judge(docs).collect()}
+
+
+def test_bands_reject_symbols_between_words_of_any_length(spark):
+    draw = random.Random(5)
+    rows = {i: (prose(draw, "en", draw.randrange(60, 900)), "en") for i in range(240)}
+    rows |= {1000 + i: (junk(draw, "en", draw.randrange(60, 900)), "en") for i in range(12)}
+    got = judged(spark, rows)
+    assert sum(not got[1000 + i]["kept"] for i in range(12)) >= 11
+    assert any("entropy" in got[1000 + i]["rejected_by"] for i in range(12))
+    assert sum(got[i]["kept"] for i in range(240)) >= 230
