@@ -3,12 +3,14 @@
 Public vocabularies measure every text: characters per token, the share of tokens that
 fall back to bytes, and the entropy of its tokens. Text unlike its language breaks into
 short tokens, bytes, or the same few tokens over and over. Each language has rejection
-bands from the tails of its own documents; small groups use the bands of all.
+bands from the tails of its own documents, drawn smoothly toward those of its script the
+fewer they are; documents without a language have the bands of their script.
 """
 
 from __future__ import annotations
 
 import base64
+import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from llm import common
 from llm.bpe_codec import chunks
+from llm.language_id import CHUNK_CHARS, char_tables
 from salesmart.operators.staging import stage
 
 #: Words whose tokens a worker keeps, and the longest word that is kept.
@@ -32,17 +35,18 @@ MEASURES = ("piece_chars", "byte_chars", "fallback", "entropy")
 class Rules:
     """fewest words, and most percent of repeated words, of the base rules. reach: how
     many times the distance of the near quartile a band extends from the median; each
-    side has its own. group_rows: documents a language needs for bands of its own. least:
-    the smallest spread, as a share of the median (of one for fallback and entropy).
-    prior_rows: documents that the slope of entropy needs. safe: (low, high) of each
-    measure between which nothing is rejected: many characters per token, few bytes and
-    many different tokens are no fault."""
+    side has its own. prior_rows: weight, in documents, of the script in the bands of a
+    language, and of ``wide`` in those of a script. wide, least: spread of a script of
+    which nothing is known, and the smallest spread, as a share of the median (of one for
+    fallback and entropy). safe: (low, high) of each measure between which nothing is
+    rejected: many characters per token, few bytes and many different tokens are no fault.
+    """
 
     fewest_words: int = 50
     repeated_percent: int = 50
     reach: float = 5.0
-    group_rows: int = 200
     prior_rows: int = 20
+    wide: float = 0.1
     least: float = 0.005
     safe: tuple[tuple[float, float], ...] = ((4.0, 8.0), (4.0, 8.0), (0.0, 0.05), (0.9, 1.0))
 
@@ -111,9 +115,33 @@ def _entropy(ids: np.ndarray) -> float:
     return float(-(counts * np.log(counts)).sum() / np.log(len(ids)))
 
 
+@lru_cache(maxsize=1)
+def _scripts() -> np.ndarray:
+    """Of each code point: script of a letter (0 for no letter). Scripts that the table of
+    languages does not list have the first word of their characters' names."""
+    out = char_tables()[0].astype(np.uint16)
+    numbers: dict[str, int] = {}
+    first = int(out.max()) + 1
+    for c in np.flatnonzero(out == 1):
+        word = unicodedata.name(chr(c), "OTHER").split()[0]
+        out[c] = first + numbers.setdefault(word, len(numbers))
+    return out
+
+
+def _script(text: str) -> int:
+    """The script of most letters; 0 without letters."""
+    scripts = _scripts()
+    counts = np.zeros(int(scripts.max()) + 1, np.int64)
+    for first in range(0, len(text), CHUNK_CHARS):
+        points = np.frombuffer(text[first : first + CHUNK_CHARS].encode("utf-32-le"), np.uint32)
+        counts += np.bincount(scripts[points], minlength=len(counts))
+    counts[0] = 0
+    return int(counts.argmax())
+
+
 _ROW = ("doc_id long, grp string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
         "n_repeat_words long, n_piece_tokens long, n_byte_tokens long, piece_chars double, "
-        "byte_chars double, fallback double, entropy double")
+        "byte_chars double, fallback double, entropy double, script long")
 
 
 def _measure(own: Vocabularies, texts: list[str]) -> list[list]:
@@ -133,7 +161,8 @@ def _measure(own: Vocabularies, texts: list[str]) -> list[list]:
             len(found), chars, sum(map(text.count, SYMBOLS)), _duplicate_lines(text),
             _repeated(hashes[cut[i] : cut[i + 1]]), len(ids), n_bytes,
             chars / len(ids) if len(ids) else None, chars / n_bytes if n_bytes else None,
-            float(own.is_byte[ids].mean()) if len(ids) else None, _entropy(ids) if len(ids) else None])
+            float(own.is_byte[ids].mean()) if len(ids) else None, _entropy(ids) if len(ids) else None,
+            _script(text)])
     for word in [w for w in table if len(w) > KEPT_LENGTH]:
         del table[word]
     return out
@@ -152,10 +181,10 @@ def measure(docs: DataFrame, paths: tuple[str, str] | None = None, id_column: st
                 columns = list(zip(*_measure(own, texts[first:last])))
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(first, last - first) for c in batch.columns[:2]]
-                    + [pa.array(c, pa.int64() if k < 7 else pa.float64())
-                       for k, c in enumerate(columns)], names)
+                    + [pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
 
     names = [part.split()[0] for part in _ROW.split(", ")]
+    kinds = [pa.int64() if part.endswith(" long") else pa.float64() for part in _ROW.split(", ")[2:]]
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(group_column).cast("string").alias("grp"),
         F.col(text_column).alias("text")).mapInArrow(run, _ROW)
@@ -165,33 +194,65 @@ def level(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """With ``level``, the entropy as if every text had one length.
 
     Entropy as a share falls with the logarithm of the tokens, so long sound texts would
-    hide the low entropy of shorter junk. The slope is that of all sound documents.
+    hide the low entropy of shorter junk. The slope is that of the sound documents of the
+    script, drawn toward that within all scripts the fewer they are; to the driver come
+    three numbers per script.
     """
     tokens = F.log(F.col("n_piece_tokens").cast("double"))
-    fit = measured.where(~_failed(rules)).agg(
+    fits = measured.where(~_failed(rules)).groupBy("script").agg(
         F.count("*").alias("n"), F.covar_pop("entropy", tokens).alias("xy"),
-        F.var_pop(tokens).alias("xx")).first()
-    slope = fit["n"] * (fit["xy"] or 0.0) / (fit["n"] * (fit["xx"] or 0.0) + rules.prior_rows)
+        F.var_pop(tokens).alias("xx")).collect()
+    every = sum(r["n"] * (r["xy"] or 0.0) for r in fits) \
+        / (sum(r["n"] * (r["xx"] or 0.0) for r in fits) + rules.prior_rows)
+    slope = F.lit(every)
+    for r in fits:
+        own = (r["n"] * (r["xy"] or 0.0) + rules.prior_rows * every) \
+            / (r["n"] * (r["xx"] or 0.0) + rules.prior_rows)
+        slope = F.when(F.col("script") == r["script"], F.lit(own)).otherwise(slope)
     return measured.withColumn("level", F.col("entropy") - slope * tokens)
 
 
 def bands(levelled: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """(grp, and low_ and high_ of each measure) of groups with enough documents that pass
-    the base rules, and of all documents under a null group. Those of entropy are for
-    ``level``."""
+    """(grp, script, and low_ and high_ of each measure): of every script with documents
+    that pass the base rules under a null group, and of every group with such documents,
+    beside the script of most of them. Those of entropy are for ``level``."""
     sound = levelled.where(~_failed(rules)).withColumn("entropy", F.col("level"))
     quantiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(m)
                  for m in MEASURES]
-    groups = sound.where("grp is not null").groupBy("grp").agg(F.count("*").alias("n"), *quantiles) \
-        .where(F.col("n") >= rules.group_rows).drop("n")
-    every = sound.agg(*quantiles).select(F.lit(None).cast("string").alias("grp"), *MEASURES)
-    columns = []
-    for m in MEASURES:
-        q = [F.col(m)[k] for k in range(3)]
-        least = rules.least * (q[1] if m.endswith("chars") else F.lit(1.0))
-        columns.append((q[1] - rules.reach * F.greatest(q[1] - q[0], least)).alias(f"low_{m}"))
-        columns.append((q[1] + rules.reach * F.greatest(q[2] - q[1], least)).alias(f"high_{m}"))
-    return groups.union(every).select("grp", *columns)
+    scripts = sound.groupBy("script").agg(F.count("*").alias("n"), *quantiles)
+    groups = sound.where("grp is not null").groupBy("grp").agg(
+        F.mode("script", True).alias("script"), F.count("*").alias("n"), *quantiles)
+
+    def toward(own, other):
+        return (F.col("n") * own + rules.prior_rows * other) / (F.col("n") + rules.prior_rows)
+
+    def scale(m):
+        return F.col(m)[1] if m.endswith("chars") else F.lit(1.0)
+
+    def tails(m):
+        return F.col(m)[1] - F.col(m)[0], F.col(m)[2] - F.col(m)[1]
+
+    def edges(m, mid, down, up):
+        # A band holds the median of its own documents, however few there are.
+        least, q = rules.least * scale(m), F.col(m)[1]
+        return [(F.least(mid, q) - rules.reach * F.greatest(down, least)).alias(f"low_{m}"),
+                (F.greatest(mid, q) + rules.reach * F.greatest(up, least)).alias(f"high_{m}")]
+
+    # Languages are drawn toward the mean tails of the languages of their script.
+    within = groups.groupBy("script").agg(F.sum("n").alias("n"), *(
+        (F.sum(F.col("n") * tail) / F.sum("n")).alias(f"{side}_{m}")
+        for m in MEASURES for side, tail in zip(("down", "up"), tails(m))))
+    known = within.join(scripts.drop("n"), "script").select("script", *(
+        c for m in MEASURES for c in (
+            F.col(m)[1].alias(f"mid_{m}"), toward(F.col(f"down_{m}"), rules.wide * scale(m)).alias(f"down_{m}"),
+            toward(F.col(f"up_{m}"), rules.wide * scale(m)).alias(f"up_{m}"))))
+    languages = groups.join(known, "script").select("grp", "script", *(
+        c for m in MEASURES for c in edges(m, toward(F.col(m)[1], F.col(f"mid_{m}")), *(
+            toward(tail, F.col(f"{side}_{m}")) for side, tail in zip(("down", "up"), tails(m))))))
+    alone = scripts.select(F.lit(None).cast("string").alias("grp"), "script", *(
+        c for m in MEASURES for c in edges(m, F.col(m)[1], *(
+            toward(tail, rules.wide * scale(m)) for tail in tails(m)))))
+    return alone.union(languages)
 
 
 def _failed(rules: Rules):
@@ -203,23 +264,25 @@ def judge(docs: DataFrame, rules: Rules = Rules(), paths: tuple[str, str] | None
           id_column: str = "doc_id", text_column: str = "text", group_column: str = "lang") -> DataFrame:
     """Counts, measures, base_failed, rejected_by and kept, a row per input row.
 
-    A null or empty text has no words and fails the base rules. A null group, or one of
-    few documents, is judged by the bands of all documents. ``rejected_by`` names the
-    measures outside their bands. Repeated rows and null ids are kept; other columns are
-    not read; texts and words of any length are measured whole.
+    A null or empty text has no words and fails the base rules. A null group, or one
+    without a document that passes these, is judged by the bands of the text's script.
+    ``rejected_by`` names the measures outside their bands. Repeated rows and null ids are
+    kept; other columns are not read; texts and words of any length are measured whole.
     """
-    levelled = level(stage(measure(docs, paths, id_column, text_column, group_column), "fertility"), rules)
+    measured = stage(measure(docs, paths, id_column, text_column, group_column), "fertility")
+    levelled = level(measured, rules)
     limits = stage(bands(levelled, rules), "fertility_bands")
     edges = [f"{side}_{m}" for m in MEASURES for side in ("low", "high")]
-    every = limits.where("grp is null").first()
-    joined = levelled.join(limits.where("grp is not null"), "grp", "left")
+    own = limits.where("grp is not null").drop("script")
+    script = limits.where("grp is null").select("script", *(F.col(e).alias(f"script_{e}") for e in edges))
+    joined = levelled.join(own, "grp", "left").join(script, "script", "left")
     outside = []
     for m, (safe_low, safe_high) in zip(MEASURES, rules.safe):
-        low, high = (F.coalesce(f"{side}_{m}", F.lit(every[f"{side}_{m}"])) for side in ("low", "high"))
+        low, high = (F.coalesce(f"{side}_{m}", f"script_{side}_{m}") for side in ("low", "high"))
         value = F.col("level" if m == "entropy" else m)
         wrong = ((value < low) & (F.col(m) < safe_low)) | ((value > high) & (F.col(m) > safe_high))
         outside.append(F.when(wrong, F.lit(m)))
     return joined.withColumn("base_failed", _failed(rules)) \
         .withColumn("rejected_by", F.array_compact(F.array(*outside))) \
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)) \
-        .drop("level", *edges)
+        .drop("script", "level", *edges, *(f"script_{e}" for e in edges))

@@ -166,3 +166,24 @@ def test_bands_reject_symbols_between_words_of_any_length(spark):
     assert sum(not got[1000 + i]["kept"] for i in range(12)) >= 11
     assert any("entropy" in got[1000 + i]["rejected_by"] for i in range(12))
     assert sum(got[i]["kept"] for i in range(240)) >= 230
+
+
+@pytest.mark.parametrize("size", [60, 199, 201])
+def test_a_small_language_has_its_own_bands(spark, size):
+    draw = random.Random(6)
+    rows = {i: (prose(draw, "en", 150), "en") for i in range(300)}
+    rows |= {1000 + i: (prose(draw, "fr", 150), "fr") for i in range(size - 4)}
+    rows |= {2000 + i: (junk(draw, "fr", 150), "fr") for i in range(4)}
+    got = judged(spark, rows)
+    assert not any(got[2000 + i]["kept"] for i in range(4))
+    assert sum(got[1000 + i]["kept"] for i in range(size - 4)) >= 0.95 * (size - 4)
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_few_documents_of_other_scripts_are_kept(spark, named):
+    draw = random.Random(7)
+    rows = {i: (prose(draw, "en", 150), "en") for i in range(300)}
+    rows |= {1000 + 10 * k + i: (prose(draw, lang, 120), lang if named else None)
+             for k, lang in enumerate(("he", "th", "am")) for i in range(1 + 2 * k)}
+    got = judged(spark, rows)
+    assert all(got[i]["kept"] for i in got if i >= 1000)
