@@ -2,7 +2,8 @@
 
 Writers hide words by look-alike characters, spacing and repetition. A suspicious word is
 a lattice: each character may stand for itself, for a letter it resembles, for nothing
-(a separator or a repeat). A character trigram model of the corpus and the costs of the
+(a separator or a repeat). White space between short tokens is a separator or the end of
+a word, so runs of them are split into words by the same lattice. A character trigram model of the corpus and the costs of the
 channel weigh the paths; Viterbi finds the best. The restored text is scored by evidence
 of words and word beginnings learned from labelled documents.
 """
@@ -34,13 +35,21 @@ LOOKALIKES = {
 SEPARATORS = ".-_*~'`^,/"
 #: Costs of the channel in nats.
 REPLACE, HIDE, SEPARATE, REPEAT, DOUBLE, KEEP = 0.6, 2.5, 0.4, 0.2, 2.5, 4.0
+#: White space inside a word next to a token of two or three characters; and the cost of
+#: a trigram from which such a token does not look like a word.
+BROKEN, STRANGE = 2.5, 5.0
 #: Words whose restored form a worker keeps, and the longest word that is a lattice.
 KEPT_WORDS, LATTICE_LENGTH = 400_000, 48
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-_ODD = re.compile(r"[^\W\d_][^\w\s]+[^\W\d_]|[^\W\d_][\d@$!|+(*#€£]+[^\W\d_]|[\d@$!|+(][^\W\d_]{2}"
-                  r"|[^\W\d_]{2}[\d@$!|+]$|(.)\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]){3,}[^\W_](?!\S)")
+_ODD = re.compile(r"[^\W\d_](?:[^\w\s]|_)+[^\W\d_]|[^\W\d_][\d@$!|+(*#€£]+[^\W\d_]|[\d@$!|+(][^\W\d_]{2}"
+                  r"|[^\W\d_]{2}[\d@$!|+]$|(.)\1\1|([^\W\d_])\2")
+_OUTER = ".,;:?\"'()[]{}<>"
+#: Longest token of a run whose white space may be a separator.
+SHORT = 3
+_START = "\x01\x01"
+_RUN = re.compile("[1-4]{2,}")
+_PAIR, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 
 
 @dataclass(frozen=True)
@@ -132,20 +141,96 @@ def restore(word: str, model: CharModel) -> str:
     if len(word) > LATTICE_LENGTH:
         # Beyond any word of a language: only repeats are folded, in linear time.
         return re.sub(r"(.)\1{2,}", r"\1", word)
-    best: dict[str, tuple[float, str]] = {"\x01\x01": (0.0, "")}
-    for i in range(len(word)):
-        choices, after = _choices(word, i), {}
-        for state, (cost, text) in best.items():
+    if word.isalpha() and not _TRIPLE.search(word):
+        return _single(word, model)
+    return _viterbi((_choices(word, i) for i in range(len(word))), model)
+
+
+def _single(word: str, model: CharModel) -> str:
+    """The best path of letters of which none stands three times: only the second of two
+    equal ones may be nothing, and each such choice weighs two trigrams against one."""
+    full, done, out = f"\x01{word}\x01", 0, []
+    for pair in _PAIR.finditer(word):
+        x, b, c = full[pair.start()], pair[1], full[pair.end() + 1]
+        if DOUBLE + model.cost(x, b, c) < model.cost(x, b, b) + model.cost(b, b, c):
+            out.append(word[done : pair.start() + 1])
+            done = pair.end()
+    return "".join(out) + word[done:]
+
+
+def _viterbi(arcs, model: CharModel) -> str:
+    """The best path through the choices of every character. A space ends a word. Paths
+    share their beginnings, so time and space are linear in the length."""
+    best: dict[str, tuple] = {_START: (0.0, None)}
+    for choices in arcs:
+        after: dict[str, tuple] = {}
+        for state, (cost, path) in best.items():
             for out, channel in choices:
-                if out:
-                    total = cost + channel + model.cost(state[0], state[1], out)
-                    key, made = state[1] + out, text + out
-                else:
-                    total, key, made = cost + channel, state, text
+                total, key, made = cost + channel, state, path
+                if out == " ":
+                    if state != _START:
+                        total, key, made = total + model.cost(state[0], state[1], "\x01"), _START, (path, out)
+                elif out:
+                    total, key, made = total + model.cost(state[0], state[1], out), state[1] + out, (path, out)
                 if key not in after or total < after[key][0]:
                     after[key] = (total, made)
         best = after
-    return min((cost + model.cost(s[0], s[1], "\x01"), text) for s, (cost, text) in best.items())[1]
+    path = min(((cost + model.cost(s[0], s[1], "\x01"), path) for s, (cost, path) in best.items()),
+               key=lambda found: found[0])[1]
+    text = []
+    while path:
+        path, out = path
+        text.append(out)
+    return "".join(reversed(text))
+
+
+def _run_arcs(tokens: list[str]):
+    """Choices of the characters of a run of short tokens and of the space between them."""
+    for k, token in enumerate(tokens):
+        if k:
+            joined = SEPARATE if len(token) == len(tokens[k - 1]) == 1 else BROKEN
+            yield [(" ", 0.0), ("", joined)]
+        for i, c in enumerate(token):
+            choices = _choices(token, i)
+            if len(token) > 1 and i in (0, len(token) - 1) and not c.isalnum():
+                choices = [*choices, ("", REPLACE)]  # an outer sign may be decoration
+            yield choices
+
+
+def restore_run(tokens: list[str], model: CharModel) -> list[str]:
+    """The words that a run of short tokens spells."""
+    return _viterbi(_run_arcs([t.lower() for t in tokens]), model).split()
+
+
+class Kinds(dict):
+    """Part of tokens in a run: 0 none; 1 a short word or a separator; 2 one sign that may
+    be a letter; 3 one letter; 4 a short token that does not look like a word."""
+
+    def __init__(self, model: CharModel):
+        self.model = model
+
+    def __missing__(self, raw: str) -> str:
+        found = str(self._kind(raw))
+        if len(raw) <= LATTICE_LENGTH:
+            self[raw] = found
+        return found
+
+    def _kind(self, raw: str) -> int:
+        if len(raw) > SHORT + 4:
+            return 0
+        core = (raw.strip(_OUTER) or raw).lower()
+        if len(core) == 2 and not core[1].isalnum():
+            core = core.rstrip("!*#")  # 'm!' is one letter and a sign
+        if not core or len(core) > SHORT:
+            return 0
+        if len(core) == 1:
+            return 3 if core.isalpha() else 2 if core in LOOKALIKES else int(core in SEPARATORS)
+        if core.isalpha():
+            full = _START + core + "\x01"
+            worst = max(self.model.cost(*full[i : i + 3]) for i in range(len(full) - 2))
+            return 4 if worst > STRANGE else 1
+        known = all(c.isalpha() or c in LOOKALIKES or c in SEPARATORS for c in core)
+        return 4 if known and any(c.isalpha() for c in core) else 0
 
 
 class Restorer:
@@ -154,23 +239,48 @@ class Restorer:
     def __init__(self, model: CharModel):
         self.model = model
         self.cache: dict[str, str] = {}
+        self.kinds = Kinds(model)
 
     def __call__(self, text: str) -> list[str]:
         """Restored words in order, lower-cased, without outer punctuation."""
         if len(self.cache) > KEPT_WORDS:
             self.cache.clear()
-        if _SPACED.search(text):
-            text = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), text)
-        cache, out = self.cache, []
-        for raw in text.split():
-            word = cache.get(raw)
-            if word is None:
-                word = self._normal(raw)
-                if len(raw) <= LATTICE_LENGTH:
-                    cache[raw] = word
-            out.append(word)
+        if len(self.kinds) > KEPT_WORDS:
+            self.kinds.clear()
+        cache, raws, out = self.cache, text.split(), []
+        for first, last, in_run in self._parts(raws):
+            if in_run:
+                # Brackets and stops around a token are no letters of the word.
+                run = [t.strip(_OUTER) or t for t in raws[first:last]]
+                out += [_EDGE.sub("", w) for w in restore_run(run, self.model)]
+                continue
+            for raw in raws[first:last]:
+                word = cache.get(raw)
+                if word is None:
+                    word = self._normal(raw)
+                    if len(raw) <= LATTICE_LENGTH:
+                        cache[raw] = word
+                out.append(word)
         return out
 
+    def _parts(self, raws: list[str]):
+        """(first, last, whether spaced): runs of short tokens that look spaced, with one
+        short neighbour at each end, and the rest."""
+        done = 0
+        for run in _RUN.finditer("".join(map(self.kinds.__getitem__, raws))):
+            start, end = run.span()
+            kinds = [int(kind) for kind in run[0]]
+            odd = [k for k, kind in enumerate(kinds) if kind > 1]
+            letters = sum(kind == 3 for kind in kinds)
+            broken = any(kinds[k] > 1 and kinds[k + 1] > 1 and 4 in kinds[k : k + 2]
+                         for k in range(len(kinds) - 1))
+            if broken or (letters > 1 and sum(1 < kind < 4 for kind in kinds) > 2):
+                first, last = start + max(odd[0] - 1, 0), min(start + odd[-1] + 2, end)
+                yield done, first, False
+                yield first, last, True
+                done = last
+        yield done, len(raws), False
+
     def _normal(self, raw: str) -> str:
         core = raw
         if _ODD.search(raw):

@@ -88,6 +88,35 @@ def test_plain_words_stay(learned):
         "the", "river", "runs", "along", "green", "fields", "1998", "2.0"]
 
 
+@pytest.fixture(scope="module")
+def reader(spark):
+    words = [*CLEAN, *"a stupid moron scum man was seen".split()]
+    draw = random.Random(3)
+    return toxicity.Restorer(toxicity.char_model(
+        frame(spark, [(i, " ".join(draw.choices(words, k=40)), "en", "s", 1) for i in range(200)])))
+
+
+@pytest.mark.parametrize("text, words", [
+    ("s t u p i d.", ["stupid"]), ("s c u m!", ["scum"]), ("(s c u m)", ["scum"]), ("$ c u m", ["scum"]),
+    ("$ t u p 1 d", ["stupid"]), ("a s t u p i d man", ["a", "stupid", "man"]),
+    ("s t u p i d m o r o n", ["stupid", "moron"]), ("s  t\nu p  i\td", ["stupid"]), ("stu pid", ["stupid"]),
+    ("the m a n was seen", ["the", "man", "was", "seen"]), ("stuupid", ["stupid"]), ("s_tu_pid", ["stupid"]),
+    ("the man was in a field", ["the", "man", "was", "in", "a", "field"]), ("1 9 9 8", ["1", "9", "9", "8"]),
+])
+def test_white_space_is_read_by_the_lattice(reader, text, words):
+    assert [w for w in reader(text) if w] == [w for w in words]
+
+
+def test_doubled_letters_have_the_cheapest_reading(reader):
+    for word in ("stuupid", "mmoron", "seenn", "fieelldd", "aa", "summer", "greenn", "ssccuumm"):
+        best, value = every_path(word, reader.model)
+        assert value[toxicity.restore(word, reader.model)] == pytest.approx(best)
+
+
+def test_long_runs_are_read_in_linear_time(reader):
+    assert set(reader("s t u p i d " * 5000)) == {"stupid"}
+
+
 def test_awkward_toxicity_rows(spark, learned):
     docs = frame(spark, AWKWARD).selectExpr("*", "1 AS score", "2 AS restored")
     got = toxicity.score_documents(docs, *learned).collect()
