@@ -38,7 +38,8 @@ REPLACE, HIDE, SEPARATE, REPEAT, DOUBLE, KEEP = 0.6, 2.5, 0.4, 0.2, 2.5, 4.0
 #: White space inside a word next to a token of two or three characters; and the cost of
 #: a trigram from which such a token does not look like a word.
 BROKEN, STRANGE = 2.5, 5.0
-#: Words whose restored form a worker keeps, and the longest word that is a lattice.
+#: Words whose restored form a worker keeps, and the longest that is kept; stretches of
+#: one sign are folded before the lattice in longer ones.
 KEPT_WORDS, LATTICE_LENGTH = 400_000, 48
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -139,8 +140,8 @@ def restore(word: str, model: CharModel) -> str:
     """The best path of a word's lattice; a word without letters stays."""
     word = word.lower()
     if len(word) > LATTICE_LENGTH:
-        # Beyond any word of a language: only repeats are folded, in linear time.
-        return re.sub(r"(.)\1{2,}", r"\1", word)
+        # Long stretches count as three of a sign; the lattice takes any length.
+        word = re.sub(r"(.)\1{3,}", r"\1\1\1", word)
     if word.isalpha() and not _TRIPLE.search(word):
         return _single(word, model)
     return _viterbi((_choices(word, i) for i in range(len(word))), model)

@@ -113,6 +113,13 @@ def test_doubled_letters_have_the_cheapest_reading(reader):
         assert value[toxicity.restore(word, reader.model)] == pytest.approx(best)
 
 
+@pytest.mark.parametrize("text, word", [
+    ("m" + "0" * 50 + "ron", "moron"), ("-".join("sc").replace("-", "-" * 20) + "-" * 20 + "u" + "-" * 20 + "m", "scum"),
+    ("s" + "t" * 60 + "up1d", "stupid")])
+def test_long_words_are_lattices_too(reader, text, word):
+    assert reader(text) == [word]
+
+
 def test_long_runs_are_read_in_linear_time(reader):
     assert set(reader("s t u p i d " * 5000)) == {"stupid"}
 
