@@ -21,6 +21,10 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Stands after every text where texts are joined; within texts it is read as a blank.
+END = b"\x00"
+_LOWER = bytes(b" "[0] if c == 0 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+
 #: Bytes of text hashed at once; bounds the memory of a task, not the length of a text.
 WINDOW_BYTES = 1 << 21
 
@@ -86,6 +90,14 @@ def slices(batches: Iterable[pa.RecordBatch], column: int, most: int = 4 << 20):
             yield batch.slice(first, last - first)
 
 
+def words_and_ends(column: pa.Array, pattern) -> list[bytes]:
+    """Words of all texts of a column, A-Z lower-cased, and END after each text, by one
+    pass of a compiled pattern of bytes that also matches END. Null is empty."""
+    texts = column.cast(pa.binary()).fill_null(b"").to_pylist()
+    joined = END.join(t.translate(_LOWER) for t in texts)
+    return pattern.findall(joined + END) if texts else []
+
+
 def word_spans(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word; a text boundary also ends a word."""
     if not len(raw):

@@ -1,0 +1,124 @@
+"""Importance resampling against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from llm import resample
+from llm.resample import Resampling
+from tests.llm.helpers import AWKWARD, DOCUMENTS, frame, prose
+
+
+def runs(text: str | None) -> tuple[list[str], int]:
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    return [" ".join(words[i : i + k]) for k in (1, 2, 3)
+            for i in range(len(words) - k + 1)], len(words)
+
+
+def expected(rows, target, settings=Resampling()):
+    def counted(texts):
+        return Counter(zlib.crc32(f.encode()) % settings.buckets for t in texts for f in runs(t)[0])
+
+    own, other = counted(r[1] for r in rows), counted(target)
+    s, t = sum(own.values()), sum(other.values())
+    out = []
+    for row in rows:
+        found, n = runs(row[1])
+        weight = sum(
+            math.floor(1000 * math.log((other[b] + 1) * float(s + settings.buckets)
+                                       / ((own[b] + 1) * float(t + settings.buckets))))
+            for b in (zlib.crc32(f.encode()) % settings.buckets for f in found))
+        name = f"{settings.seed}:" + ("" if row[0] is None else str(row[0]))
+        h = int(hashlib.sha256(name.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        out.append([row[0], n, len(found), weight, score, None])
+    long_enough = sorted((r for r in out if r[1] >= settings.least_words),
+                         key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    for place, row in enumerate(long_enough[: settings.percent * len(long_enough) // 100], 1):
+        row[5] = place
+    return sorted(map(tuple, out), key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.select(
+        "doc_id", "n_words", "n_features", "weight", "score", "rank").collect()), key=str)
+
+
+def corpus(seed=3, n=150):
+    draw = random.Random(seed)
+    texts = [prose(draw, draw.randrange(0, 60)) for _ in range(n)]
+    texts += [texts[5]] * 20 + ["A-B c\x00d É é 'x9' 日本語 " + "w" * 300, "z " * 3000]
+    return [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+
+
+def test_equals_brute_force(spark):
+    rows, target = corpus() + AWKWARD, ["alpha beta gamma delta", None, "", "alphabeta zeta eta"]
+    docs = frame(spark, rows).repartition(5)
+    found = resample.resample(docs, spark.createDataFrame([(t,) for t in target], "text string"))
+    assert result(found) == expected(rows, target)
+
+
+@pytest.mark.parametrize("share", [0, 37, 100])
+def test_share_drawn_and_ties(spark, share):
+    settings = Resampling(percent=share, least_words=3)
+    rows = corpus(seed=9, n=40) + [(7, "same text three times", "en", "s", 1)] * 3
+    docs, target = frame(spark, rows), spark.createDataFrame([("alpha",)], "text string")
+    found = result(resample.resample(docs, target, settings))
+    assert found == expected(rows, ["alpha"], settings)
+    places = sorted(r[5] for r in found if r[5])
+    assert places == list(range(1, share * sum(r[1] >= 3 for r in found) // 100 + 1))
+
+
+def test_empty_tables(spark):
+    target = spark.createDataFrame([("alpha",)], "text string")
+    assert result(resample.resample(frame(spark, []), target)) == []
+    rows = corpus(n=30)
+    assert result(resample.resample(frame(spark, rows), target.limit(0))) == expected(rows, [])
+
+
+def test_clashing_columns(spark):
+    rows = [(i, t, "rank", "score", "weight", 1) for i, t, *_ in corpus(n=10)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, rank string, score string, weight string, n_words long")
+    target = spark.createDataFrame([("alpha", 1)], "text string, doc_id long")
+    assert result(resample.resample(docs, target)) == expected(rows, ["alpha"])
+
+
+def test_crc_of_joined_strings():
+    draw = random.Random(1)
+    for size in [*range(70), 127, 128, 1000, 65_537]:
+        a, b = draw.randbytes(draw.randrange(1, 9)), draw.randbytes(size)
+        crc = np.array([zlib.crc32(a)], np.uint32)
+        joined = resample.followed(crc, np.array([size])) ^ np.uint32(zlib.crc32(b))
+        assert joined[0] == zlib.crc32(a + b), size
+
+
+def test_runs_do_not_cross_texts():
+    column = pa.array(["a b", None, "", "c", "d e f"])
+    found = resample.features(column, 3)
+    offsets, _ = next(found)
+    assert offsets.tolist() == [0, 2, 2, 2, 3, 6]
+    crcs = Counter(int(c) for crc, whole in found for c in crc[whole])
+    assert crcs == Counter(zlib.crc32(f.encode()) for t in column.to_pylist() for f in runs(t)[0])
+
+
+def test_sql(spark):
+    rows = [r for r in corpus(n=60) if "\x00" not in r[1]] + AWKWARD
+    names = [f.split()[0] for f in DOCUMENTS.split(", ")]
+    with duckdb.connect() as db:
+        db.register("documents", pa.Table.from_pylist([dict(zip(names, r)) for r in rows]))
+        db.register("benchmark", pa.table({"item_id": [1], "text": ["alpha beta É é zeta"]}))
+        found = db.sql(resample.oracle_sql()).select(
+            "doc_id, n_words, n_features, weight, score, rank").fetchall()
+    assert sorted(found, key=str) == expected(rows, ["alpha beta É é zeta"])
