@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import (
-    bpe_codec, fertility, language_id, lattice_dedup, ngram_join, pii, site_quality, source_mix,
-    token_counts, toxicity,
+    bpe_codec, divergence, fertility, language_id, lattice_dedup, ngram_join, pii, pivot_search,
+    resample, site_quality, source_mix, token_counts, toxicity,
 )
 from llm.common import fold, table
 
@@ -77,6 +77,18 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_spans(table(spark, sf_dir, "documents"), pii.built_in_crf(spark)))
 
 
+def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fertility_rules": op1_fertility_rules,
     "op2_deobfuscated_toxicity": op2_deobfuscated_toxicity,
@@ -88,7 +100,15 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_pii_crf": op10_pii_crf,
+    "op11_pivot_search": op11_pivot_search,
+    "op12_importance_resample": op12_importance_resample,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-#: Raking, topics and the sampling hash are SQL; the other operators are not.
-ORACLE_SQL: dict[str, str] = {"op5_source_mix": source_mix.oracle_sql()}
+#: These are exact and within reach of SQL; the other operators are not.
+ORACLE_SQL: dict[str, str] = {
+    "op5_source_mix": source_mix.oracle_sql(),
+    "op11_pivot_search": pivot_search.oracle_sql(),
+    "op12_importance_resample": resample.oracle_sql(),
+    "op13_source_divergence": divergence.oracle_sql(),
+}
