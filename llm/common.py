@@ -80,14 +80,29 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], (bounds - bounds[0]).astype(np.int64)
 
 
+#: Bytes of a batch that Spark sends to Python at most, but for longer rows.
+BATCH_BYTES = 8 << 20
+_BATCH_BYTES, _SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let batches for Python end at BATCH_BYTES, not only at a number of rows, so that
+    long texts do not fill a task's memory. A limit that the session names is left alone.
+    Stays set, since frames are run later."""
+    if spark.conf.get(_BATCH_BYTES) == _SPARKS_OWN:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: int, most: int = 4 << 20):
-    """Slices of batches with about ``most`` bytes of text; a longer text is alone."""
+    """Slices of batches with about ``most`` bytes of text; a longer text is alone. Freed
+    memory goes back to the system at the end: Python workers outlive their tasks."""
     for batch in batches:
         sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
         part = np.cumsum(sizes) // most
         bounds = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(sizes)]
         for first, last in zip(bounds[:-1], bounds[1:]):
             yield batch.slice(first, last - first)
+    pa.default_memory_pool().release_unused()
 
 
 def words_and_ends(column: pa.Array, pattern) -> list[bytes]:

@@ -293,12 +293,16 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.float64()),
-                     pa.array([f[2] for f in found], kind), *part.columns[2:]],
+                     pa.array([f[2] for f in found], kind), *[part.column(i) for i in place]],
                     ["doc_id", "lang_pred", "score", "spans", *carry])
 
+    # The text goes to Python once, even if it is carried.
+    others = [c for c in carry if c != text_column]
+    place = [1 if c == text_column else 2 + others.index(c) for c in carry]
+    common.bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("read"),
-                       *carry)
-    kinds = "".join(f", `{c}` {t}" for c, t in rows.dtypes[2:])
+                       *others)
+    kinds = "".join(f", `{c}` {rows.dtypes[i][1]}" for c, i in zip(carry, place))
     return rows.mapInArrow(
         run, f"doc_id long, lang_pred string, score double, spans {_SPANS}{kinds}")
 

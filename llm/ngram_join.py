@@ -20,7 +20,8 @@ cheap pivots to real ones, and every step is lossless for the threshold:
     that do not shrink are joined as pairs of bounded blocks.
 
 Only a spanning set of links is emitted, never all pairs of a group. Shingles are
-64-bit hashes, set identities 128-bit hashes.
+64-bit hashes, set identities 128-bit hashes. Cells and links name a set by 63 bits of its
+identity; of sets that share these bits each gets a number of its own.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import common
@@ -41,17 +43,21 @@ from salesmart.operators.staging import stage
 MAP_BITS = 1 << 25
 
 #: Low bytes of a head shingle and of the set that posts it. Step 2 only filters: equal
-#: low bytes of different shingles let more sets pass, never fewer. 48 bits of the set id
-#: tell sets with one shingle apart.
+#: low bytes of different shingles let more sets pass, never fewer. Sets that share the
+#: low bytes of their id all pass.
 HEAD_BYTES, OWNER_BYTES = 5, 6
 
+#: Shingles that a task counts at once in search of the frequent ones.
+SKETCH_KEYS = 200_000
+
 
 @dataclass(frozen=True)
 class Join:
     """words: words of a shingle. percent: least 100 * shared / union of a link.
     bucket_postings: (shingle, set) rows of a task. heavy_keys: how many of the most
     frequent shingles are broadcast (8 bytes each and a count). leaf_shingles: largest
-    cell, in shingles, joined in one task. pivots: document pivots of a larger cell."""
+    cell, in shingles, joined in one task. pivots: document pivots of a larger cell.
+    id_bytes: bytes of a set's identity that its short id has."""
 
     words: int = 5
     percent: int = 75
@@ -59,6 +65,7 @@ class Join:
     heavy_keys: int = 50_000
     leaf_shingles: int = 2_000_000
     pivots: int = 8
+    id_bytes: int = 8
 
     def overlap(self, n):
         """Shingles that a set of n shares at least with any set it links to."""
@@ -100,11 +107,12 @@ def _summaries(join: Join):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(digests, pa.binary()),
-                 pa.array([d and _short(d) for d in digests], pa.int64()),
+                 pa.array([d and _short(d, join) for d in digests], pa.int64()),
                  pa.array([_low_bytes(s[: _head(len(s), join)], HEAD_BYTES).tobytes()
                            if len(s) else None for s in sets],
-                          pa.binary())],
-                ["doc_id", "n", "digest", "sid", "head"])
+                          pa.binary()),
+                 batch.column(2)],
+                ["doc_id", "n", "digest", "sid", "head", "text_key"])
     return run
 
 
@@ -112,9 +120,10 @@ def _digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
-def _short(digest: bytes) -> int:
-    """A set's short id: never 0, which stands for several sets."""
-    return int.from_bytes(digest[:8], "little", signed=True) or 1
+def _short(digest: bytes, join: Join) -> int:
+    """A set's short id: odd. 0 stands for several sets, other even numbers are for sets
+    whose short ids are equal."""
+    return int.from_bytes(digest[: join.id_bytes], "little", signed=join.id_bytes == 8) | 1
 
 
 def _low_bytes(values: np.ndarray, width: int) -> np.ndarray:
@@ -122,9 +131,28 @@ def _low_bytes(values: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width]
 
 
-def _wide(parts: list, width: int) -> np.ndarray:
+def _flat(column, kind=np.int64) -> np.ndarray:
+    """The packed values of all rows of a binary column, one after the other."""
+    parts = []
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(chunk):
+            _, ends, data = chunk.buffers()
+            wide = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+            ends = np.frombuffer(ends, wide)[chunk.offset : chunk.offset + len(chunk) + 1]
+            if data is not None and ends[-1] > ends[0]:
+                parts.append(np.frombuffer(data, np.uint8)[ends[0] : ends[-1]])
+    raw = np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(raw).view(kind)
+
+
+def _sizes(column: pa.Array, width: int) -> np.ndarray:
+    """How many values of ``width`` bytes each row of a binary column packs."""
+    return pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // width
+
+
+def _wide(column, width: int) -> np.ndarray:
     """64-bit values of packed low bytes."""
-    raw = _concat(parts, np.uint8).reshape(-1, width)
+    raw = _flat(column, np.uint8).reshape(-1, width)
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, :width] = raw
     return out.view(np.int64).reshape(-1)
@@ -153,14 +181,12 @@ def _post_heads(buckets: int):
     """Each head shingle once per batch, with its set, or 0 for several sets; shingles
     that several sets of the batch hold are counted here."""
     def run(batches):
-        for batch in batches:
-            seen: dict[int, np.ndarray] = {}
-            for sid, head in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.setdefault(sid, _wide([head], HEAD_BYTES))
-            if not seen:
-                continue
-            ids = np.repeat(np.fromiter(seen, np.int64, len(seen)), [len(h) for h in seen.values()])
-            keys = np.concatenate(list(seen.values()))
+        for batch in common.slices(batches, 1):
+            copies = batch.column(2).dictionary_encode().indices.to_numpy()
+            _, first = np.unique(copies, return_index=True)
+            batch = batch.take(pa.array(np.sort(first)))
+            ids = np.repeat(batch.column(0).to_numpy(), _sizes(batch.column(1), HEAD_BYTES))
+            keys = _wide(batch.column(1), HEAD_BYTES)
             order = np.argsort(keys, kind="stable")
             keys, ids = keys[order], ids[order]
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -179,10 +205,6 @@ def _post_heads(buckets: int):
     return run
 
 
-def _concat(parts: list, kind=np.int64) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, kind) for p in parts]) if parts else np.zeros(0, kind)
-
-
 def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
     """Distinct rows, sorted."""
     order = np.lexsort(columns[::-1])
@@ -196,12 +218,10 @@ def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
 
 def _shared_heads(group: pa.Table) -> pa.Table:
     """(owner, how many of its head shingles in this bucket another set posted)."""
-    counted = group.column("counted").to_pylist()
-    left, right = group.column("left").to_pylist(), group.column("right").to_pylist()
-    keys = _wide([x for x, c in zip(left, counted) if not c], HEAD_BYTES)
-    ids = _wide([x for x, c in zip(right, counted) if not c], OWNER_BYTES)
-    done_ids = _wide([x for x, c in zip(left, counted) if c], OWNER_BYTES)
-    done = _concat([x for x, c in zip(right, counted) if c], np.uint32)
+    posted, counted = group.filter(pc.invert(group.column("counted"))), group.filter(group.column("counted"))
+    keys, ids = _wide(posted.column("left"), HEAD_BYTES), _wide(posted.column("right"), OWNER_BYTES)
+    done_ids = _wide(counted.column("left"), OWNER_BYTES)
+    done = _flat(counted.column("right"), np.uint32)
     if len(keys):
         keys, ids = _distinct(keys, ids)
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -226,7 +246,7 @@ def _in_map(bits: bytes):
     return run
 
 
-def _kept_sets(bits: bytes, join: Join):
+def _kept_sets(bits: bytes, renamed: dict[bytes, int], join: Join):
     def run(batches):
         held = np.frombuffer(bits, np.uint8)
         for batch in common.slices(batches, 1):
@@ -235,8 +255,9 @@ def _kept_sets(bits: bytes, join: Join):
             if len(keep):
                 sets = list(shingle_sets(batch.column(1).take(pa.array(keep)), join.words))
                 sets = [s for s in sets if len(s)]
+                digests = [_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_short(_digest(s)) for s in sets], pa.int64()),
+                    [pa.array([renamed.get(d) or _short(d, join) for d in digests], pa.int64()),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["sid", "n", "shingles"])
@@ -250,23 +271,27 @@ KEY_MASK = np.int64((1 << 8 * KEY_BYTES) - 1)
 
 
 def _often(batches):
-    """Shingles that three sets of a batch hold."""
-    for batch in batches:
-        keys, counts = np.unique(_concat(batch.column(0).to_pylist()) & KEY_MASK,
-                                 return_counts=True)
-        keys, counts = keys[counts > 2], counts[counts > 2]
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "c"])
+    """Shingles that more than two sets of a task hold, with lower bounds of how many: a
+    bounded sketch goes over its batches, which loses no shingle that is more frequent
+    than one in SKETCH_KEYS."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in common.slices(batches, 0):
+        more, times = np.unique(_flat(batch.column(0)) & KEY_MASK, return_counts=True)
+        joined, own = np.unique(np.r_[keys, more], return_inverse=True)
+        keys, counts = joined, np.bincount(own, np.r_[counts, times], len(joined)).astype(np.int64)
+        if len(keys) > SKETCH_KEYS:
+            counts -= np.partition(counts, -SKETCH_KEYS)[-SKETCH_KEYS]
+            keys, counts = keys[counts > 0], counts[counts > 0]
+    keys, counts = keys[counts > 2], counts[counts > 2]
+    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "c"])
 
 
 def _post_sets(heavy: np.ndarray, buckets: int):
     """All shingles but the heavy ones, dealt by shingle."""
     def run(batches):
-        for batch in batches:
-            sets = [np.frombuffer(s, np.int64) for s in batch.column(2).to_pylist()]
-            if not sets:
-                continue
-            keys = np.concatenate(sets)
-            ids = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+        for batch in common.slices(batches, 2):
+            keys = _flat(batch.column(2))
+            ids = np.repeat(batch.column(0).to_numpy(), _sizes(batch.column(2), 8))
             light = ~np.isin(keys & KEY_MASK, heavy)
             keys, ids = keys[light], ids[light]
             rows = list(_packed(_bucket(keys, buckets), _low_bytes(keys, KEY_BYTES), ids))
@@ -289,9 +314,7 @@ def _placed(rows) -> pa.Table:
 def _held_by_several(buckets: int):
     """Back to the sets: their shingles with several holders, and how many."""
     def run(group: pa.Table) -> pa.Table:
-        keys = _wide(group.column("keys").to_pylist(), KEY_BYTES)
-        ids = _concat(group.column("ids").to_pylist())
-        keys, ids = _distinct(keys, ids)
+        keys, ids = _distinct(_wide(group.column("keys"), KEY_BYTES), _flat(group.column("ids")))
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[first, len(keys)])
         holders = np.repeat(size, size)
@@ -305,17 +328,16 @@ def _held_by_several(buckets: int):
 def _own_rows(heavy: np.ndarray, counts: np.ndarray, buckets: int):
     """Of every set: its size (as holders 0) and its heavy shingles."""
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches, 2):
             ids = batch.column(0).to_numpy()
             keys, owners, holders = [batch.column(1).to_numpy()], [ids], [np.zeros(len(ids), np.int64)]
             if len(heavy):
-                for doc, own in zip(ids.tolist(), batch.column(2).to_pylist()):
-                    own = np.frombuffer(own, np.int64) & KEY_MASK
-                    at = np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)
-                    hit = heavy[at] == own
-                    keys.append(own[hit])
-                    owners.append(np.full(hit.sum(), doc))
-                    holders.append(counts[at[hit]])
+                own = _flat(batch.column(2)) & KEY_MASK
+                at = np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)
+                hit = heavy[at] == own
+                keys.append(own[hit])
+                owners.append(np.repeat(ids, _sizes(batch.column(2), 8))[hit])
+                holders.append(counts[at[hit]])
             keys, owners, holders = map(np.concatenate, (keys, owners, holders))
             yield from _placed([(*row, True) for row in _packed(
                 _spread(owners, buckets), _low_bytes(keys, KEY_BYTES), owners,
@@ -327,9 +349,8 @@ def _region_members(join: Join):
     """(region, doc_id, n): pivots among the first n - overlap + 1 shingles of a set by
     rising number of holders; shingles of one holder come first and are no pivots."""
     def run(group: pa.Table) -> pa.Table:
-        keys = _wide(group.column("keys").to_pylist(), KEY_BYTES)
-        ids = _concat(group.column("ids").to_pylist())
-        holders = _concat(group.column("holders").to_pylist(), np.uint32)
+        keys, ids = _wide(group.column("keys"), KEY_BYTES), _flat(group.column("ids"))
+        holders = _flat(group.column("holders"), np.uint32)
         is_size = holders == 0
         docs, sizes = _distinct(ids[is_size], keys[is_size])
         ids, _, keys = _distinct(ids[~is_size], holders[~is_size], keys[~is_size])
@@ -512,9 +533,9 @@ def cell_links(cells: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 
 # --- the operator -----------------------------------------------------------------
 
-def _bitmap(ids: DataFrame) -> bytes:
-    """A map of MAP_BITS bits of the ids' hashes; its size is fixed."""
-    rows = ids.select((_bit("doc_id") + 1).alias("v")) \
+def _bitmap(bits: DataFrame) -> bytes:
+    """A map of the given bits; its size is fixed."""
+    rows = bits.select((F.col("bit") + 1).alias("v")) \
         .groupBy(F.expr("bitmap_bucket_number(v)").alias("b")) \
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(v))").alias("bits")).collect()
     out = bytearray(MAP_BITS // 8)
@@ -550,58 +571,139 @@ def _cells(sets: DataFrame, buckets: int, join: Join) -> DataFrame:
                  .join(sizes, "doc_id").select("cell", "doc_id", "n"), "jaccard_cell_members")
 
 
-def jaccard_components(
-    docs: DataFrame, join: Join = Join(), id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id), a row per input row.
+def _renamed(classes: DataFrame) -> dict[bytes, int]:
+    """Numbers of the sets whose short ids are equal. Of n sets about n^2 / 2^64 are: none
+    but in very large tables, and then a few."""
+    met = [row["sid"] for row in classes.groupBy("sid").count().where("count > 1").collect()]
+    rows = classes.where(F.col("sid").isin(met)).select("digest").collect() if met else []
+    return {bytes(row["digest"]): 2 * k for k, row in enumerate(rows, 1)}
 
-    A text's set is its distinct shingles of ``join.words`` words, A-Z lower-cased; a
-    shorter text is one shingle. Two sets link when 100 * shared >= percent * union.
-    ``component_id`` is the smallest id that links reach, the row's own included. Null
-    texts and texts without words have no shingle and link with nothing; their component
-    is their own id. Repeated rows are links like others; one id with several texts has a
-    row and a component for each. A null id keeps its row, never names a component, and
-    has a null component when alone. Other columns are not read. An empty table gives an
-    empty result.
-    """
-    docs = docs.select(F.col(id_column).cast("long").alias("doc_id"),
-                       F.col(text_column).alias("text"))
+
+def _with_node(classes: DataFrame, renamed: dict[bytes, int]) -> DataFrame:
+    if not renamed:
+        return classes.withColumn("node", F.col("sid"))
+    other = classes.sparkSession.createDataFrame(list(renamed.items()), "digest binary, other long")
+    return classes.join(F.broadcast(other), "digest", "left") \
+        .withColumn("node", F.coalesce("other", "sid")).drop("other")
+
+
+def _text_key(text: str):
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
+def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"),
+                       F.col(text_column).alias("text"), _text_key(text_column).alias("text_key"))
+
+
+def _one_of_each_class(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows that are enough to find every class, with their place in the map: its smallest
+    id, or where no row of it has an id, a text without one."""
+    named = docs.where("doc_id is not null").withColumn("bit", _bit("doc_id"))
+    if classes.where("first_id is null").isEmpty():
+        return named
+    nameless = docs.where("doc_id is null").dropDuplicates(["text_key"])
+    return named.unionByName(nameless.withColumn("bit", _bit("text_key")))
+
+
+def _linked(docs: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """The set of every row, and of every class its component's root and smallest id."""
+    common.bound_batches(docs.sparkSession)
     sets = stage(
-        docs.mapInArrow(_summaries(join),
-                        "doc_id long, n long, digest binary, sid long, head binary"),
+        docs.select("doc_id", "text", "text_key").mapInArrow(
+            _summaries(join),
+            "doc_id long, n long, digest binary, sid long, head binary, text_key binary"),
         "jaccard_sets")
     held = sets.where("n > 0")
     buckets = max(256, int((held.agg(F.sum(F.length("head"))).first()[0] or 0)
                            // HEAD_BYTES // join.bucket_postings))
     shared = (
-        held.select("sid", "head").mapInArrow(
+        held.select("sid", "head", "digest").mapInArrow(
             _post_heads(buckets), "bucket long, counted boolean, left binary, right binary")
         .groupBy("bucket").applyInArrow(_shared_heads, "owner long, c long")
         .groupBy("owner").agg(F.sum("c").alias("c"))
     )
-    classes = stage(held.groupBy("digest", "sid", "n").agg(F.min("doc_id").alias("first_id")),
-                    "jaccard_classes")
+    classes = stage(
+        held.groupBy("digest", "sid", "n").agg(F.min("doc_id").alias("first_id"),
+                                               F.min("text_key").alias("text_key")),
+        "jaccard_classes")
+    renamed = _renamed(classes)
+    classes = _with_node(classes, renamed)
+    same_owner = F.count("*").over(Window.partitionBy("owner"))
     stays = stage(
         classes.withColumn("owner", F.col("sid").bitwiseAND(F.lit((1 << 8 * OWNER_BYTES) - 1)))
-        .join(shared, "owner").where("first_id is not null and c >= greatest(1, n div 20)")
-        .select(F.col("first_id").alias("doc_id")), "jaccard_stays")
+        .join(shared, "owner", "left").withColumn("same", same_owner)
+        .where("same > 1 or c >= greatest(1, n div 20)")
+        .select("first_id", "text_key"), "jaccard_stays")
+    # A class without any id is found by its texts, since all rows of a null id are one.
+    unnamed = sets.where("n > 0 and doc_id is null").select("digest", "text_key") \
+        .join(classes.where("first_id is null").select("digest"), "digest", "left_semi")
+    bits = stays.where("first_id is not null").select(_bit("first_id").alias("bit")).union(
+        unnamed.select(_bit("text_key").alias("bit")))
     kept = stage(
-        docs.select("doc_id", "text", F.coalesce(_bit("doc_id"), F.lit(0)).alias("bit"))
-        .mapInArrow(_kept_sets(_bitmap(stays), join), "sid long, n long, shingles binary"),
+        _one_of_each_class(docs, classes).select("doc_id", "text", "bit")
+        .mapInArrow(_kept_sets(_bitmap(bits), renamed, join), "sid long, n long, shingles binary"),
         "jaccard_kept")
-    cells = _cells(kept, buckets, join)
+    shingles = kept.agg(F.sum("n")).first()[0] or 0
+    cells = _cells(kept, max(256, int(shingles // join.bucket_postings)), join)
     # Only the sets of cells are dealt out again, but for what the map lets through.
-    members = _bitmap(cells)
+    members = _bitmap(cells.select(_bit("doc_id").alias("bit")))
     celled = kept.select(F.col("sid").alias("doc_id"), "n", "shingles",
                          _bit("sid").alias("bit")).mapInArrow(
         _in_map(members), "doc_id long, n long, shingles binary")
     links = cell_links(cells, celled, join)
     reach = common.smallest_reachable(links, "jaccard")
-    named = classes.join(reach, F.col("sid") == F.col("node"))
-    lowest = named.groupBy("component").agg(F.min("first_id").alias("lowest"))
-    component = classes.join(
-        named.select("digest", "component").join(lowest, "component").drop("component"),
-        "digest", "left").select("digest", F.coalesce("lowest", "first_id").alias("lowest"))
-    return sets.join(component, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("lowest", "doc_id").alias("component_id"))
+    rooted = classes.join(reach, "node", "left") \
+        .select("digest", "first_id", F.coalesce("component", "node").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("lowest"))
+    return sets, stage(rooted.join(lowest, "root").select("digest", "root", "lowest"),
+                       "jaccard_components")
+
+
+def jaccard_components(
+    docs: DataFrame, join: Join = Join(), id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id), a row per input row.
+
+    A text's set is its distinct shingles of ``join.words`` words, A-Z lower-cased; a
+    shorter text is one shingle. Two sets link when 100 * shared >= percent * union.
+    ``component_id`` is the smallest id that links reach, the row's own included. Null
+    texts and texts without words have no shingle and link with nothing; their component
+    is their own id. Repeated rows are links like others; one id with several texts has a
+    row and a component for each. A row without an id links like others, also where it is
+    the only bridge of two; it never names a component, and a component without any id is
+    null. Links are not counted. Other columns are not read. An empty table gives an empty
+    result. The shingles of one text must fit a batch, so a text has 250 million words at most.
+    """
+    sets, component = _linked(_keyed(docs, id_column, text_column), join)
+    own = ["doc_id", F.col("n").alias("n_shingles")]
+    # Rows without words share a null digest: they stay out of the join.
+    return sets.where("n > 0").join(component, "digest", "left") \
+        .select(*own, F.col("lowest").alias("component_id")) \
+        .unionByName(sets.where("n = 0").select(*own, F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(
+    docs: DataFrame, join: Join = Join(), id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """Of the rows that links connect, the one with the smallest id, null ids last, and of
+    these the one whose text has the smallest digest. All columns are kept.
+
+    The choice is by row, not by id: of two unrelated texts under one id, or without one,
+    both stay. Of rows that repeat an id and a text one stays, also of those without words;
+    other rows without words link with nothing and all stay.
+    """
+    sets, component = _linked(_keyed(docs, id_column, text_column), join)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
+    chosen = stage(
+        sets.where("n > 0").join(component, "digest").groupBy("root").agg(first.alias("one"))
+        .select("one.doc_id", "one.text_key")
+        .unionByName(sets.where("n = 0").select("doc_id", "text_key").distinct()), "jaccard_chosen")
+    stays = chosen.select(F.col("doc_id").alias("_own_id"), F.col("text_key").alias("_own_key"))
+    own_id, own_key = F.col(id_column).cast("long"), _text_key(text_column)
+    kept = docs.join(stays, own_id.eqNullSafe(F.col("_own_id"))
+                     & own_key.eqNullSafe(F.col("_own_key")), "left_semi")
+    repeated = sets.groupBy("doc_id", "text_key").count().where("count > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.withColumn("_own_key", own_key).dropDuplicates([id_column, "_own_key"]).drop("_own_key")

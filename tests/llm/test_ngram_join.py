@@ -6,10 +6,11 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from llm import common
-from llm.ngram_join import Join, jaccard_components, pivot_links
+from llm import common, ngram_join
+from llm.ngram_join import Join, jaccard_components, one_of_each, pivot_links
 from tests.llm.helpers import AWKWARD, classes, frame, prose
 
 
@@ -53,7 +54,8 @@ def result(df) -> dict:
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("join", [Join(), Join(leaf_shingles=300, pivots=3)])
+@pytest.mark.parametrize("join", [
+    Join(), Join(leaf_shingles=300, pivots=3), Join(id_bytes=1), Join(id_bytes=1, leaf_shingles=300)])
 def test_equals_brute_force(spark, join):
     rows = corpus(1)
     assert result(jaccard_components(frame(spark, rows).repartition(5), join)) == expected(rows)
@@ -70,6 +72,75 @@ def test_awkward_rows(spark):
     assert by_id[None]["component_id"] == 10 and by_id[9]["n_shingles"] == 1
 
 
+def chain(draw, n: int, step: int, words: int = 100) -> list[str]:
+    """Texts that link with their neighbours only."""
+    base = [prose(draw, 1) + str(i) for i in range(words)]
+    texts = []
+    for k in range(n):
+        base = [f"{w}x{k}" if (k - 1) * step <= i < k * step else w for i, w in enumerate(base)]
+        texts.append(" ".join(base))
+    return texts
+
+
+def unnamed(rows, missing):
+    return [(None if r[0] in missing else r[0], *r[1:]) for r in rows]
+
+
+@pytest.mark.parametrize("missing", [{1}, {0}, {0, 2}, {0, 1, 2}, {0, 1, 2, 3}])
+def test_rows_without_an_id_link(spark, missing):
+    texts = chain(random.Random(11), 3, 9)
+    sets = [shingles(t) for t in texts]
+    assert 100 * len(sets[0] & sets[2]) < 75 * len(sets[0] | sets[2])
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate([*texts, texts[1], "alone among others here and now"])]
+    got = jaccard_components(frame(spark, unnamed(rows, missing)).repartition(3)).collect()
+    ids = {i for i in range(4)} - missing
+    low = min(ids, default=None)
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["component_id"]) for r in got if r["doc_id"] != 4) == sorted(
+        (i in missing, None if i in missing else i, low) for i in range(4))
+    left = one_of_each(frame(spark, unnamed(rows, missing)).repartition(3)).collect()
+    assert sorted(r["doc_id"] for r in left if r["doc_id"] is not None) == sorted(({low} - {None}) | {4})
+    assert len(left) == 2
+
+
+def test_many_rows_without_an_id(spark):
+    rows = corpus(7, groups=5, unrelated=10)
+    missing = {i for i, *_ in rows if i % 3}
+    got = jaccard_components(frame(spark, unnamed(rows, missing)).repartition(4)).collect()
+    want = expected(rows)
+    low = {}
+    for i, (_, c) in want.items():
+        if i not in missing:
+            low[c] = min(i, low.get(c, i))
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(
+        str((None if i in missing else i, n, low.get(c))) for i, (n, c) in want.items())
+
+
+def test_choice_is_by_row(spark):
+    near = chain(random.Random(12), 2, 4)
+    rows = [(1, near[0], "en", "a", 1), (1, "quite another text under the same id", "en", "a", 1),
+            (1, near[1], "en", "b", 1), (None, "a first text that has no id at all", "en", "a", 1),
+            (None, "a second text that also lacks one", "en", "a", 1), (2, near[1], "en", "a", 1),
+            (3, None, "en", "a", 0), (4, "", "en", "a", 0), (5, None, None, None, 0),
+            (6, "twice twice", "en", "a", 0), (6, "twice twice", "en", "a", 0)]
+    docs = frame(spark, rows).selectExpr("*", "1 AS root", "2 AS text_key", "3 AS _extra").repartition(3)
+    left = one_of_each(docs)
+    assert left.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert len(kept) == len(set(kept)) == 8
+    assert sum(t in near for _, t in kept) == 1
+    assert {t for i, t in kept if i is None} == {rows[3][1], rows[4][1]}
+
+
+def test_frequent_shingles_are_found_over_batches(monkeypatch):
+    monkeypatch.setattr(ngram_join, "SKETCH_KEYS", 50)
+    draw = np.random.default_rng(2)
+    batches = [pa.record_batch({"shingles": pa.array(
+        [np.r_[7, draw.integers(100, 1 << 40, 30)].astype(np.int64).tobytes()], pa.binary())})
+        for _ in range(40)]
+    found = next(ngram_join._often(batches))
+    assert 7 in found.column("key").to_pylist() and found.num_rows <= 50
+
+
 def test_empty_table(spark):
     assert jaccard_components(frame(spark, [])).collect() == []
 
