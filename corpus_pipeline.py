@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import bpe_codec, language_id, ngram_join, pii, source_mix
-from llm.common import table
+from llm.common import bound_batches, table
 from salesmart.operators.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -15,25 +15,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts and texts without a letter. The others
     stay, mixed ones too; a missing ``lang`` is filled in."""
+    bound_batches(spark)
     found = language_id.identify(docs, language_id.train_on_folds(docs), carry=COLUMNS[1:])
     return found.where(F.col("lang_pred") != language_id.UNDETERMINED) \
         .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one with the smallest id stays; of rows that
-    repeat an id, one."""
-    found = ngram_join.jaccard_components(docs)
-    stays = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stays, "doc_id", "left_semi")
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if again.isEmpty():
-        return kept.select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """Of documents that links connect, the one with the smallest id stays, or one without
+    an id where none has one. Of rows that repeat an id and a text one stays; unrelated
+    texts stay, also under one id."""
+    return ngram_join.one_of_each(docs).select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by its kind in brackets."""
+    bound_batches(spark)
     found = pii.find_spans(docs, pii.built_in_crf(spark), carry=["lang", "source"])
     return found.select("doc_id", F.col("redacted").alias("text"), "lang", "source",
                         F.length("redacted").cast("long").alias("n_chars"))
@@ -46,6 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests of ids and decoded text."""
+    bound_batches(spark)
     return bpe_codec.digests(bpe_codec.encode_documents(docs), carry=["ids"])
 
 
