@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart import schemas
 from salesmart.functions.numeric import discount, discount_pct
+from salesmart.operators.intervals import covering_ranges, within
 from salesmart.operators.lookup import ROWS_PER_SALT, fan_out_join
 from salesmart.operators.replace import replace_by_key
 from salesmart.operators.staging import stage
@@ -19,7 +20,7 @@ from salesmart.sources.tables import SalesSource
 STORE_DAY = schemas.STORE_DAY.name
 
 
-def _invoices(src: SalesSource, first: date | None, last: date | None) -> DataFrame:
+def invoices(src: SalesSource, first: date | None, last: date | None) -> DataFrame:
     """Invoice headers of the days first..last.
 
     The day filter is a half-open range on the raw timestamp, so that the scan
@@ -38,18 +39,19 @@ def _invoices(src: SalesSource, first: date | None, last: date | None) -> DataFr
     )
 
 
-def _lines(src: SalesSource, invoices: DataFrame | None) -> DataFrame:
-    """Invoice lines; given some ``invoices``, at least those that belong to them.
+def lines_of(src: SalesSource, headers: DataFrame | None) -> DataFrame:
+    """Invoice lines; given some written ``headers``, at least those that belong to them.
 
-    Lines carry no date, but invoice numbers grow with time. The number range of
-    a few days' invoices is pushed into the scan of the lines, where it skips row
-    groups or is run by the source database; the join then takes the exact ones.
+    Lines carry no date, but invoice numbers grow with time. The numbers of a few days'
+    invoices are covered by a few ranges, cut at their widest gaps, so a back-dated or
+    late number does not stretch one range over the whole table. The ranges are pushed
+    into the scan of the lines, where they skip row groups or are run by the source
+    database; the join then takes the exact ones.
     """
     lines = src.item_nota_fiscal.withColumnRenamed("id_nota_fiscal", "id_nota")
-    if invoices is None:
+    if headers is None:
         return lines
-    span = invoices.agg(F.min("id_nota").alias("low"), F.max("id_nota").alias("high")).first()
-    return lines.where(F.col("id_nota").between(F.lit(span["low"]), F.lit(span["high"])))
+    return lines.where(within("id_nota", covering_ranges(headers, "id_nota")))
 
 
 def _with_day(headers: DataFrame, star: Star) -> DataFrame:
@@ -123,15 +125,15 @@ def sales_fact(
     first: their size is then known, and where they can be broadcast the lines are not
     shuffled at all.
     """
-    invoices = _invoices(src, first, last)
+    sold = invoices(src, first, last)
     headers = _with_seller(
-        _with_buyer(_with_day(invoices, star), star, rows_per_salt), star
+        _with_buyer(_with_day(sold, star), star, rows_per_salt), star
     )
     if first is None or last is None:
-        lines = _lines(src, None)
+        lines = lines_of(src, None)
     else:
         headers = stage(headers, "headers")
-        lines = _lines(src, headers)
+        lines = lines_of(src, headers)
     taken_off = discount(F.col("valor_venda"), F.col("valor_unitario"))
     fact = (
         headers.join(lines, "id_nota")

@@ -12,10 +12,10 @@ from salesmart.operators.keys import dense_keys
 from salesmart.sources.calendar import days
 
 _MONTH = ["ano", "mes"]
-_PLACE = ["ano", "sigla_estado", "estado", "cidade"]
+PLACE = ["ano", "sigla_estado", "estado", "cidade"]
 
 
-def _totals(quantity: str, real: str, target: str) -> list[Column]:
+def totals(quantity: str, real: str, target: str) -> list[Column]:
     """The target of a group is the sum of its unit prices, not times quantity."""
     return [
         total_quantity(quantity).alias("qtde_vendida"),
@@ -27,7 +27,7 @@ def _totals(quantity: str, real: str, target: str) -> list[Column]:
 def month_totals(lines: DataFrame) -> DataFrame:
     """Totals per year and month of rows that carry ``ano`` and ``mes``."""
     return lines.groupBy(*_MONTH).agg(
-        *_totals("quantidade", "valor_venda_real", "valor_unitario")
+        *totals("quantidade", "valor_venda_real", "valor_unitario")
     )
 
 
@@ -54,14 +54,17 @@ def locality_sales(fact: DataFrame, tempo: DataFrame, localidade: DataFrame) ->
         )
     )
     places = localidade.select("sk_localidade", "sigla_estado", "estado", "cidade")
-    return (
+    return with_attainment(
         per_key.join(places.dropna(), "sk_localidade")
-        .groupBy(*_PLACE)
-        .agg(*_totals("qtd", "real", "esperado"))
-        .withColumn(
-            "pct_atingimento",
-            attainment_stored(F.col("valor_total_real"), F.col("valor_total_esperado")),
-        )
+        .groupBy(*PLACE)
+        .agg(*totals("qtd", "real", "esperado"))
+    )
+
+
+def with_attainment(locality: DataFrame) -> DataFrame:
+    return locality.withColumn(
+        "pct_atingimento",
+        attainment_stored(F.col("valor_total_real"), F.col("valor_total_esperado")),
     )
 
 
@@ -76,7 +79,7 @@ def mart_ano_mes(monthly: DataFrame) -> DataFrame:
 
 def mart_localidade(locality: DataFrame) -> DataFrame:
     """Locality rows numbered in key order."""
-    return dense_keys(locality, "id", _PLACE)
+    return dense_keys(locality, "id", PLACE)
 
 
 def stamped(mart: DataFrame, run_ts: datetime) -> DataFrame:
@@ -93,9 +96,12 @@ def revenue_by_state(fact: DataFrame, tempo: DataFrame, localidade: DataFrame) -
         .agg(F.sum("valor_venda_real").alias("real"))
     )
     places = localidade.select("sk_localidade", "sigla_estado")
-    return (
+    return by_revenue(
         per_key.join(places, "sk_localidade")
         .groupBy("sigla_estado")
         .agg(total_money("real").alias("faturamento"))
-        .orderBy(F.col("faturamento").desc(), "sigla_estado")
     )
+
+
+def by_revenue(states: DataFrame) -> DataFrame:
+    return states.orderBy(F.col("faturamento").desc(), "sigla_estado")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from salesmart import schemas
 from salesmart.operators.ranking import top_ranked
-from salesmart.plans import dims, fact, lake, marts
+from salesmart.plans import dims, eager, fact, lake, marts
 from salesmart.sinks import tables
 from salesmart.sources import testdata
 from salesmart.sources.lake import read_lake
@@ -74,7 +74,7 @@ def busy_day(source) -> date:
 
 
 def test_day_filter_reaches_the_scan(source, star, busy_day):
-    plan = plan_of(fact._invoices(source, busy_day, busy_day))
+    plan = plan_of(fact.invoices(source, busy_day, busy_day))
     assert re.search(
         rf"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,{busy_day}.*"
         rf"LessThan\(o_orderdate,{busy_day + timedelta(days=1)}", plan)
@@ -96,7 +96,7 @@ def test_lines_of_a_day_are_not_shuffled(source, star, busy_day):
 def test_the_year_reaches_the_scans(source, build, monkeypatch):
     """The headers of a year are written first, from a scan with its bounds."""
     plans = []
-    monkeypatch.setattr(fact, "stage", lambda df, name: plans.append(plan_of(df)) or df)
+    monkeypatch.setattr(eager, "stage", lambda df, name: plans.append(plan_of(df)) or df)
     build(source, 2000)
     assert any(re.search(
         r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,2000-01-01.*"
