@@ -19,6 +19,7 @@ from salesmart.plans import dashboard, pipeline
 from salesmart.plans.pipeline import LOCALITY_MART, MART_SCHEMAS, MONTH_MART, Warehouse
 from salesmart.session import cluster_session
 from salesmart.sinks import jdbc as jdbc_sink
+from salesmart.sinks import lease
 from salesmart.sources import jdbc, tables
 from salesmart.sources.calendar import Calendar
 from salesmart.sources.lake import parse_years
@@ -45,9 +46,11 @@ def _arguments() -> argparse.ArgumentParser:
     load.add_argument("--mart-jdbc", help="JDBC URL that the marts are also written to")
     load.add_argument("--mart-user")
     load.add_argument("--mart-password-file")
-    load.add_argument("--fact-table", help="table there that loaded facts are appended to")
+    load.add_argument("--fact-table", help="table there whose loaded days are replaced")
     load.add_argument("--mart-writers", type=int, default=jdbc_sink.WRITERS,
                       help="connections that a mart is written over")
+    load.add_argument("--lease-hours", type=float, default=lease.EXPIRY / 3600,
+                      help="after which another run may take over from a dead one")
     load.add_argument("--calendar-first", type=date.fromisoformat, default=Calendar().first)
     load.add_argument("--calendar-last", type=date.fromisoformat, default=Calendar().last)
 
@@ -91,20 +94,48 @@ def _mart_sink(args: argparse.Namespace) -> pipeline.MartSink | None:
     return partial(_send_mart, connection, args.mart_writers)
 
 
-def _send_fact(rows: DataFrame, connection: jdbc.Connection, **options) -> None:
-    jdbc_sink.append(rows, connection=connection, **options)
+def _send_days(
+    connection: jdbc.Connection, table: str, writers: int, rows: DataFrame,
+    cleared: tuple[int, int] | None,
+) -> None:
+    jdbc_sink.replace_days(
+        rows, schemas.FATO_VENDA, connection, table, jdbc_sink.PAGE_FACT, writers, cleared)
+
+
+def _send_all(
+    connection: jdbc.Connection, table: str, writers: int, rows: DataFrame,
+    cleared: tuple[int, int] | None,
+) -> None:
+    jdbc_sink.replace_all(
+        rows, schemas.FATO_VENDA_BASE, connection, table, jdbc_sink.PAGE_FACT_BASE, writers)
 
 
 def _fact_sink(args: argparse.Namespace) -> pipeline.FactSink | None:
-    """Loaded facts are appended to a table of the mart database, if one is named."""
+    """The loaded days are replaced in a table of the mart database, if one is named; the
+    base mode replaces all its rows."""
     if not args.fact_table:
         return None
-    base = args.mode == "refresh"
-    return partial(
-        _send_fact, connection=_connection(args.mart_jdbc, args.mart_user, args.mart_password_file),
-        table=args.fact_table, writers=args.mart_writers,
-        page=jdbc_sink.PAGE_FACT_BASE if base else jdbc_sink.PAGE_FACT,
-        schema=schemas.FATO_VENDA_BASE if base else schemas.FATO_VENDA)
+    connection = _connection(args.mart_jdbc, args.mart_user, args.mart_password_file)
+    send = _send_all if args.mode == "refresh" else _send_days
+    return partial(send, connection, args.fact_table, args.mart_writers)
+
+
+def _checked(parser: argparse.ArgumentParser, argv: Sequence[str] | None) -> argparse.Namespace:
+    """Arguments, refused where an address lacks its user or a table its address."""
+    args = parser.parse_args(argv)
+    if args.mode == "dashboard":
+        return args
+    for kind in ("source", "mart"):
+        if getattr(args, f"{kind}_jdbc"):
+            lacking = [f"--{kind}-{what.replace('_', '-')}" for what in ("user", "password_file")
+                       if not getattr(args, f"{kind}_{what}")]
+            if lacking:
+                parser.error(f"--{kind}-jdbc needs {' and '.join(lacking)}")
+    if args.fact_table and not args.mart_jdbc:
+        parser.error("--fact-table needs --mart-jdbc")
+    if args.mode == "daily" and args.first and args.first > args.run_date:
+        parser.error("--first is after --run-date")
+    return args
 
 
 def datasets(monthly: DataFrame, locality: DataFrame, year: int | None) -> dict[str, DataFrame]:
@@ -122,7 +153,7 @@ def datasets(monthly: DataFrame, locality: DataFrame, year: int | None) -> dict[
 
 
 def main(argv: Sequence[str] | None = None) -> None:
-    args = _arguments().parse_args(argv)
+    args = _checked(_arguments(), argv)
     spark = cluster_session()
     warehouse = Warehouse(args.warehouse.rstrip("/"), args.lake)
     if args.mode == "dashboard":
@@ -140,12 +171,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     }
     src = _source(spark, args)
     try:
-        if args.mode == "daily":
-            report = pipeline.run_pipeline(
-                src, warehouse, args.run_date, first=args.first,
-                one_locality=args.one_locality, force_clear=args.force_clear, **common)
-        else:
-            report = pipeline.run_full_refresh(src, warehouse, args.years, **common)
+        with lease.held(spark, warehouse.root, args.lease_hours * 3600):
+            if args.mode == "daily":
+                report = pipeline.run_pipeline(
+                    src, warehouse, args.run_date, first=args.first,
+                    one_locality=args.one_locality, force_clear=args.force_clear, **common)
+            else:
+                report = pipeline.run_full_refresh(src, warehouse, args.years, **common)
     finally:
         staging.clear(spark)
     print("\n".join(report.lines()))

@@ -11,6 +11,7 @@ from salesmart.functions.numeric import attainment_stored, total_money, total_qu
 from salesmart.operators.keys import dense_keys
 from salesmart.sources.calendar import days
 
+MEASURES = ["quantidade", "valor_unitario", "valor_venda_real"]
 _MONTH = ["ano", "mes"]
 PLACE = ["ano", "sigla_estado", "estado", "cidade"]
 
@@ -43,21 +44,22 @@ def locality_sales(fact: DataFrame, tempo: DataFrame, localidade: DataFrame) ->
     the join with the locality dimension shuffles a row per key and year and not
     the fact, and a locality with a third of all sales is no hot key there.
     """
-    per_key = (
+    return locality_of_sums(
         fact.where(F.col("sk_localidade").isNotNull())
         .join(days(tempo, "sk_tempo", "ano"), "sk_tempo")
         .groupBy("ano", "sk_localidade")
-        .agg(
-            F.sum("quantidade").alias("qtd"),
-            F.sum("valor_venda_real").alias("real"),
-            F.sum("valor_unitario").alias("esperado"),
-        )
+        .agg(*[F.sum(c).alias(c) for c in MEASURES]),
+        localidade,
     )
+
+
+def locality_of_sums(per_key: DataFrame, localidade: DataFrame) -> DataFrame:
+    """Locality mart rows of sums per year and locality key."""
     places = localidade.select("sk_localidade", "sigla_estado", "estado", "cidade")
     return with_attainment(
         per_key.join(places.dropna(), "sk_localidade")
         .groupBy(*PLACE)
-        .agg(*totals("qtd", "real", "esperado"))
+        .agg(*totals("quantidade", "valor_venda_real", "valor_unitario"))
     )
 
 

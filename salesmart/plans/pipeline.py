@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from salesmart import schemas
 from salesmart.operators.keys import attach_keys, new_keys
 from salesmart.operators.staging import stage
-from salesmart.plans import dims, lake, marts, quality
+from salesmart.plans import dims, lake, late, marts, quality, sums
 from salesmart.plans.fact import sales_fact
 from salesmart.sinks import tables
 from salesmart.sources.calendar import Calendar, dim_tempo
@@ -22,6 +22,8 @@ from salesmart.sources.lake import read_lake
 from salesmart.sources.tables import SalesSource
 
 FACT = "fato_venda"
+DIGESTS = "digests_dia"
+QUALITY = "qualidade"
 MONTH_MART = "vendas_ano_mes"
 LOCALITY_MART = "vendas_localidade"
 
@@ -31,7 +33,8 @@ MART_SCHEMAS = {
 }
 
 MartSink = Callable[[DataFrame, str], None]
-FactSink = Callable[[DataFrame], None]
+#: Gets the loaded facts, and the range of day keys to empty even where nothing was loaded.
+FactSink = Callable[[DataFrame, tuple[int, int] | None], None]
 
 
 @dataclass(frozen=True)
@@ -187,6 +190,71 @@ def clear_days_without_sales(
     tables.drop_fact_days(spark, warehouse.table(FACT), {row[day] for row in stored} - loaded)
 
 
+def load_digests(
+    src: SalesSource, warehouse: Warehouse, first: date, last: date, force_clear: bool
+) -> None:
+    """Digests of the loaded days as the source has them now. A day without sales whose
+    stored rows were left alone keeps its digest, so that it still shows as changed."""
+    path, day = warehouse.table(DIGESTS), schemas.STORE_DAY.name
+    written = tables.replace_partitions(
+        late.day_digests(src, first, last), path, schemas.DAY_DIGESTS, day)
+    if force_clear:
+        stored = tables.partition_values(src.spark, path, day)
+        tables.drop_partitions(src.spark, path, day, {
+            value for value in stored if str(first) <= value <= str(last)} - written)
+
+
+def late_days(
+    src: SalesSource, warehouse: Warehouse, first: date | None, last: date
+) -> DataFrame:
+    """Days of first..last whose source rows are not those that were loaded."""
+    day = F.col(schemas.STORE_DAY.name)
+    stored = tables.read_if_present(src.spark, warehouse.table(DIGESTS), schemas.DAY_DIGESTS)
+    if stored is None:
+        stored = src.spark.createDataFrame([], schemas.DAY_DIGESTS)
+    stored = stored.where(day <= F.lit(last))
+    if first is not None:
+        stored = stored.where(day >= F.lit(first))
+    return late.changed_days(late.day_digests(src, first, last), stored)
+
+
+def run_late_days(
+    src: SalesSource, warehouse: Warehouse, run_date: date, run_ts: datetime,
+    since: date | None = None, **options,
+) -> list[RunReport]:
+    """Load again the days up to the run date that changed in the source, a run for each
+    range of consecutive days. ``since`` bounds how far back the source is read."""
+    # At most one row per day.
+    changed = [row[0] for row in late_days(src, warehouse, since, run_date).collect()]
+    return [
+        run_pipeline(src, warehouse, last, run_ts, first=first, force_clear=True, **options)
+        for first, last in late.in_ranges(changed)
+    ]
+
+
+def check_run(
+    spark: SparkSession, warehouse: Warehouse, first: date, last: date, run_ts: datetime
+) -> None:
+    """Facts of first..last without a dimension row, and totals of sums against marts.
+
+    The findings are appended to the quality table before a wrong one fails the run. Totals
+    are taken from the days' sums, so the fact is not read again.
+    """
+    star = stored_star(spark, warehouse, MAIN_DIMENSIONS)
+    day = F.col(schemas.STORE_DAY.name)
+    loaded = stored_fact(spark, warehouse).where(day.between(F.lit(first), F.lit(last)))
+    report = stage(quality.run_report(
+        quality.referential_integrity(loaded, star),
+        quality.reconciliation(
+            sums.stored_days(spark, warehouse.root), star,
+            stored_mart(spark, warehouse, MONTH_MART), stored_mart(spark, warehouse, LOCALITY_MART)),
+    ), QUALITY)
+    tables.append(marts.stamped(report, run_ts), warehouse.table(QUALITY), schemas.QUALITY)
+    wrong = quality.failures(report.collect())
+    if wrong:
+        raise quality.ValidationError("; ".join(wrong))
+
+
 def load_lake_months(
     spark: SparkSession, warehouse: Warehouse, first: date, last: date
 ) -> int:
@@ -234,12 +302,11 @@ def _report_keys(spark: SparkSession, warehouse: Warehouse, first: date, last: d
 def load_marts(
     spark: SparkSession, warehouse: Warehouse, run_ts: datetime, sink: MartSink | None = None
 ) -> dict[str, int]:
-    """Rebuild both marts under one audit timestamp."""
+    """Both marts from the stored sums, under one audit timestamp."""
     star = stored_star(spark, warehouse, MAIN_DIMENSIONS)
-    fact = stored_fact(spark, warehouse)
-    monthly = marts.mart_ano_mes(marts.monthly_sales(fact, star.tempo))
+    monthly = marts.mart_ano_mes(sums.monthly_sales(spark, warehouse.root))
     locality = marts.mart_localidade(
-        marts.locality_sales(fact, star.tempo, star.localidade)
+        sums.locality_sales(spark, warehouse.root, star.localidade)
     )
     return {
         name: _write_mart(mart, warehouse, name, run_ts, sink)
@@ -279,31 +346,44 @@ def run_pipeline(
     mart_sink: MartSink | None = None,
     fact_sink: FactSink | None = None,
 ) -> RunReport:
-    """Dimensions, fact day, lake month, marts, validation.
+    """Dimensions, fact day, sums, lake month, marts, validation, checks.
 
-    ``fact_sink`` gets the facts stored for the loaded days.
+    ``fact_sink`` gets the facts stored for the loaded days once the run is validated.
     ``first`` loads the days first..run_date instead of one. The rows stored for a
     day that now has no sales are left alone unless ``force_clear`` is set. One run at a
-    time: two could give out the same key.
+    time: two could give out the same key, so callers hold the warehouse's lease.
     """
     spark = src.spark
     first = first or run_date
     calendar = settled_calendar(spark, warehouse, calendar, run_date)
     report = RunReport()
     report.counts.update(load_dimensions(src, warehouse, calendar, MAIN_DIMENSIONS))
+    sums.note(spark, warehouse.root, first, run_date)
     report.counts[FACT], loaded = load_fact(src, warehouse, first, run_date, one_locality)
     if force_clear:
         clear_days_without_sales(spark, warehouse, first, run_date, loaded)
-    if fact_sink is not None and loaded:
-        day = F.col(schemas.STORE_DAY.name)
-        fact_sink(stored_fact(spark, warehouse).where(day.between(F.lit(first), F.lit(run_date))))
+    load_digests(src, warehouse, first, run_date, force_clear)
+    sums.refresh(spark, warehouse.root, stored_fact(spark, warehouse))
     report.missing = _report_keys(spark, warehouse, first, run_date, calendar)
     report.counts["lake"] = load_lake_months(spark, warehouse, first, run_date)
     report.counts.update(load_marts(spark, warehouse, run_ts, mart_sink))
     quality.validate(report.counts)
+    check_run(spark, warehouse, first, run_date, run_ts)
+    if fact_sink is not None and (loaded or force_clear):
+        day = F.col(schemas.STORE_DAY.name)
+        fact_sink(stored_fact(spark, warehouse).where(day.between(F.lit(first), F.lit(run_date))),
+                  _day_keys(calendar, first, run_date) if force_clear else None)
     return report
 
 
+def _day_keys(calendar: Calendar, first: date, last: date) -> tuple[int, int] | None:
+    """Smallest and largest day key of first..last; a day's key is its position."""
+    low, high = max(first, calendar.first), min(last, calendar.last)
+    if low > high:
+        return None
+    return (low - calendar.first).days + 1, (high - calendar.first).days + 1
+
+
 def run_full_refresh(
     src: SalesSource,
     warehouse: Warehouse,
@@ -328,8 +408,6 @@ def run_full_refresh(
     path = warehouse.table(FACT)
     report.counts[FACT] = tables.write_fact_full(sales_fact(src, star), path, schema)
     fact = tables.read_table(spark, path, schema)
-    if fact_sink is not None:
-        fact_sink(fact)
     report.counts["lake"] = tables.write_lake_full(
         lake.lake_base_rows(fact, star.tempo), warehouse.lake, schemas.LAKE_BASE
     )
@@ -338,6 +416,8 @@ def run_full_refresh(
     report.counts[MONTH_MART] = _write_mart(
         monthly, warehouse, MONTH_MART, run_ts, mart_sink
     )
+    if fact_sink is not None:
+        fact_sink(fact, None)
     return report
 
 

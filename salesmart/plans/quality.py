@@ -30,7 +30,7 @@ REQUIRED_TABLES = ("dim_cliente", "dim_localidade", "vendas_ano_mes", "vendas_lo
 
 
 class ValidationError(AssertionError):
-    """A run left required tables empty."""
+    """A run left required tables empty, facts without a dimension row, or a wrong mart."""
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -66,7 +66,7 @@ def undated(fact: DataFrame, first: date) -> int:
 
 def overflow(lines: DataFrame, products: DataFrame, limit: Decimal) -> DataFrame:
     """Lines whose discount in percent of the charged price is ``limit`` or more either
-    way, worst first per product: how many, and the largest share.
+    way: how many per product, and the largest share.
 
     Storing such a line with a limit of 1000 fails the whole run, by design; this names
     the products first. A share that fits no decimal at all counts too.
@@ -183,3 +183,34 @@ def _mart_total(mart: DataFrame, name: str) -> DataFrame:
     return mart.agg(
         *_measures("qtde_vendida", "valor_total_real", "valor_total_esperado")
     ).select(F.lit(name).alias("cause"), "qtde", "valor_real", "valor_esperado")
+
+
+def run_report(orphans: DataFrame, totals: DataFrame) -> DataFrame:
+    """Both checks as rows of one table: orphans per dimension, differences per item."""
+    none = F.lit(None)
+    return orphans.select(
+        F.lit(REFERENCES).alias("verificacao"), F.col("dimension").alias("item"),
+        F.col("orphan_keys").alias("chaves"), F.col("orphan_rows").alias("linhas"),
+        none.cast(MONEY).alias("valor_real"), none.cast(MONEY).alias("valor_esperado"),
+    ).unionByName(totals.select(
+        F.lit(TOTALS).alias("verificacao"), "item", none.cast("long").alias("chaves"),
+        F.col("qtde").alias("linhas"), "valor_real", "valor_esperado"))
+
+
+REFERENCES, TOTALS = "referencias", "totais"
+
+# The totals that no cause explains, and the mart that is then stale or wrong.
+_UNEXPLAINED = {"unexplained_month": "vendas_ano_mes", "unexplained_locality": "vendas_localidade"}
+
+
+def failures(report: list) -> list[str]:
+    """What is wrong by the rows of a run's report, of which there are a few."""
+    found = []
+    for row in report:
+        if row["verificacao"] == REFERENCES and row["chaves"]:
+            found.append(f"{row['item']}: {row['linhas']} facts point to {row['chaves']} missing rows")
+        wrong = _UNEXPLAINED.get(row["item"])
+        if row["verificacao"] == TOTALS and wrong and any(
+                row[c] for c in ("linhas", "valor_real", "valor_esperado")):
+            found.append(f"{wrong}: differs from the facts by {row['valor_real']} of revenue")
+    return sorted(found)

@@ -95,6 +95,25 @@ STORE_DAY = _field("data_venda", T.DateType())
 FATO_VENDA_STORE = T.StructType([*FATO_VENDA.fields, STORE_DAY])
 FATO_VENDA_BASE_STORE = T.StructType([*FATO_VENDA_BASE.fields, STORE_DAY])
 
+# --- sums beside the fact ---------------------------------------------------
+
+_SUM = T.DecimalType(28, 2)
+_SUMS = [_key("quantidade"), _field("valor_unitario", _SUM), _field("valor_venda_real", _SUM)]
+DAY_SUMS = T.StructType([_key("sk_tempo"), _key("sk_localidade"), *_SUMS, STORE_DAY])
+YEAR_SUMS = T.StructType([_key("sk_localidade"), *_SUMS, _int("ano")])
+MONTH_SUMS = T.StructType([_int("mes"), *_SUMS, _int("ano")])
+
+# Rows of a day in the source when it was loaded: how many, and a digest of them.
+DAY_DIGESTS = T.StructType([
+    _key("linhas"), _field("digest", T.DecimalType(38, 0)), STORE_DAY,
+])
+
+# What a run found: one row per check and item.
+QUALITY = T.StructType([
+    _field("data_atualizacao", T.TimestampType()), _text("verificacao", 40), _text("item", 40),
+    _key("chaves"), _key("linhas"), _field("valor_real", _SUM), _field("valor_esperado", _SUM),
+])
+
 # --- lake -------------------------------------------------------------------
 
 _LAKE_PARTITIONS = [_int("ano"), _int("mes")]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.schemas import STORE_DAY, conform
+from salesmart.sinks import versions
 
 LAKE_PARTITIONS = ("ano", "mes")
 _COUNT, _DAYS = "n_rows", "days"
@@ -49,11 +50,20 @@ def _gathered(df: DataFrame, gather: bool, *columns: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """A stored table; of a table with versions the current one."""
+    return spark.read.schema(schema).parquet(versions.current(spark, path))
 
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    return read_table(spark, path, schema) if exists(spark, path) else None
+    """None also where a first version was begun but never committed."""
+    if not exists(spark, path):
+        return None
+    folder, files = _folder(spark, path)
+    begun = [s.getPath().getName() for s in files.listStatus(folder)]
+    if not versions.is_versioned(spark, path) and begun and all(
+            name == versions.MANIFEST or name.startswith("data-") for name in begun):
+        return None
+    return read_table(spark, path, schema)
 
 
 def read_fact_months(
@@ -65,6 +75,7 @@ def read_fact_months(
         low, high = first.replace(day=1), (last.replace(day=28) + timedelta(days=4)).replace(day=1)
         day = F.col(STORE_DAY.name)
         return read_table(spark, path, schema).where((day >= F.lit(low)) & (day < F.lit(high)))
+    path = versions.current(spark, path)
     folders = f"{path}/{STORE_DAY.name}={first:%Y-%m}-*"
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(folders)
@@ -74,13 +85,40 @@ def read_fact_months(
         return spark.createDataFrame([], schema)
 
 
+def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Write a new version of a table and make it the current one."""
+    spark = rows.sparkSession
+    folder, number = versions.next_version(spark, path)
+    rows.write.partitionBy(*partitions).parquet(folder)
+    versions.commit(spark, path, folder, number)
+    versions.drop_old(spark, path)
+
+
 def write_full(df: DataFrame, path: str, schema: T.StructType) -> int:
-    """Full refresh of a table; returns the number of rows written."""
+    """Full refresh of a table in one step; returns the number of rows written.
+
+    Until the new rows are all there, readers see the rows before; ``df`` may even be read
+    from the table itself.
+    """
     rows, seen = _counted(conform(df, schema))
-    rows.write.mode("overwrite").parquet(path)
+    _replace(rows, path)
     return seen.get[_COUNT]
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty file; one that is there already stays."""
+    file, files = _folder(spark, path)
+    files.mkdirs(file.getParent())
+    files.createNewFile(file)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(folder))
+
+
 def append(df: DataFrame, path: str, schema: T.StructType) -> int:
     rows, seen = _counted(conform(df, schema))
     rows.write.mode("append").parquet(path)
@@ -96,9 +134,9 @@ def _store_ready(fact: DataFrame, schema: T.StructType, gather: bool) -> DataFra
 
 
 def write_fact_full(fact: DataFrame, path: str, schema: T.StructType) -> int:
-    """Full refresh of the fact store, one folder per sale date."""
+    """Full refresh of the fact store in one step, one folder per sale date."""
     rows, seen = _counted(_store_ready(fact, schema, gather=True))
-    rows.write.mode("overwrite").partitionBy(STORE_DAY.name).parquet(path)
+    _replace(rows, path, STORE_DAY.name)
     return seen.get[_COUNT]
 
 
@@ -118,18 +156,45 @@ def replace_fact_days(
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(STORE_DAY.name)
-        .parquet(path)
+        .parquet(versions.current(fact.sparkSession, path))
     )
     return seen.get[_COUNT], set(seen.get[_DAYS] or ())
 
 
 def drop_fact_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
     """Leave days of the fact store without rows: folders are removed, no job is run."""
-    for day in days:
-        folder, files = _folder(spark, f"{path}/{STORE_DAY.name}={day.isoformat()}")
+    drop_partitions(spark, versions.current(spark, path), STORE_DAY.name, days)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable) -> None:
+    for value in values:
+        folder, files = _folder(spark, f"{path}/{column}={value}")
         files.delete(folder, True)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> set[str]:
+    """Values of the folders of a table that is partitioned by one column."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return set()
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return {name.partition("=")[2] for name in names if name.startswith(f"{column}=")}
+
+
+def replace_partitions(
+    rows: DataFrame, path: str, schema: T.StructType, column: str
+) -> set[str]:
+    """Replace the values of a partition column that ``rows`` holds; returns these values."""
+    seen = Observation()
+    rows = _gathered(conform(rows, schema), True, column).observe(
+        seen, F.collect_set(F.col(column).cast("string")).alias(_DAYS))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    )
+    return set(seen.get[_DAYS] or ())
+
+
 def _lake_writer(rows: DataFrame):
     return (
         rows.write.mode("overwrite")

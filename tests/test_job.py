@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import time
 
 import pytest
 
-from salesmart import job, schemas
+from salesmart import job
 from salesmart.operators import staging
 from salesmart.plans.quality import ValidationError
+from salesmart.sinks import lease
 from salesmart.sources.tables import SOURCE_SCHEMAS, short_name
 
 
@@ -42,17 +44,49 @@ def test_staged_tables_go_with_the_job(spark, folder, tmp_path, monkeypatch):
         assert scratch.is_dir() and not list(scratch.iterdir())
 
 
-def test_facts_are_sent_where_asked(tmp_path):
+@pytest.mark.parametrize("mode, kind", [("daily", "_send_days"), ("refresh", "_send_all")])
+def test_facts_are_sent_where_asked(tmp_path, mode, kind):
     (tmp_path / "pw").write_text("secret")
-    asked = ["daily", "--source", "s", "--warehouse", "w", "--run-date", "2024-01-01",
+    asked = [mode, "--source", "s", "--warehouse", "w",
+             *(["--run-date", "2024-01-01"] if mode == "daily" else []),
              "--mart-jdbc", "jdbc:postgresql://h/db", "--mart-user", "u",
              "--mart-password-file", str(tmp_path / "pw")]
     parse = job._arguments().parse_args
     assert job._fact_sink(parse(asked)) is None
     sink = job._fact_sink(parse([*asked, "--fact-table", "dw.fato_venda"]))
-    assert sink.keywords == {
-        "table": "dw.fato_venda", "page": 5000, "schema": schemas.FATO_VENDA, "writers": 16,
-        "connection": sink.keywords["connection"]}
+    assert sink.func is getattr(job, kind) and sink.args[1:] == ("dw.fato_venda", 16)
+
+
+@pytest.mark.parametrize("more, said", [
+    (["--fact-table", "t"], "--fact-table needs --mart-jdbc"),
+    (["--mart-jdbc", "jdbc:x"], "needs --mart-user and --mart-password-file"),
+    (["--mart-jdbc", "jdbc:x", "--mart-user", "u"], "needs --mart-password-file"),
+    (["--first", "2024-01-02"], "--first is after --run-date"),
+])
+def test_arguments_that_lack_others_are_refused(capsys, more, said):
+    with pytest.raises(SystemExit):
+        job.main(["daily", "--source", "s", "--warehouse", "w", "--run-date", "2024-01-01", *more])
+    assert said in capsys.readouterr().err
+
+
+def test_a_second_run_is_refused_and_a_dead_one_is_replaced(spark, folder, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    run = ["daily", "--source", folder, "--warehouse", warehouse, "--run-date", "2024-02-07"]
+    owner = lease.take(spark, warehouse)
+    with pytest.raises(lease.LeaseError, match=owner):
+        job.main(run)
+    assert not (tmp_path / "warehouse" / "dim_tempo").exists()
+    lease.give_back(spark, warehouse, "another")
+    with pytest.raises(lease.LeaseError):
+        lease.take(spark, warehouse, now=lambda: time.time() + lease.EXPIRY - 60)
+    # The holder died: its time is over.
+    later = lease.take(spark, warehouse, now=lambda: time.time() + lease.EXPIRY + 60)
+    lease.give_back(spark, warehouse, owner)
+    with pytest.raises(lease.LeaseError, match=later):
+        job.main(run)
+    lease.give_back(spark, warehouse, later)
+    job.main(run)
+    assert [p.name for p in (tmp_path / "warehouse").iterdir() if "lease" in p.name] == []
 
 
 def test_refresh(spark, folder, tmp_path, capsys):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from salesmart import schemas
 from salesmart.operators import staging
 from salesmart.plans import dims, fact, lake
-from salesmart.sinks import tables
+from salesmart.sinks import tables, versions
 from salesmart.sources import tables as source_tables
 from salesmart.sources.calendar import Calendar
 from salesmart.sources.lake import parse_years, read_lake
@@ -42,8 +42,8 @@ def stored(spark, path):
     return rows(tables.read_table(spark, path, STORE))
 
 
-def test_fact_store_has_one_folder_per_day(store):
-    days = {p.name for p in Path(store).iterdir() if p.is_dir()}
+def test_fact_store_has_one_folder_per_day(spark, store):
+    days = {p.name for p in Path(versions.current(spark, store)).iterdir() if p.is_dir()}
     assert days == {
         "data_venda=2014-12-31", "data_venda=2024-01-10", "data_venda=2024-02-05",
         "data_venda=2024-02-06", "data_venda=2024-02-07"}

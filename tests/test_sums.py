@@ -1,0 +1,153 @@
+"""Marts kept by difference, late days, and checks inside the run."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart import schemas
+from salesmart.plans import late, marts, pipeline, quality, sums
+from salesmart.plans.pipeline import LOCALITY_MART, MONTH_MART, Warehouse
+from salesmart.sinks import tables
+from tests import edge
+from tests.edge import rows
+
+RUN_TS = datetime(2024, 2, 8, 6, 30)
+FIRST, LAST = date(2014, 12, 31), date(2024, 2, 7)
+
+
+@pytest.fixture
+def warehouse(tmp_path):
+    return Warehouse(str(tmp_path / "warehouse"))
+
+
+def rebuilt(spark, warehouse):
+    """Both marts from the whole stored fact."""
+    star = pipeline.stored_star(spark, warehouse, pipeline.MAIN_DIMENSIONS)
+    fact = pipeline.stored_fact(spark, warehouse)
+    monthly = marts.mart_ano_mes(marts.monthly_sales(fact, star.tempo))
+    locality = marts.mart_localidade(marts.locality_sales(fact, star.tempo, star.localidade))
+    return rows(monthly), rows(locality)
+
+
+def kept(spark, warehouse):
+    return tuple(rows(pipeline.stored_mart(spark, warehouse, mart).drop("data_atualizacao"))
+                 for mart in (MONTH_MART, LOCALITY_MART))
+
+
+def shop(spark, draw, invoices):
+    """A source with these (id, day) invoices of a few buyers; one has no address left."""
+    sold = [(i, datetime(day.year, day.month, day.day, 9), 1 + i % 5, 6) for i, day in invoices]
+    lines = [(i, 1 + i % 3, draw.randrange(1, 9), Decimal("2.50"), Decimal(draw.randrange(1, 900)) / 100)
+             for i, _ in invoices for _ in range(1 + i % 3)]
+    keep = draw.randrange(3, 6)
+    return edge.source(spark, nota_fiscal=sold, item_nota_fiscal=lines,
+                       endereco=edge.ROWS["geral.endereco"][:keep])
+
+
+def test_marts_by_difference_equal_a_rebuild(spark, warehouse):
+    draw = random.Random(2)
+    days = [date(2014, 12, 30), date(2023, 12, 31), date(2024, 1, 1), date(2024, 1, 31),
+            date(2024, 2, 1), date(2025, 6, 1)]
+    invoices = [(i, draw.choice(days)) for i in range(25)]
+    pipeline.run_pipeline(shop(spark, draw, invoices), warehouse, days[-1], RUN_TS, first=days[0])
+    assert kept(spark, warehouse) == rebuilt(spark, warehouse)
+    for step in range(3):
+        # Invoices come, go and move; then a day or a range is loaded again.
+        invoices = [(i, draw.choice(days) if draw.random() < 0.3 else d) for i, d in invoices
+                    if draw.random() < 0.8] + [(100 + step * 10 + k, draw.choice(days)) for k in range(3)]
+        first, last = sorted(draw.choices(days, k=2))
+        pipeline.run_pipeline(shop(spark, draw, invoices), warehouse, last, RUN_TS,
+                              first=first, force_clear=draw.random() < 0.7)
+        assert kept(spark, warehouse) == rebuilt(spark, warehouse)
+
+
+def test_a_run_that_died_after_the_load_is_caught_up(spark, edge_source, warehouse, monkeypatch):
+    pipeline.run_pipeline(edge_source, warehouse, date(2024, 1, 10), RUN_TS)
+
+    def died(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(pipeline, "load_digests", died)
+        pipeline.run_pipeline(edge_source, warehouse, date(2024, 2, 5), RUN_TS)
+    assert sums.noted(spark, warehouse.root) == [(date(2024, 2, 5), date(2024, 2, 5))]
+    pipeline.run_pipeline(edge_source, warehouse, date(2024, 2, 6), RUN_TS)
+    assert sums.noted(spark, warehouse.root) == []
+    assert kept(spark, warehouse) == rebuilt(spark, warehouse)
+    assert {r[2] for r in kept(spark, warehouse)[0]} == {1, 2}
+
+
+def test_a_warehouse_without_sums_gets_them(spark, edge_source, warehouse):
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS, first=FIRST)
+    for name in (sums.DAY_SUMS, sums.YEAR_SUMS, sums.MONTH_SUMS):
+        tables.remove(spark, warehouse.table(name))
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS)
+    assert kept(spark, warehouse) == rebuilt(spark, warehouse)
+
+
+def test_other_days_are_not_read(spark, edge_source, warehouse, monkeypatch):
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS, first=FIRST)
+    asked = []
+    original = sums.day_sums
+    monkeypatch.setattr(sums, "day_sums", lambda fact: asked.append(fact) or original(fact))
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS)
+    assert [rows(f.select("data_venda").distinct()) for f in asked] == [[(LAST,)]]
+    plan = asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-02-07" in plan.split("PartitionFilters")[1]
+
+
+# --- late days -----------------------------------------------------------------
+
+def test_late_invoices_are_found_and_loaded(spark, edge_source, warehouse):
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS, first=FIRST)
+    assert pipeline.late_days(edge_source, warehouse, None, LAST).isEmpty()
+    # A back-dated invoice, a corrected line, another seller, an invoice that was cancelled.
+    invoices = [r for r in edge.ROWS["vendas.nota_fiscal"] if r[0] != 103]
+    invoices = [(*r[:3], 7) if r[0] == 102 else r for r in invoices]
+    invoices.append((500, datetime(2024, 1, 20, 10), 1, 6))
+    lines = [(*r[:2], r[2] + 1, *r[3:]) if r[0] == 100 else r for r in edge.ROWS["vendas.item_nota_fiscal"]]
+    lines.append((500, *lines[0][1:]))
+    changed = edge.source(spark, nota_fiscal=invoices, item_nota_fiscal=lines)
+    found = {r[0]: r[1:] for r in rows(pipeline.late_days(changed, warehouse, None, LAST))}
+    assert set(found) == {date(2024, 1, 10), date(2024, 1, 20), date(2024, 2, 5), date(2024, 2, 6)}
+    assert found[date(2024, 1, 20)] == (1, 0) and found[date(2024, 2, 6)][0] == 0
+    assert len(rows(pipeline.late_days(changed, warehouse, date(2024, 2, 1), LAST))) == 2
+    reports = pipeline.run_late_days(changed, warehouse, LAST, RUN_TS)
+    assert len(reports) == 3  # the 5th and 6th of February are one range
+    assert pipeline.late_days(changed, warehouse, None, LAST).isEmpty()
+    fresh = Warehouse(warehouse.root + "-fresh")
+    pipeline.run_pipeline(changed, fresh, LAST, RUN_TS, first=FIRST)
+    assert rows(pipeline.stored_fact(spark, warehouse).select("data_venda", "quantidade")) == rows(
+        pipeline.stored_fact(spark, fresh).select("data_venda", "quantidade"))
+    assert kept(spark, warehouse) == rebuilt(spark, warehouse)
+
+
+def test_ranges_of_days():
+    days = [date(2024, 2, 28) + timedelta(days=k) for k in (0, 1, 2, 5, 7, 8)]
+    assert late.in_ranges(days[::-1]) == [(days[0], days[2]), (days[3], days[3]), (days[4], days[5])]
+    assert late.in_ranges([]) == []
+
+
+# --- checks inside the run -------------------------------------------------------
+
+def test_a_damaged_dimension_and_a_stale_mart_fail_by_name(spark, edge_source, warehouse):
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS, first=FIRST)
+    pipeline.check_run(spark, warehouse, FIRST, LAST, RUN_TS)
+    products = tables.read_table(spark, warehouse.table("dim_produto"), schemas.DIM_PRODUTO)
+    tables.write_full(products.where("sk_produto > 1"), warehouse.table("dim_produto"), schemas.DIM_PRODUTO)
+    mart = pipeline.stored_mart(spark, warehouse, MONTH_MART)
+    tables.write_full(mart.withColumn("valor_total_real", F.col("valor_total_real") + 1),
+                      warehouse.table(MONTH_MART), schemas.MART_ANO_MES)
+    with pytest.raises(quality.ValidationError, match="dim_produto: .*vendas_ano_mes: .*vendas_localidade"):
+        pipeline.check_run(spark, warehouse, FIRST, LAST, datetime(2024, 2, 9))
+    stored = tables.read_table(spark, warehouse.table(pipeline.QUALITY), schemas.QUALITY)
+    assert stored.select("data_atualizacao").distinct().count() == 2
+    assert stored.where("verificacao = 'referencias' and chaves > 0").count() == 1
+    # Only the loaded days are looked at for orphans.
+    pipeline.run_pipeline(edge_source, warehouse, LAST, RUN_TS)
+    pipeline.check_run(spark, warehouse, LAST, LAST, RUN_TS)
