@@ -248,9 +248,12 @@ def _pairs(marked: DataFrame, groups: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("source", "p", "zero"))).alias("path"))
         .groupBy("lang", "path").agg(F.count("*").alias("times")).where(F.size("path") > 1)
     )
+    # Dealt by where paths begin, and a common beginning by hash: of whole paths the sample
+    # that sets the ranges would be long.
     both = (
-        paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
-        .mapInArrow(_corrections, _PATHS)
+        paths.withColumn("start", F.slice("path", 1, 2)).withColumn("spread", F.xxhash64("path"))
+        .repartitionByRange("lang", "start", "spread").select("lang", "path", "times")
+        .sortWithinPartitions("lang", "path").mapInArrow(_corrections, _PATHS)
         .select("lang", "source", "item", F.expr(
             exact.format("high") + f" * cast({1 << LIMB} as decimal(10,0)) + "
             + exact.format("low")).alias("value"))
