@@ -244,12 +244,17 @@ def paths(scores: np.ndarray, cut: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def label(texts: list[str], model: Model) -> list[tuple[str, float, list[dict]]]:
-    """Language, its share of the letters, and spans (lang, start, end) of each text."""
+    """Language, its share of the letters, and spans (lang, start, end) of each text.
+
+    Letters of a script that the language does not use count for no language, so a text
+    in an unknown script has score 0.
+    """
     words = words_of(texts, model.settings.buckets)
     if not model.languages:
         return [(UNDETERMINED, 0.0, [])] * len(texts)
     path = paths(word_scores(words, model), words.cut, model.settings.penalty)
     letters = words.ends - words.starts
+    known = letters * model.candidates[words.script, path]
     k = len(model.languages)
     out = []
     for i in range(len(texts)):
@@ -258,11 +263,11 @@ def label(texts: list[str], model: Model) -> list[tuple[str, float, list[dict]]]
             out.append((UNDETERMINED, 0.0, []))
             continue
         own = path[first:last]
-        share = np.bincount(own, letters[first:last], k)
+        share = np.bincount(own, known[first:last], k)
         turns = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         ends = np.r_[turns[1:], last - first] - 1
         top = int(share.argmax())
-        out.append((model.languages[top], float(share[top] / share.sum()),
+        out.append((model.languages[top], float(share[top] / letters[first:last].sum()),
                     [{"lang": model.languages[own[a]],
                       "start": int(words.starts[first + a] - words.offset[i]),
                       "end": int(words.ends[first + b] - words.offset[i])}
@@ -279,7 +284,8 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id",
 
     ``spans`` cover the words; positions are code points, end exclusive. A null text, one
     without a letter, and any text under a model without languages is ``und`` with score
-    0 and no span. Ties go to the language that sorts first. Repeated rows and null ids
+    0 and no span. Ties, and texts in a script that no language uses (score 0), go to the
+    language that sorts first. Repeated rows and null ids
     are kept; other columns are not read; texts of any length are labelled whole.
     """
     kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
