@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -95,8 +96,8 @@ def base(text: str | None) -> tuple:
     text = text or ""
     words = text.encode().split()
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)} \
-        if len(words) < 500 else set(range(len(words)))
+    times = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
     lines = [x for x in text.split("\n") if x.strip(" \t\n\v\f\r")]
     return (len(words), sum(len(w.decode()) for w in words), sum(text.count(c) for c in "#*$%&|<>"),
             len(lines) - len(set(lines)), len(repeated))
