@@ -57,6 +57,11 @@ def test_a_script_narrows_the_candidates(model):
     assert scores[0].argmax() == ru and scores[1].argmin() == ru
 
 
+def test_unknown_scripts_score_nothing(model):
+    found = language_id.label(["ภาษาไทย", "ภาษา дом", "дом вода"], model)
+    assert [f[1] for f in found] == [0.0, 3 / 7, 1.0] and found[1][0] == "ru"
+
+
 def best_path(scores, penalty):
     """All paths, tried."""
     n, k = scores.shape
@@ -197,6 +202,37 @@ def test_clean_lines_stay_clean(crf):
         assert pii.find([text], crf)[0] == []
 
 
+@pytest.mark.parametrize("text, kind, value", [
+    ("password: hunterhunter", "secret", "hunterhunter"),
+    ("password=correcthorse ok", "secret", "password=correcthorse"),
+    ("key: QwErTyUiOpAsDfGhJkLzXcVb", "secret", "QwErTyUiOpAsDfGhJkLzXcVb"),
+    ("john at example dot com", "email", "john at example dot com"),
+    ("write to john (at) example.com today", "email", "john (at) example.com"),
+    ("call 555 123 4567 now", "phone", "555 123 4567"),
+])
+def test_words_without_digits_and_groups_are_found(crf, text, kind, value):
+    start = text.index(value)
+    assert pii.find([text], crf)[0] == [(kind, start, start + len(value), False)]
+
+
+def test_prose_around_cues_stays_clean(crf):
+    for text in ("the key to the house is lost", "The key: patience and time.", "token bucket",
+                 "your password must be changed", "password required to log in",
+                 "the dot product of two vectors", "a polka dot dress at home",
+                 "getElementsByClassNameFromDocument is slow", "JavaScriptCoreFramework is old"):
+        assert pii.find([text], crf)[0] == []
+
+
+def test_runs_hold_whole_neighbours():
+    far = "x" * 100
+    text = f"{far} a1 {far}\n b2\nkey\nvalue"
+    runs = pii.marked_runs(text)
+    assert [[text[w[0] : w[1]] for w in run] for run in runs] == [["a1"], ["b2"], ["key"]]
+    assert runs[0][0][2:] == ((far, ""), (far, "b2"))
+    assert pii.marked_runs("") == [] and pii.marked_runs(" \n\t") == []
+    assert len(pii.marked_runs("1 " * 20_000 + " " * 100_000 + "key dot @")[0]) == 20_003
+
+
 def test_digests_are_those_of_the_patterns(spark, crf):
     texts = ["a@b.cd and x.y@z.org, 1.2.3.4", "+1 (826) 555-4081 4111 1111 1111 1111",
              'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "é 🎉 a@b.cd", "nothing"]
