@@ -13,11 +13,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter. The others
-    stay, mixed ones too; a missing ``lang`` is filled in."""
+    """Documents without a language go: null texts, texts without a letter, and those in a
+    script that no learned language uses. The others stay, mixed ones too; a missing
+    ``lang`` is filled in."""
     bound_batches(spark)
     found = language_id.identify(docs, language_id.train_on_folds(docs), carry=COLUMNS[1:])
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED) \
+    return found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") > 0)) \
         .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
