@@ -16,6 +16,7 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,12 @@ from llm import common
 from salesmart.operators.staging import stage
 
 
+#: Steps a unit in which vectors and projections are rounded before they are hashed.
+GRID = 2.0**20
+#: Links that wait at most, but for those of one cell, until their vectors' codes are computed.
+WAITING = 200_000
+
+
 @dataclass(frozen=True)
 class Lattice:
     """threshold: least cosine of a link. tables: independent projections. probes:
@@ -66,6 +73,14 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
     return np.where(nearer[:, None], whole, half)
 
 
+@lru_cache(maxsize=4)
+def _projections(lattice: Lattice, size: int) -> np.ndarray:
+    """[size, 8 * tables]: the scaled projections of all tables, in whole steps of the grid."""
+    draws = [np.random.default_rng([lattice.seed, t, size]).standard_normal((size, 8))
+             for t in range(lattice.tables)]
+    return np.rint(np.hstack(draws) * (lattice.scale * GRID))
+
+
 def _code(points: np.ndarray, table: int) -> np.ndarray:
     out = np.full(len(points), table + 1, np.uint64)
     doubled = np.rint(2 * points).astype(np.int64).view(np.uint64)
@@ -79,9 +94,10 @@ def cells(unit: np.ndarray, lattice: Lattice) -> np.ndarray:
     n, size = unit.shape
     out = np.empty((n, lattice.tables, 1 + lattice.probes), np.int64)
     short = minimal_vectors()
+    # On the grid all sums are exact in any order: a vector has the same codes in any batch.
+    projected = np.rint(unit * GRID) @ _projections(lattice, size) / GRID**2
     for t in range(lattice.tables):
-        draw = np.random.default_rng([lattice.seed, t, size])
-        x = unit @ draw.standard_normal((size, 8)) * lattice.scale
+        x = projected[:, 8 * t : 8 * t + 8]
         own = nearest_e8(x)
         out[:, t, 0] = _code(own, t)
         if lattice.probes:
@@ -93,7 +109,7 @@ def cells(unit: np.ndarray, lattice: Lattice) -> np.ndarray:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _unit(column: pa.Array) -> np.ndarray:
@@ -107,7 +123,7 @@ def _deal(lattice: Lattice):
     """A row per vector and distinct cell."""
     def run(batches):
         for batch in batches:
-            sizes = np.array([len(v) for v in batch.column(2).to_pylist()], np.int64)
+            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
             for size in np.unique(sizes):
                 part = batch.take(pa.array(np.flatnonzero(sizes == size)))
                 for first in range(0, part.num_rows, 1024):
@@ -132,47 +148,89 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, cell: int) -> np.ndarray:
     return smallest == cell
 
 
+@dataclass
+class _Links:
+    """Links of one cell, or of a pair of its blocks: rows of its vectors in the bucket,
+    and both ends of every link as positions among them."""
+
+    cell: int
+    rows: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+
 def _compare(lattice: Lattice):
     """(node, n, root) of the cells of a bucket: linked vectors that a cell counts, and the
     smallest node of the vectors that its links connect."""
     def run(group: pa.Table) -> pa.Table:
         names = ("task", "cell", "node", "m", "block")
         task, cell, ids, weight, block = (group.column(c).to_numpy() for c in names)
+        across = group.column("across").to_numpy()
         vectors = group.column("embedding").combine_chunks()
-        found = [np.zeros((0, 3), np.int64)]
+        found, waiting, links = [np.zeros((0, 3), np.int64)], [], 0
         order = np.argsort(task, kind="stable")
         cuts = np.flatnonzero(np.diff(task[order])) + 1
         for rows in np.split(order, cuts):
             if len(rows) > 1:
-                unit = _unit(vectors.take(pa.array(rows)))
-                found.append(_cell(unit, ids[rows], weight[rows], block[rows],
-                                   int(cell[rows[0]]), lattice))
+                own = _links(_unit(vectors.take(pa.array(rows))), rows, block[rows],
+                             bool(across[rows[0]]), int(cell[rows[0]]), lattice)
+                if len(own.left):
+                    waiting.append(own)
+                    links += len(own.left)
+            if links >= WAITING:
+                found += _counted(waiting, vectors, ids, weight, lattice)
+                waiting, links = [], 0
+        found += _counted(waiting, vectors, ids, weight, lattice)
         node, n, root = np.concatenate(found).T
         return pa.table({"node": node, "n": n, "root": root})
     return run
 
 
-def _cell(unit, ids, weight, block, cell: int, lattice: Lattice) -> np.ndarray:
-    """Rows (node, n, root) of the linked vectors of one cell, or of a pair of its blocks."""
-    counts, root = np.zeros(len(ids), np.int64), ids.copy()
+def _links(unit, rows, block, across: bool, cell: int, lattice: Lattice) -> _Links:
+    """The links of a cell, or those ``across`` two of its blocks, of which one may be empty;
+    only the linked vectors are kept."""
     left, right = [], []
-    for first in range(0, len(ids), 512):
+    for first in range(0, len(rows), 512):
         i, j = np.nonzero(unit[first : first + 512] @ unit.T >= lattice.threshold)
         i = i + first
         keep = i < j
-        if block.min() != block.max():
+        if across:
             keep &= block[i] != block[j]
         left.append(i[keep])
         right.append(j[keep])
     left, right = np.concatenate(left), np.concatenate(right)
-    if not len(left):
-        return np.zeros((0, 3), np.int64)
     linked = np.unique(np.r_[left, right])
-    codes = np.zeros((len(ids), lattice.tables, 1 + lattice.probes), np.int64)
-    codes[linked] = cells(unit[linked], lattice)
+    return _Links(cell, rows[linked], np.searchsorted(linked, left), np.searchsorted(linked, right))
+
+
+def _counted(waiting: list[_Links], vectors: pa.Array, ids, weight, lattice: Lattice) -> list[np.ndarray]:
+    """Rows (node, n, root) of the linked vectors of cells. The codes of all their vectors
+    are computed together, once for a vector of several cells."""
+    if not waiting:
+        return []
+    _, first, place = np.unique(ids[np.concatenate([x.rows for x in waiting])],
+                                return_index=True, return_inverse=True)
+    rows = np.concatenate([x.rows for x in waiting])[first]
+    sizes = pc.list_value_length(vectors.take(pa.array(rows))).to_numpy(zero_copy_only=False)
+    codes = np.empty((len(rows), lattice.tables, 1 + lattice.probes), np.int64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        for some in np.split(at, range(1024, len(at), 1024)):
+            codes[some] = cells(_unit(vectors.take(pa.array(rows[some]))), lattice)
+    out, done = [], 0
+    for x in waiting:
+        own = codes[place[done : done + len(x.rows)]]
+        done += len(x.rows)
+        out.append(_cell(x, own, ids[x.rows], weight[x.rows]))
+    return out
+
+
+def _cell(links: _Links, codes, ids, weight) -> np.ndarray:
+    """Rows (node, n, root) of the linked vectors of one cell."""
+    counts, root, left, right = np.zeros(len(ids), np.int64), ids.copy(), links.left, links.right
     for at in range(0, len(left), 20_000):
         i, j = left[at : at + 20_000], right[at : at + 20_000]
-        own = _first_meeting(codes[i], codes[j], cell)
+        own = _first_meeting(codes[i], codes[j], links.cell)
         counts += np.bincount(i[own], weight[j[own]], len(ids)).astype(np.int64)
         counts += np.bincount(j[own], weight[i[own]], len(ids)).astype(np.int64)
     while True:
@@ -181,7 +239,7 @@ def _cell(unit, ids, weight, block, cell: int, lattice: Lattice) -> np.ndarray:
         np.minimum.at(root, right, root[left])
         if (before == root).all():
             break
-    return np.stack([ids[linked], counts[linked], root[linked]], axis=1)
+    return np.stack([ids, counts, root], axis=1)
 
 
 def near_duplicates(
@@ -205,12 +263,17 @@ def near_duplicates(
         "and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) "
         "and exists(embedding, x -> x <> 0)")
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    # Equal vectors are one node; its number is a hash of label and vector.
-    node = F.when(F.col("sound"), F.xxhash64("label", "embedding"))
-    rows = rows.withColumn("node", node)
+    # Equal vectors are one node, numbered where it is written. Rows find theirs by 128 bits
+    # of hashes of label and vector; the others have no second half, match nothing and are
+    # dealt by the first.
+    rows = rows.withColumn("high", F.when(F.col("sound"), F.xxhash64("label", "embedding"))
+                           .otherwise(F.xxhash64("vec_id", "label", "embedding")))
+    rows = rows.withColumn("low", F.when(F.col("sound"), F.xxhash64(F.lit(1), "label", "embedding")))
+    digest = ["high", "low"]
     distinct = stage(
-        rows.where("sound").groupBy("node", "label", "embedding")
-        .agg(F.count("*").alias("m"), F.min("vec_id").alias("first_id")), "lattice_vectors")
+        rows.where("sound").groupBy(*digest, "label", "embedding")
+        .agg(F.count("*").alias("m"), F.min("vec_id").alias("first_id"))
+        .withColumn("node", F.monotonically_increasing_id()), "lattice_vectors")
     dealt = stage(distinct.select("node", "label", "embedding").mapInArrow(
         _deal(lattice), "node long, label string, cell long, size int"), "lattice_cells")
     key = ["label", "size", "cell"]
@@ -225,6 +288,7 @@ def near_duplicates(
     found = stage(
         dealt.join(distinct.select("node", "embedding", "m"), "node")
         .select("node", "m", "embedding", "cell", "block",
+                (F.col("low") < F.col("high")).alias("across"),
                 F.xxhash64("label", "size", "cell", "low", "high").alias("task"))
         .withColumn("bucket", F.pmod("task", F.lit(buckets)))
         .groupBy("bucket")
@@ -235,11 +299,11 @@ def near_duplicates(
     named = distinct.select("node", "first_id").join(reach, "node")
     lowest = named.groupBy("component").agg(F.min("first_id").alias("lowest"))
     labelled = (
-        distinct.select("node", "m", "first_id").join(counts, "node", "left")
+        distinct.select(*digest, "node", "m", "first_id").join(counts, "node", "left")
         .join(named.select("node", "component").join(lowest, "component"), "node", "left")
-        .select("node", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
+        .select(*digest, (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
                 F.coalesce("lowest", "first_id").alias("component_id")))
-    out = rows.select("vec_id", "node").join(labelled, "node", "left").select(
+    out = rows.select("vec_id", *digest).join(labelled, digest, "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -169,6 +170,55 @@ def test_recall_at_the_threshold():
     assert met.mean() >= 0.9
 
 
+def test_codes_do_not_depend_on_the_batch():
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(300, 61))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lattice = lattice_dedup.Lattice()
+    whole = lattice_dedup.cells(x, lattice)
+    for step in (1, 2, 7, 128):
+        parts = [lattice_dedup.cells(x[i : i + step], lattice) for i in range(0, len(x), step)]
+        assert (np.concatenate(parts) == whole).all()
+
+
+def test_links_of_a_block_count_in_its_own_task_only():
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=24) + draw.normal(size=(5, 24)) * 0.05
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    lattice, rows = lattice_dedup.Lattice(), np.arange(5)
+    own = lattice_dedup._links(unit, rows, np.full(5, 3), False, 0, lattice)
+    assert len(own.left) == 10
+    # The other block of the pair has no vector.
+    assert len(lattice_dedup._links(unit, rows, np.full(5, 3), True, 0, lattice).left) == 0
+    mixed = lattice_dedup._links(unit, rows, np.array([3, 3, 4, 4, 4]), True, 0, lattice)
+    assert len(mixed.left) == 6
+
+
+@pytest.mark.parametrize("waiting", [1, 50, 200_000])
+def test_links_that_wait_are_all_counted(monkeypatch, waiting):
+    monkeypatch.setattr(lattice_dedup, "WAITING", waiting)
+    draw = np.random.default_rng(5)
+    lattice = lattice_dedup.Lattice()
+    x = np.repeat(draw.normal(size=(6, 24)), 5, axis=0) + draw.normal(size=(30, 24)) * 0.05
+    y = np.repeat(draw.normal(size=(4, 8)), 3, axis=0) + draw.normal(size=(12, 8)) * 0.02
+    rows, first = [], 0
+    for part in (x, y):
+        codes = lattice_dedup.cells(part / np.linalg.norm(part, axis=1, keepdims=True), lattice)
+        for i, v in enumerate(part):
+            rows += [(int(c), first + i, v.tolist()) for c in np.unique(codes[i])]
+        first += len(part)
+    # Vectors of another length meet in tasks of their own.
+    table = pa.table({"task": [c ^ len(v) for c, _, v in rows], "cell": [c for c, _, _ in rows],
+                      "node": [i for _, i, _ in rows], "m": [1] * len(rows), "block": [0] * len(rows),
+                      "across": [False] * len(rows),
+                      "embedding": [v for _, _, v in rows]})
+    found = lattice_dedup._compare(lattice)(table).to_pandas().groupby("node")["n"].sum()
+    for part, start in ((x, 0), (y, len(x))):
+        unit = part / np.linalg.norm(part, axis=1, keepdims=True)
+        near = (unit @ unit.T >= lattice.threshold).sum(1) - 1
+        assert [found.get(start + i, 0) for i in range(len(part))] == near.tolist()
+
+
 @pytest.mark.parametrize("block", [2048, 7])
 def test_links_equal_brute_force(spark, block):
     draw = np.random.default_rng(3)
