@@ -2,7 +2,7 @@
 
 Writers hide words by look-alike characters, spacing and repetition. A suspicious word is
 a lattice: each character may stand for itself, for a letter it resembles, for nothing
-(a separator or a repeat). White space between short tokens is a separator or the end of
+(a separator, a repeat or an invisible character). White space between short tokens is a separator or the end of
 a word, so runs of them are split into words by the same lattice. A character trigram model of the corpus and the costs of the
 channel weigh the paths; Viterbi finds the best. The restored text is scored by evidence
 of words and word beginnings learned from labelled documents.
@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,20 +33,29 @@ LOOKALIKES = {
     "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
     "*": "aeiou", "#": "h",
 }
+#: Letters of other scripts that look like a Latin one.
+HOMOGLYPHS = {
+    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "н": "h", "і": "i", "ј": "j",
+    "к": "k", "м": "m", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "ԝ": "w", "х": "x",
+    "у": "y", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t",
+    "υ": "u", "ı": "i", "ɡ": "g",
+}
+#: Invisible characters and combining accents, which may stand anywhere in a word.
+INVISIBLE = re.compile("[\u00ad\u0300-\u036f\u200b-\u200f\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 #: Characters that may separate the letters of a word.
 SEPARATORS = ".-_*~'`^,/"
-#: Costs of the channel in nats.
-REPLACE, HIDE, SEPARATE, REPEAT, DOUBLE, KEEP = 0.6, 2.5, 0.4, 0.2, 2.5, 4.0
+#: Costs of the channel in nats; ACCENT is that of a letter without its accent.
+REPLACE, HIDE, SEPARATE, REPEAT, DOUBLE, KEEP, ACCENT = 0.6, 2.5, 0.4, 0.2, 2.5, 4.0, 2.5
 #: White space inside a word next to a token of two or three characters; and the cost of
 #: a trigram from which such a token does not look like a word.
 BROKEN, STRANGE = 2.5, 5.0
-#: Words whose restored form a worker keeps, and the longest that is kept; stretches of
-#: one sign are folded before the lattice in longer ones.
+#: Words whose restored form a worker keeps, and the longest that is kept.
 KEPT_WORDS, LATTICE_LENGTH = 400_000, 48
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _ODD = re.compile(r"[^\W\d_](?:[^\w\s]|_)+[^\W\d_]|[^\W\d_][\d@$!|+(*#€£]+[^\W\d_]|[\d@$!|+(][^\W\d_]{2}"
-                  r"|[^\W\d_]{2}[\d@$!|+]$|(.)\1\1|([^\W\d_])\2")
+                  r"|[^\W\d_]{2}[\d@$!|+]$"
+                  r"|[\d@$!|+(][^\W\d_][@$!|+(]|[@$!|+(][^\W\d_][\d@$!|+(]|(.)\1\1|([^\W\d_])\2")
 _OUTER = ".,;:?\"'()[]{}<>"
 #: Longest token of a run whose white space may be a separator.
 SHORT = 3
@@ -121,6 +132,34 @@ def char_model(docs: DataFrame, settings: Settings = Settings(), text_column: st
 
 # --- restoring words ----------------------------------------------------------------
 
+@lru_cache(maxsize=1 << 16)
+def _latin(c: str) -> tuple[tuple[str, float], ...]:
+    """(Latin letter, cost) of a character beyond ASCII that is one with an accent, in
+    another form (full width, bold, circled), or looks like one."""
+    if c in HOMOGLYPHS:
+        return ((HOMOGLYPHS[c], REPLACE),)
+    if not unicodedata.decomposition(c):
+        return ()
+    plain = unicodedata.normalize("NFKD", c)[0].lower()
+    if plain.isascii() and plain.isalpha():
+        accented = not unicodedata.decomposition(c).startswith("<")
+        return ((plain, ACCENT if accented else REPLACE),)
+    return tuple((x, REPLACE) for x in LOOKALIKES.get(plain, ""))
+
+
+def _disguised(word: str) -> bool:
+    """Whether a word has characters beyond ASCII that may stand for Latin letters or for
+    nothing. Look-alikes count only where all other letters could be Latin too, so words of
+    the scripts that they belong to are no lattices."""
+    if word.isascii():
+        return False
+    if INVISIBLE.search(word):
+        return True
+    word = word.lower()
+    other = [c for c in word if not c.isascii()]
+    return any(_latin(c) for c in other) and all(_latin(c) for c in other if c.isalpha())
+
+
 def _choices(word: str, i: int) -> list[tuple[str, float]]:
     """(what a character stands for, cost); the empty string is nothing."""
     c = word[i]
@@ -130,6 +169,10 @@ def _choices(word: str, i: int) -> list[tuple[str, float]]:
         out += [(x, cost) for x in LOOKALIKES.get(c, "")]
         if c in SEPARATORS:
             out.append(("", SEPARATE))
+    if not c.isascii():
+        out += _latin(c)
+        if INVISIBLE.match(c):
+            out.append(("", REPEAT))
     if i and word[i - 1] == c:
         run = (i > 1 and word[i - 2] == c) or word[i + 1 : i + 2] == c
         out.append(("", REPEAT if run else DOUBLE))
@@ -138,11 +181,9 @@ def _choices(word: str, i: int) -> list[tuple[str, float]]:
 
 def restore(word: str, model: CharModel) -> str:
     """The best path of a word's lattice; a word without letters stays."""
-    word = word.lower()
-    if len(word) > LATTICE_LENGTH:
-        # Long stretches count as three of a sign; the lattice takes any length.
-        word = re.sub(r"(.)\1{3,}", r"\1\1\1", word)
-    if word.isalpha() and not _TRIPLE.search(word):
+    # Long stretches count as three of a sign; the lattice takes any length.
+    word = re.sub(r"(.)\1{3,}", r"\1\1\1", word.lower())
+    if word.isalpha() and not _TRIPLE.search(word) and not _disguised(word):
         return _single(word, model)
     return _viterbi((_choices(word, i) for i in range(len(word))), model)
 
@@ -284,10 +325,11 @@ class Restorer:
 
     def _normal(self, raw: str) -> str:
         core = raw
-        if _ODD.search(raw):
+        disguised = _disguised(raw)
+        if disguised or _ODD.search(raw):
             # Outer runs of one sign are decoration; a single outer sign may be a letter.
             core = re.sub(r"^([\W_])\1+|([\W_])\2+$", "", raw).strip(".,;:?\"'()[]{}<>")
-            if _ODD.search(core) and any(c.isalpha() for c in core):
+            if (disguised or _ODD.search(core)) and any(c.isalpha() for c in core):
                 core = restore(core, self.model)
         return _EDGE.sub("", core).lower()
 
