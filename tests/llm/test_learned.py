@@ -108,29 +108,6 @@ def test_white_space_is_read_by_the_lattice(reader, text, words):
     assert [w for w in reader(text) if w] == [w for w in words]
 
 
-@pytest.mark.parametrize("text, word", [
-    ("stup\u00ecd", "stupid"), ("\u0455tupid", "stupid"), ("m\u043er\u043en", "moron"),
-    ("\uff53\uff54\uff55\uff50\uff49\uff44", "stupid"), ("s\u200btu\u200bpid", "stupid"),
-    ("s\u0336c\u0336u\u0336m", "scum"), ("\U0001d42c\U0001d41c\U0001d42e\U0001d426", "scum"),
-    ("\uff53\uff14m", "sam"), ("M@n", "man"), ("5C!m", "scim"), ("st\u00adupid", "stupid"),
-    ("\u043a\u043d\u0438\u0433\u0430", "\u043a\u043d\u0438\u0433\u0430"), ("\u6f22\u5b57", "\u6f22\u5b57"),
-])
-def test_characters_of_other_forms_and_scripts(reader, text, word):
-    best, value = every_path(text.lower(), reader.model)
-    assert value[reader(text)[0]] == pytest.approx(best)
-    if word in ("stupid", "moron", "scum", "man") or not word.isascii():
-        assert reader(text) == [word]
-
-
-def test_accented_words_of_the_corpus_stay(spark):
-    draw = random.Random(4)
-    words = [*CLEAN, *"der kr\u00e4ftige m\u00e4nner gr\u00f6\u00dfe \u00e9t\u00e9 ni\u00f1o".split()]
-    read = toxicity.Restorer(toxicity.char_model(
-        frame(spark, [(i, " ".join(draw.choices(words, k=40)), "de", "s", 1) for i in range(200)])))
-    assert read("Kr\u00e4ftige gr\u00f6\u00dfe \u00e9t\u00e9, ni\u00f1o") == [
-        "kr\u00e4ftige", "gr\u00f6\u00dfe", "\u00e9t\u00e9", "ni\u00f1o"]
-
-
 def test_doubled_letters_have_the_cheapest_reading(reader):
     for word in ("stuupid", "mmoron", "seenn", "fieelldd", "aa", "summer", "greenn", "ssccuumm"):
         best, value = every_path(word, reader.model)
