@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ _OUTER = ".,;:?\"'()[]{}<>"
 SHORT = 3
 _START = "\x01\x01"
 _RUN = re.compile("[1-4]{2,}")
+#: Kinds of tokens of which a run is spaced out, see Kinds; and the mark of words that tell.
+SIGN, LETTER, ODD, TELLS = 2, 3, 4, 8
 _PAIR, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 
 
@@ -251,9 +255,7 @@ class Restorer:
         cache, raws, out = self.cache, text.split(), []
         for first, last, in_run in self._parts(raws):
             if in_run:
-                # Brackets and stops around a token are no letters of the word.
-                run = [t.strip(_OUTER) or t for t in raws[first:last]]
-                out += [_EDGE.sub("", w) for w in restore_run(run, self.model)]
+                out += self.run(raws[first:last])
                 continue
             for raw in raws[first:last]:
                 word = cache.get(raw)
@@ -269,20 +271,18 @@ class Restorer:
         short neighbour at each end, and the rest."""
         done = 0
         for run in _RUN.finditer("".join(map(self.kinds.__getitem__, raws))):
-            start, end = run.span()
-            kinds = [int(kind) for kind in run[0]]
-            odd = [k for k, kind in enumerate(kinds) if kind > 1]
-            letters = sum(kind == 3 for kind in kinds)
-            broken = any(kinds[k] > 1 and kinds[k + 1] > 1 and 4 in kinds[k : k + 2]
-                         for k in range(len(kinds) - 1))
-            if broken or (letters > 1 and sum(1 < kind < 4 for kind in kinds) > 2):
-                first, last = start + max(odd[0] - 1, 0), min(start + odd[-1] + 2, end)
+            found = spaced([int(kind) for kind in run[0]])
+            if found:
+                first, last = (run.start() + at for at in found)
                 yield done, first, False
                 yield first, last, True
                 done = last
         yield done, len(raws), False
 
     def _normal(self, raw: str) -> str:
+        core = raw[:-1] if raw[-1] in ",." else raw
+        if core.isalpha() and not _PAIR.search(core):
+            return core.lower()  # letters of which no two equal ones meet hide nothing
         core = raw
         if _ODD.search(raw):
             # Outer runs of one sign are decoration; a single outer sign may be a letter.
@@ -291,6 +291,21 @@ class Restorer:
                 core = restore(core, self.model)
         return _EDGE.sub("", core).lower()
 
+    def run(self, tokens: list[str]) -> list[str]:
+        """Words of a spaced run. Brackets and stops around a token are no letters of it."""
+        return [_EDGE.sub("", w) for w in restore_run([t.strip(_OUTER) or t for t in tokens], self.model)]
+
+
+def spaced(kinds: list[int]) -> tuple[int, int] | None:
+    """Of the kinds of a run of short tokens, the part that looks spaced, if any."""
+    odd = [k for k, kind in enumerate(kinds) if kind > 1]
+    letters = sum(kind == LETTER for kind in kinds)
+    broken = any(kinds[k] > 1 and kinds[k + 1] > 1 and ODD in kinds[k : k + 2]
+                 for k in range(len(kinds) - 1))
+    if broken or (letters > 1 and sum(1 < kind < ODD for kind in kinds) > 2):
+        return max(odd[0] - 1, 0), min(odd[-1] + 2, len(kinds))
+    return None
+
 
 # --- evidence -------------------------------------------------------------------------
 
@@ -377,21 +392,106 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, settings: Settin
     return Evidence(words | weights(set(words)), prior)
 
 
-def score(words: list[str], evidence: Evidence) -> float:
-    """Probability from the prior and the evidence of the three strongest words: of a
-    word itself, or else of its strongest beginning."""
-    weights, best = evidence.weights, []
-    for w in set(words):
-        found = weights.get(w) or max(
-            weights.get(w[:4] + "*", 0.0) if len(w) > 4 else 0.0,
-            weights.get(w[:5] + "*", 0.0) if len(w) > 5 else 0.0,
-            weights.get(w[:6] + "*", 0.0) if len(w) > 6 else 0.0)
-        if found:
-            best.append(found)
+def weight(word: str, evidence: Evidence) -> float:
+    """Evidence of a word itself, or else of its strongest beginning; 0 without any."""
+    weights = evidence.weights
+    return weights.get(word) or max(
+        weights.get(word[:4] + "*", 0.0) if len(word) > 4 else 0.0,
+        weights.get(word[:5] + "*", 0.0) if len(word) > 5 else 0.0,
+        weights.get(word[:6] + "*", 0.0) if len(word) > 6 else 0.0)
+
+
+def score(words: Iterable[str], evidence: Evidence) -> float:
+    """Probability from the prior and the evidence of the three strongest words."""
+    best = [found for w in set(words) if (found := weight(w, evidence))]
     z = evidence.prior + sum(sorted(best)[-3:])
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+class Codes(dict):
+    """Kind of raw tokens in a run, with a mark on those whose normal form tells something;
+    of these ``word`` has the form. A token is read once, however often it stands in texts."""
+
+    def __init__(self, read: Restorer, evidence: Evidence):
+        self.read, self.evidence = read, evidence
+        self.heads = {feature[:4] for feature in evidence.weights}
+        self.told: dict[str, str] = {}
+
+    def __missing__(self, raw: str) -> int:
+        word, code = self.read._normal(raw), self.read.kinds._kind(raw)
+        tells = word[:4] in self.heads and self.tells(word)
+        if tells:
+            code |= TELLS
+        if len(raw) <= LATTICE_LENGTH:
+            self[raw] = code
+            if tells:
+                self.told[raw] = word
+        return code
+
+    def tells(self, word: str) -> bool:
+        return word in self.evidence.weights or weight(word, self.evidence) != 0
+
+    def word(self, raw: str) -> str:
+        found = self.told.get(raw)
+        return self.read._normal(raw) if found is None else found
+
+    def forget(self) -> None:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+            self.told.clear()
+
+
+def telling_words(texts: list[str], codes: Codes) -> dict[int, set[str]]:
+    """Per text, its restored words that tell something; no entry for a text without one.
+
+    The tokens of all texts are numbered and looked up once each. Runs of short tokens are
+    found in arrays; only those that may look spaced are read one by one.
+    """
+    codes.forget()
+    raws = [t.split() for t in texts]
+    bounds = np.cumsum([0, *map(len, raws)])
+    numbered = pa.array(chain.from_iterable(raws), pa.string()).dictionary_encode()
+    distinct = numbered.dictionary.to_pylist()
+    number = numbered.indices.to_numpy()
+    code = np.fromiter(map(codes.__getitem__, distinct), np.uint8, len(distinct))[number]
+    kind, tells = code & 7, code >= TELLS
+    found: dict[int, set[str]] = defaultdict(set)
+    for first, last in _spaced_runs(kind, bounds):
+        part = spaced(kind[first:last].tolist())
+        if part:
+            a, b = first + part[0], first + part[1]
+            text = int(np.searchsorted(bounds, a, "right")) - 1
+            tells[a:b] = False
+            words = codes.read.run(raws[text][a - bounds[text] : b - bounds[text]])
+            found[text].update(filter(codes.tells, words))
+    at = np.flatnonzero(tells)
+    for text, n in zip((np.searchsorted(bounds, at, "right") - 1).tolist(), number[at].tolist()):
+        found[text].add(codes.word(distinct[n]))
+    return found
+
+
+def _spaced_runs(kind: np.ndarray, bounds: np.ndarray):
+    """(first, last) of the runs of two and more short tokens of one text that have two
+    odd ones side by side, or two letters among three letters and signs."""
+    if not len(kind):
+        return []
+    short = kind > 0
+    cut = np.zeros(len(kind) + 1, bool)
+    cut[bounds] = True
+    first = np.flatnonzero(short & np.r_[True, ~short[:-1] | cut[1:-1]])
+    last = np.flatnonzero(short & np.r_[~short[1:] | cut[1:-1], True]) + 1
+
+    def among(chosen):
+        before = np.r_[0, np.cumsum(chosen)]
+        return before[last] - before[first]
+
+    beside = np.zeros(len(kind), bool)
+    beside[1:] = (kind[1:] > 1) & (kind[:-1] > 1) & ((kind[1:] == ODD) | (kind[:-1] == ODD)) & ~cut[1:-1]
+    maybe = (among(beside) > 0) | ((among(kind == LETTER) > 1) & (among((kind == SIGN) | (kind == LETTER)) > 2))
+    maybe &= last - first > 1
+    return list(zip(first[maybe].tolist(), last[maybe].tolist()))
+
+
 def score_documents(docs: DataFrame, model: CharModel, evidence: Evidence,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, score, n_restored, restored), a row per input row.
@@ -401,17 +501,16 @@ def score_documents(docs: DataFrame, model: CharModel, evidence: Evidence,
     other columns are not read; texts of any length are scored whole.
     """
     def run(batches):
-        read = Restorer(model)
+        codes = Codes(Restorer(model), evidence)
+        without = score([], evidence)
         for batch in common.slices(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in chunks(texts):
-                scores, restored = [], []
-                for text in texts[first:last]:
-                    words = read(text)
-                    scores.append(score(words, evidence))
-                    low = text.lower()
-                    restored.append(sorted(
-                        w for w in set(words) if w in evidence.weights and w not in low))
+                scores, restored = [without] * (last - first), [[]] * (last - first)
+                for i, words in telling_words(texts[first:last], codes).items():
+                    low = texts[first + i].lower()
+                    scores[i] = score(words, evidence)
+                    restored[i] = sorted(w for w in words if w in evidence.weights and w not in low)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), pa.array(scores, pa.float64()),
                      pa.array(restored, pa.list_(pa.string()))], ["doc_id", "score", "restored"])

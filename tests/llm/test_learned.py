@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import sys
 from collections import defaultdict
 
 import duckdb
@@ -135,6 +136,48 @@ def test_awkward_toxicity_rows(spark, learned):
     assert toxicity.score_documents(frame(spark, []), *learned).collect() == []
 
 
+def plainly(text, read, evidence):
+    """Score and restored words of a text whose words are read one by one."""
+    words, low = read(text), text.lower()
+    return (toxicity.score(words, evidence),
+            sorted(w for w in set(words) if w in evidence.weights and w not in low))
+
+
+def test_scores_equal_those_of_words_read_one_by_one(spark, learned):
+    model, evidence = learned
+    draw = random.Random(8)
+    tokens = [*CLEAN, *"s t u p i d m 0 r n $ ! . - a I stu pid mo ron, (s u) st5 5tupid stuupid vequaa, "
+              "vequzz MORON. Moron; sTupid!! ½ ² İİ ß é\u0301 日本 --- <a> x\x1cy s.t.u.p.i.d".split(" "), "m" * 60 + "0ron"]
+    texts = ["".join(w + draw.choice((" ", " ", "\n", "\u2003", "  "))
+                     for w in draw.choices(tokens, k=draw.randrange(0, 60))) for _ in range(400)]
+    rows, _, _ = toxic_rows(9, 100, 0)
+    texts += [*(r[1] for r in rows), *(r[1] or "" for r in AWKWARD), "s", "s t", "s t u", "a", ""]
+    read = toxicity.Restorer(model)
+    want = [plainly(t, read, evidence) for t in texts]
+    assert sum(bool(w[1]) for w in want) > 50
+    docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    got = sorted(toxicity.score_documents(docs, model, evidence).collect())
+    assert [(r["score"], r["restored"]) for r in got] == want
+
+
+def test_a_token_is_read_once_however_often_it_stands(learned):
+    codes = toxicity.Codes(toxicity.Restorer(learned[0]), learned[1])
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    texts = [" ".join(CLEAN * 40)] * 50
+    sys.setprofile(count)
+    try:
+        found = toxicity.telling_words([*texts, "a moron"], codes)
+    finally:
+        sys.setprofile(None)
+    assert dict(found) == {50: {"moron"}}
+    assert calls < sum(len(t.split()) for t in texts) / 4
+
+
 # --- lattice
 
 def test_nearest_point_is_nearest():
