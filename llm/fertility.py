@@ -10,10 +10,11 @@ fewer they are; documents without a language have the bands of their script.
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from salesmart.operators.staging import stage
 #: Words whose tokens a worker keeps, and the longest word that is kept.
 KEPT_WORDS, KEPT_LENGTH = 250_000, 64
 SPACES, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
+_IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
+_OTHER_SPACE = re.compile(r"[^\S ]")
 MEASURES = ("piece_chars", "byte_chars", "fallback", "entropy")
 
 
@@ -72,17 +75,41 @@ class Vocabularies:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                        mergeable_ranks=table, special_tokens={})
-        self.cache: dict[bytes, tuple[list[int], int]] = {}
+        # Whether a token of the byte vocabulary begins a word.
+        self.begins = np.zeros(max(table.values()) + 1, bool)
+        self.begins[[i for token, i in table.items() if token[:1] == b" "]] = True
+        self.cache: dict[bytes, tuple[bytes, int]] = {}
 
-    def of_words(self, words: set[bytes]) -> dict[bytes, tuple[list[int], int]]:
-        """The cache, with all these words."""
+    def of_words(self, words: list[bytes]) -> list[tuple[bytes, int]]:
+        """Of different words: the piece tokens, four bytes each, and the number of byte tokens."""
         if len(self.cache) > KEPT_WORDS:
             self.cache.clear()
         missing = [w for w in words if w not in self.cache]
         texts = [w.decode() for w in missing]
-        for word, ids, text in zip(missing, self.pieces.encode(texts, num_threads=1), texts):
-            self.cache[word] = (ids, len(self.bytes.encode_ordinary(" " + text)))
-        return self.cache
+        pieces = self.pieces.encode(texts, num_threads=1)
+        ends = np.cumsum([0, *map(len, pieces)]) * 4
+        flat = np.fromiter(chain.from_iterable(pieces), np.uint32, int(ends[-1]) // 4).tobytes()
+        tokens = [flat[first:last] for first, last in pairwise(ends.tolist())]
+        self.cache.update(zip(missing, zip(tokens, self._byte_tokens(texts))))
+        found = [self.cache[w] for w in words]
+        for word in missing:
+            if len(word) > KEPT_LENGTH:
+                del self.cache[word]
+        return found
+
+    def _byte_tokens(self, words: list[str]) -> list[int]:
+        """Byte tokens of each word after a space. The split pattern joins no word with the
+        next, so they are encoded together, but those that hold other white space."""
+        joined = "".join(" " + w for w in words)
+        if _OTHER_SPACE.search(joined):
+            plain = [not _OTHER_SPACE.search(w) for w in words]
+            rest = iter(self._byte_tokens([w for w, fits in zip(words, plain) if fits]))
+            return [next(rest) if fits else len(self.bytes.encode_ordinary(" " + w))
+                    for w, fits in zip(words, plain)]
+        tokens = np.array(self.bytes.encode_ordinary(joined), np.int64)
+        first = np.flatnonzero(self.begins[tokens])
+        assert len(first) == len(words)
+        return np.diff(np.r_[first, len(tokens)]).tolist()
 
 
 @lru_cache(maxsize=2)
@@ -90,16 +117,30 @@ def vocabularies(pieces: str, ranks: str) -> Vocabularies:
     return Vocabularies(pieces, ranks)
 
 
-def _repeated(hashes: np.ndarray) -> int:
-    """Words in 3-word windows that occur twice or more."""
-    if len(hashes) < 4:
-        return 0
-    _, back, counts = np.unique(common.chained(hashes, 3), return_inverse=True, return_counts=True)
-    twice = counts[back] > 1
-    covered = np.zeros(len(hashes), bool)
-    for k in range(3):
-        covered[k : k + len(twice)] |= twice
-    return int(covered.sum())
+def _repeated(number: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Per text, its words in 3-word windows that occur twice or more in it. ``number``
+    tells words apart; ``cut`` bounds the words of each text."""
+    covered = np.zeros(len(number), bool)
+    if len(number) > 3:
+        n, wide = int(number.max()) + 1, number.astype(np.int64)
+        window = wide[:-1] * n + wide[1:]
+        if n >= 1 << 20:
+            window = np.unique(window, return_inverse=True)[1]
+        window = window[:-1] * n + wide[2:]
+        text = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        whole = np.flatnonzero(text[:-2] == text[2:])
+        order = whole[np.argsort(window[whole], kind="stable")]
+        # Equal windows stand together, in order of their texts.
+        same = (window[order[1:]] == window[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+        twice = order[np.r_[False, same] | np.r_[same, False]]
+        for k in range(3):
+            covered[twice + k] = True
+    return _sums(covered, cut)
+
+
+def _sums(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Sums of whole numbers between bounds."""
+    return np.diff(np.r_[0, np.cumsum(values, dtype=np.int64)][cut])
 
 
 def _duplicate_lines(text: str) -> int:
@@ -128,15 +169,22 @@ def _scripts() -> np.ndarray:
     return out
 
 
-def _script(text: str) -> int:
-    """The script of most letters; 0 without letters."""
+def _script(texts: list[str]) -> list[int]:
+    """The script of most letters of each text; 0 without letters."""
     scripts = _scripts()
-    counts = np.zeros(int(scripts.max()) + 1, np.int64)
-    for first in range(0, len(text), CHUNK_CHARS):
-        points = np.frombuffer(text[first : first + CHUNK_CHARS].encode("utf-32-le"), np.uint32)
-        counts += np.bincount(scripts[points], minlength=len(counts))
-    counts[0] = 0
-    return int(counts.argmax())
+    n = int(scripts.max()) + 1
+    counts = np.zeros((len(texts), n), np.int64)
+    for first, last in chunks(texts, CHUNK_CHARS):
+        ends = np.cumsum([0, *map(len, texts[first:last])])
+        joined = "".join(texts[first:last])
+        for begin in range(0, len(joined), CHUNK_CHARS):
+            part = joined[begin : begin + CHUNK_CHARS]
+            found = scripts[np.frombuffer(part.encode("utf-32-le"), np.uint32)]
+            for i, (a, b) in enumerate(pairwise(np.clip(ends - begin, 0, len(part)).tolist())):
+                if a < b:
+                    counts[first + i] += np.bincount(found[a:b], minlength=n)
+    counts[:, 0] = 0
+    return counts.argmax(1).tolist()
 
 
 _ROW = ("doc_id long, grp string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -145,27 +193,34 @@ _ROW = ("doc_id long, grp string, n_words long, word_chars long, n_symbols long,
 
 
 def _measure(own: Vocabularies, texts: list[str]) -> list[list]:
+    """Columns of counts and measures. Different words of the texts are tokenised and
+    looked up once; the rest is done on arrays of their numbers."""
     raw, bounds = common.text_buffer(pa.array(texts, pa.string()))
     starts, ends = common.word_spans(raw, bounds)
-    hashes = common.word_hashes(raw, starts, ends)
     cut = np.searchsorted(starts, bounds)
-    words = [t.encode().split() for t in texts]
-    table = own.of_words(set(chain.from_iterable(words)))
-    out = []
-    for i, text in enumerate(texts):
-        found = [table[w] for w in words[i]]
-        ids = np.fromiter(chain.from_iterable(f[0] for f in found), np.int64)
-        n_bytes = sum(f[1] for f in found)
-        chars = len(text) - sum(map(text.count, SPACES))
-        out.append([
-            len(found), chars, sum(map(text.count, SYMBOLS)), _duplicate_lines(text),
-            _repeated(hashes[cut[i] : cut[i + 1]]), len(ids), n_bytes,
-            chars / len(ids) if len(ids) else None, chars / n_bytes if n_bytes else None,
-            float(own.is_byte[ids].mean()) if len(ids) else None, _entropy(ids) if len(ids) else None,
-            _script(text)])
-    for word in [w for w in table if len(w) > KEPT_LENGTH]:
-        del table[word]
-    return out
+    number, words = common.distinct_words(raw, starts, ends)
+    tokens, byte_tokens = zip(*own.of_words(words)) if words else ((), ())
+    flat = np.frombuffer(b"".join(tokens), np.uint32)
+    size = np.fromiter(map(len, tokens), np.int64, len(words)) // 4
+    first = np.r_[0, np.cumsum(size)][:-1]
+    # The tokens of all words in order, and the bounds of those of each text.
+    sizes = size[number]
+    after = np.r_[0, np.cumsum(sizes)]
+    ids = flat[np.arange(after[-1]) + np.repeat(first[number] - after[:-1], sizes)].astype(np.int64)
+    own_ids = after[cut]
+    n_pieces = np.diff(own_ids).tolist()
+    n_bytes = _sums(np.array(byte_tokens, np.int64)[number], cut).tolist()
+    points = np.fromiter((len(w.decode()) for w in words), np.int64, len(words))
+    chars = _sums(points[number], cut).tolist()
+    fallback = _sums(own.is_byte[ids], own_ids).tolist()
+    symbols = np.diff(np.searchsorted(np.flatnonzero(_IS_SYMBOL[raw]), bounds)).tolist()
+    return [
+        np.diff(cut).tolist(), chars, symbols, list(map(_duplicate_lines, texts)),
+        _repeated(number, cut).tolist(), n_pieces, n_bytes,
+        [c / n if n else None for c, n in zip(chars, n_pieces)],
+        [c / n if n else None for c, n in zip(chars, n_bytes)],
+        [c / n if n else None for c, n in zip(fallback, n_pieces)],
+        [_entropy(ids[a:b]) if a < b else None for a, b in pairwise(own_ids.tolist())], _script(texts)]
 
 
 def measure(docs: DataFrame, paths: tuple[str, str] | None = None, id_column: str = "doc_id",
@@ -178,7 +233,7 @@ def measure(docs: DataFrame, paths: tuple[str, str] | None = None, id_column: st
         for batch in common.slices(batches, 2):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for first, last in chunks(texts):
-                columns = list(zip(*_measure(own, texts[first:last])))
+                columns = _measure(own, texts[first:last])
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(first, last - first) for c in batch.columns[:2]]
                     + [pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
