@@ -200,13 +200,9 @@ def _measure(own: Vocabularies, texts: list[str]) -> list[list]:
     cut = np.searchsorted(starts, bounds)
     number, words = common.distinct_words(raw, starts, ends)
     tokens, byte_tokens = zip(*own.of_words(words)) if words else ((), ())
-    flat = np.frombuffer(b"".join(tokens), np.uint32)
-    size = np.fromiter(map(len, tokens), np.int64, len(words)) // 4
-    first = np.r_[0, np.cumsum(size)][:-1]
     # The tokens of all words in order, and the bounds of those of each text.
-    sizes = size[number]
-    after = np.r_[0, np.cumsum(sizes)]
-    ids = flat[np.arange(after[-1]) + np.repeat(first[number] - after[:-1], sizes)].astype(np.int64)
+    ids, after = common.expand(tokens, number)
+    ids = ids.astype(np.int64)
     own_ids = after[cut]
     n_pieces = np.diff(own_ids).tolist()
     n_bytes = _sums(np.array(byte_tokens, np.int64)[number], cut).tolist()

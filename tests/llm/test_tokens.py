@@ -63,6 +63,58 @@ def test_compatible_pairs_are_those_that_encode_to_themselves():
         assert fits == (own.merge(symbols) == [own.text_of[a], own.text_of[b]])
 
 
+def test_words_are_proposed_together_as_one_by_one():
+    own = bpe_codec.Codec(CLIP)
+    words = sorted({w for t in TEXTS + texts(13) for w in own.pieces(t) if len(w.encode()) < 400})
+    flat, owner, unfit = own.propose_all([w.encode() for w in words])
+    one = [own.propose(own._mapped(w) + own.end) for w in words]
+    assert unfit.tolist() == [p is None for p in one]
+    assert [flat[owner == i].tolist() for i in range(len(words))] == [p or [] for p in one]
+    assert [len(x) for x in own.propose_all([])] == [0, 0, 0]
+
+
+def test_no_token_fits_a_place():
+    own = bpe_codec.Codec(CLIP)
+    for text in ("z", "q" + own.end):  # a vocabulary without these letters
+        own.vocab = {t: i for t, i in own.vocab.items() if not t.startswith(text[0])}
+    own._plant()
+    words = ["hello", "xzx", "z", "helloq", "river"]
+    flat, owner, unfit = own.propose_all([w.encode() for w in words])
+    assert unfit.tolist() == [False, True, True, True, False]
+    assert sorted(set(owner.tolist())) == [0, 4] and own.text_of[flat[owner == 4]].tolist() == ["river</w>"]
+
+
+def test_stretches_are_encoded_as_the_library_does():
+    library, own = Tokenizer.from_file(CLIP), bpe_codec.Codec(CLIP)
+    draw = random.Random(14)
+    parts = ["don't", "ΟΔΥΣ", "Σ", "ΑΣ.", "e", "\u0301", "a\u0301", "\x85", "\xa0", "\u3000", "\x1c", "\x00", "İ", "<|",
+             "<|endoftext|>", "<|endoftext|>x", "|>", "\u1c8a", "\U0001fadf", "가", "\u1100\u1161", "x" * 70, "½", "日本"]
+    samples = ["".join(draw.choice(parts) + draw.choice(("", "", " ", "\n", "\t", "\r\n", "\x0b", "  "))
+                       for _ in range(draw.randrange(0, 12))) for _ in range(600)]
+    want = [e.ids for e in library.encode_batch(samples, add_special_tokens=False)]
+    for size in (1, 7, 600):
+        got = [ids for i in range(0, 600, size) for ids in own.encode(samples[i : i + size])]
+        assert got == want
+    assert own.encode([]) == [] and own.encode(["", " "]) == [[], []]
+
+
+def test_a_stretch_is_encoded_and_looked_up_once():
+    own = bpe_codec.Codec(CLIP)
+    samples, calls = ["some words, that stand here often. " * 100] * 40, 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids, bounds = own.encode_flat(samples)
+    finally:
+        sys.setprofile(None)
+    assert bounds.tolist() == [800 * i for i in range(41)] and len(ids) == 32_000
+    assert calls < 24_000 / 4
+
+
 def test_encoded_documents(spark):
     library = Tokenizer.from_file(CLIP)
     got = bpe_codec.digests(bpe_codec.encode_documents(
