@@ -11,13 +11,14 @@ cheap pivots to real ones, and every step is lossless for the threshold:
 3.  Among the rest, shingles are ordered by their number of holders. A shingle is the
     pivot of a region: the sets that hold it among their first ``n - alpha + 1``. Linked
     sets meet in a region; sets that chain through regions form a cell.
-4.  Document pivots. A cell is joined by pivots: the distance of every member to a pivot
-    is exact; members within the threshold are linked to it and need no comparison with
-    each other; of these only such stay for the next pivot as the triangle inequality
-    leaves within reach of a member outside. A cell too large for one task is first
+4.  Document pivots. A cell is joined by pivots: the distance to a pivot is exact, of every
+    member that shares enough first shingles with it, by holders in the cell; members within
+    the threshold are linked to it and need no comparison with each other; around a pivot of
+    many only such stay for the next as the triangle inequality leaves within reach of a
+    member outside. A cell too large for one task is first
     dealt to Voronoi regions of several pivots: a set goes to its nearest pivot and, by
-    the triangle inequality, to every pivot at most twice the threshold farther. Regions
-    that do not shrink are joined as pairs of bounded blocks.
+    the triangle inequality, to every pivot at most twice the threshold farther. A cell
+    whose regions do not halve it is joined as pairs of bounded blocks.
 
 Only a spanning set of links is emitted, never all pairs of a group. Shingles are
 64-bit hashes, set identities 128-bit hashes. Cells and links name a set by 63 bits of its
@@ -384,47 +385,108 @@ class _Sets:
         return sums
 
 
+def _run(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of every run, one run after another."""
+    return np.arange(int(size.sum())) + np.repeat(first - np.r_[0, np.cumsum(size)[:-1]], size)
+
+
+class _Beginnings:
+    """The first shingles of a task's sets, in the order of their holders in the task. Linked
+    sets share ``least`` of these, or the smaller set's ``least``, as in step 2."""
+
+    def __init__(self, held: _Sets, join: Join):
+        self.sets = len(held.size)
+        self.least = np.maximum(1, held.size // 15)
+        length = held.size - -(-join.percent * held.size // 100) + self.least
+        holders = np.bincount(held.codes)
+        rank = np.empty(len(holders), np.int64)
+        rank[np.argsort(holders, kind="stable")] = np.arange(len(holders))
+        owner = np.repeat(np.arange(self.sets), held.size)
+        codes = held.codes[np.lexsort((rank[held.codes], owner))]
+        keep = (_run(np.zeros(self.sets, np.int64), held.size) < length[owner]) & (holders[codes] > 1)
+        self.codes, owner = codes[keep], owner[keep]
+        self.own = np.r_[0, np.cumsum(np.bincount(owner, minlength=self.sets))]
+        self.members = owner[np.argsort(self.codes, kind="stable")]
+        self.first = np.r_[0, np.cumsum(np.bincount(self.codes, minlength=len(holders)))]
+
+    def met(self, pivot: int) -> np.ndarray:
+        """Members that share enough of their first shingles with the pivot's."""
+        codes = self.codes[self.own[pivot] : self.own[pivot + 1]]
+        found = self.members[_run(self.first[codes], self.first[codes + 1] - self.first[codes])]
+        if 8 * len(found) > self.sets:
+            times = np.bincount(found, minlength=self.sets)
+            found = np.flatnonzero(times)
+            times = times[found]
+        else:
+            found, times = np.unique(found, return_counts=True)
+        return found[times >= np.minimum(self.least[found], self.least[pivot])]
+
+
+def _tops(above: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """The top of each member's group."""
+    top = above[members]
+    while True:
+        higher = above[top]
+        if (higher == top).all():
+            above[members] = top
+            return top
+        top = higher
+
+
 def pivot_links(ids: np.ndarray, sets: list[np.ndarray], join: Join,
                 side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect the same members as all links do. With ``side`` (0 or 1 per
-    member) only links between the sides are looked for."""
+    member) only links between the sides are looked for. A pivot is compared with members
+    that share enough first shingles with it and that no link joins to it yet."""
     held = _Sets(sets)
+    first = _Beginnings(held, join)
     reach = 1 - join.percent / 100
-    group = np.arange(len(ids))
+    above, groups = np.arange(len(ids)), len(ids)
+    stays = np.ones(len(ids), bool)
     # The pivot is the largest set, so sets too small for it leave the window at once.
-    active = np.lexsort((ids, -held.size))
+    order = np.lexsort((ids, -held.size))
     links = []
-    while len(active) > 1:
-        pivot, rest = active[0], active[1:]
+    for pivot in order:
+        if not stays[pivot]:
+            continue
+        stays[pivot] = False
+        near = first.met(pivot)
+        near = near[stays[near] & (100 * held.size[near] >= join.percent * held.size[pivot])]
         if side is not None:
-            rest = rest[side[rest] != side[pivot]]
-        near = rest[100 * held.size[rest] >= join.percent * held.size[pivot]]
-        active = active[1:]
+            near = near[side[near] != side[pivot]]
+        own = _tops(above, np.array([pivot]))[0]
+        tops = _tops(above, near)
+        near, tops = near[tops != own], tops[tops != own]
         if not len(near):
             continue
-        shared = held.shared(pivot, near)
-        union = held.size[near] + held.size[pivot] - shared
-        inner = 100 * shared >= join.percent * union
+        inner = join.linked(held.shared(pivot, near), held.size[near], held.size[pivot])
         # One link per group that the pivot joins: a spanning forest of all links.
-        joined, one = np.unique(group[near[inner]], return_index=True)
-        links += [(int(ids[pivot]), int(ids[m]))
-                  for g, m in zip(joined, near[inner][one]) if g != group[pivot]]
-        group[np.isin(group, joined)] = group[pivot]
-        if side is not None:
-            continue
-        # A member below the pivot's size window has the distance that its size implies.
-        distance = np.ones(len(held.size))
-        distance[near] = 1 - shared / union
-        outside = np.setdiff1d(active, near[inner])
-        if not len(outside):
+        joined, one = np.unique(tops[inner], return_index=True)
+        links += [(int(ids[pivot]), int(ids[m])) for m in near[inner][one]]
+        above[joined] = own
+        groups -= len(joined)
+        if groups == 1:
             break
-        least = np.where(np.isin(outside, near), distance[outside],
-                         1 - held.size[outside] / held.size[pivot]).min()
-        done = near[inner][distance[near[inner]] < least - reach - 1e-12]
-        active = active[~np.isin(active, done)]
+        if side is None and 4 * inner.sum() >= np.count_nonzero(stays):
+            stays &= ~_out_of_reach(held, pivot, np.flatnonzero(stays), join, reach)
     return links
 
 
+def _out_of_reach(held: _Sets, pivot: int, rest: np.ndarray, join: Join, reach: float) -> np.ndarray:
+    """Members linked to the pivot that by the triangle inequality link with none that is not."""
+    out = np.zeros(len(held.size), bool)
+    window = 100 * held.size[rest] >= join.percent * held.size[pivot]
+    near = rest[window]
+    shared = held.shared(pivot, near)
+    union = held.size[near] + held.size[pivot] - shared
+    inner = 100 * shared >= join.percent * union
+    distance = 1 - shared / union
+    # A member below the pivot's size window has the distance that its size implies.
+    least = np.r_[distance[~inner], 1 - held.size[rest[~window]] / held.size[pivot]].min(initial=2)
+    out[near[inner][distance[inner] < least - reach - 1e-12]] = True
+    return out
+
+
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -493,6 +555,18 @@ def _weights(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
 
 
+def _regions_or_cell(large: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Regions of the cells whose regions together hold half of the cell at most, and the
+    other cells as they were. A set goes to several regions: regions that are smaller one by
+    one, but not together, would multiply their sets with every round."""
+    after = parts.groupBy("parent").agg(F.sum("n").alias("after"))
+    halved = large.groupBy(F.col("cell").alias("parent")).agg(F.max("weight").alias("before")) \
+        .join(after, "parent", "left") \
+        .where(F.coalesce("after", F.lit(0)) * 2 <= F.col("before")).select("parent")
+    return (parts.join(halved, "parent").select("cell", "doc_id", "n"),
+            large.join(halved.withColumnRenamed("parent", "cell"), "cell", "left_anti"))
+
+
 def cell_links(cells: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """Links within cells (cell, doc_id, n). Cells within ``leaf_shingles`` are a task
     each; larger ones are dealt to Voronoi regions until they fit or stop shrinking."""
@@ -507,18 +581,15 @@ def cell_links(cells: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             break
         found, parts = _voronoi(large.select("cell", "doc_id", "n"), sets, join)
         links.append(found)
-        parent = large.groupBy(F.col("cell").alias("parent")).agg(F.max("weight").alias("before"))
-        parts = parts.join(_weights(parts), "cell").join(parent, "parent")
-        shrunk = F.col("weight") <= F.col("before") * 9 / 10
-        fixed = parts.where(~shrunk).withColumn(
+        cells, whole = _regions_or_cell(large, parts)
+        whole = whole.withColumn(
             "blocks", F.ceil(F.lit(2.0) * F.col("weight") / join.leaf_shingles))
-        fixed = fixed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+        whole = whole.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         blocked.append(
-            fixed.select("*", other.alias("other"))
+            whole.select("*", other.alias("other"))
             .select(F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"))
                     .alias("cell"), "doc_id", "block"))
-        cells = parts.where(shrunk).select("cell", "doc_id", "n")
     tasks = leaves[0]
     for more in leaves[1:] + blocked:
         tasks = tasks.union(more)

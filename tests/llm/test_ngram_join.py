@@ -175,3 +175,55 @@ def test_smallest_reachable(spark):
     assert {r["node"]: r["component"] for r in got} == {n: low[n] for n in nodes}
     assert len(got) == len(nodes)
     assert common.smallest_reachable(spark.createDataFrame([], "a long, b long"), "t").collect() == []
+
+
+def graded(draw, n: int = 250, words: int = 60) -> list[np.ndarray]:
+    """Sets from copies to strangers of one base: regions around them hold nearly all of them."""
+    base = draw.choice(400, words, replace=False)
+    return [np.unique(np.r_[base[draw.random(words) > 0.6 * i / n], draw.choice(400, 60 * i // (100 * n) + 8)])
+            for i in range(n)]
+
+
+def test_a_cell_that_regions_do_not_shrink_is_not_multiplied(spark, monkeypatch):
+    sets = graded(np.random.default_rng(8))
+    join = Join(leaf_shingles=3000)
+    weight = sum(map(len, sets))
+    cells = spark.createDataFrame([(1, i, len(s)) for i, s in enumerate(sets, 1)], "cell long, doc_id long, n long")
+    held = spark.createDataFrame([(i, len(s), s.astype(np.int64).tobytes()) for i, s in enumerate(sets, 1)],
+                                 "doc_id long, n long, shingles binary")
+    staged = {}
+
+    def noted(df, name):
+        out = stage(df, name)
+        staged[name] = staged.get(name, 0) + out.count()
+        return out
+
+    stage = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", noted)
+    links = [(r["a"], r["b"]) for r in ngram_join.cell_links(cells, held, join).collect()]
+    want = [(a, b) for a, b in combinations(range(1, len(sets) + 1), 2) if join.linked(
+        len(np.intersect1d(sets[a - 1], sets[b - 1])), len(sets[a - 1]), len(sets[b - 1]))]
+    assert len(want) > 50 and set(map(frozenset, links)) <= set(map(frozenset, want))
+    ids = range(1, len(sets) + 1)
+    assert classes(links, ids) == classes(want, ids) and len(set(classes(want, ids).values())) > 1
+    # Rows of one round of regions, and of every pair of blocks.
+    assert staged["jaccard_dealt"] <= join.pivots * len(sets)
+    monkeypatch.setattr(ngram_join, "_join_cell", lambda join: lambda group: pa.table(
+        {"a": pa.array([group.num_rows], pa.int64()), "b": pa.array([0], pa.int64())}))
+    tasks = ngram_join.cell_links(cells, held, join).where("b = 0").agg({"a": "sum"}).first()[0]
+    assert tasks <= len(sets) * -(-2 * weight // join.leaf_shingles)
+
+
+def test_strangers_of_a_cell_are_not_compared(monkeypatch):
+    """All sets hold half of one base; only the first forty are near it."""
+    draw = np.random.default_rng(9)
+    sets = [np.flatnonzero(draw.random(300) > 0.05) for _ in range(40)]
+    sets += [np.r_[draw.choice(300, 150, replace=False), draw.choice(10**4, 130, replace=False) + 300]
+             for _ in range(360)]
+    compared = []
+    shared = ngram_join._Sets.shared
+    monkeypatch.setattr(ngram_join._Sets, "shared",
+                        lambda self, pivot, members: compared.append(len(members)) or shared(self, pivot, members))
+    found = pivot_links(np.arange(400), sets, Join())
+    assert len(found) == 39 and classes(found, range(400)) == {i: 0 if i < 40 else i for i in range(400)}
+    assert sum(compared) < 400 * 400 / 2 / 20
