@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 from pathlib import Path
 from types import SimpleNamespace
@@ -182,3 +183,21 @@ def test_source_tables_from_parquet(spark, edge_source, tmp_path):
     again = source_tables.from_parquet(spark, str(tmp_path))
     assert rows(again.nota_fiscal) == rows(edge_source.nota_fiscal)
     assert rows(again.sellers) == rows(edge_source.pessoa_fisica)
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    """Not even while the driver has no reason to collect its garbage."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(cleanup), _shuffle_files(spark)
+    staged = staging.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+    until = time.monotonic() + 10
+    while _shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert staged.agg(F.sum("count")).first()[0] == 1000
+    assert spark.conf.get(cleanup) == setting
